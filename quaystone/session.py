@@ -29,6 +29,9 @@ def get_spark(master: str | None = None, app_name: str = "quaystone",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only executor
+            builder = builder.config("spark.driver.memory", os.environ.get("QUAYSTONE_DRIVER_MEMORY", "16g"))
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)
