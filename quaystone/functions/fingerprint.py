@@ -67,3 +67,13 @@ def file_manifest_fingerprint(spark, path: str) -> str:
     for r in files:
         digest.update(f"{r['name']}:{r['sha']}\n".encode("utf-8"))
     return "files-v1:" + digest.hexdigest()
+
+
+def md5_buckets(df: DataFrame, chars: int = 1) -> DataFrame:
+    """(bucket, rows): rows counted by the first ``chars`` hex digits of the
+    md5 of their canonical text ('|'-joined values, NULL as \\N). The same
+    expression runs in any SQL engine, so two engines can compare a table's
+    identity without moving it."""
+    parts = [F.coalesce(F.col(f.name).cast("string"), F.lit("\\N")) for f in df.schema.fields]
+    return (df.groupBy(F.substring(F.md5(F.concat_ws("|", *parts)), 1, chars).alias("bucket"))
+            .agg(F.count(F.lit(1)).alias("rows")))

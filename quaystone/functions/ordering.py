@@ -1,46 +1,103 @@
-"""Position-based operators ("first n rows", "row i") without a
+"""Position-based operators ("first n rows", "row i", running sums) without a
 single-partition window.
 
-``with_row_index`` gives every row its 0-based position in a total order:
-range-partition + sort within partitions, then a per-partition offset from a
-table with one row per partition (size bounded by the partition count, so it
-is safe to broadcast). Equal to ``row_number() over (order by …) - 1`` when
-the order is total; callers must pass a unique order (add a tie-breaker).
+``with_row_index`` gives every row its 0-based position in a total order
+(optionally within groups): range-partition + sort within partitions, then
+a per-partition offset from a table with one row per (partition, group).
+Equal to ``row_number() over (partition by … order by …) - 1`` when the order
+is total; callers must pass a unique order (add a tie-breaker).
+
+``prefix_sums`` does the same for running sums of numeric columns; the
+within-partition running sum is a NumPy ``cumsum`` on the already sorted
+partition (``mapInPandas``), so no second shuffle is needed.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _cols(order_by) -> list[Column]:
+    if order_by is None:
+        return []
     if isinstance(order_by, (str, Column)):
         order_by = [order_by]
     return [F.col(c) if isinstance(c, str) else c for c in order_by]
 
 
+def _names(cols) -> list[str]:
+    if cols is None:
+        return []
+    return [cols] if isinstance(cols, str) else list(cols)
+
+
 def with_row_index(df: DataFrame, order_by, name: str = "row_index",
-                   partitions: int | None = None) -> DataFrame:
-    order = _cols(order_by)
+                   partition_by=None, partitions: int | None = None) -> DataFrame:
+    groups = _names(partition_by)
+    order = [F.col(g) for g in groups] + _cols(order_by)
     ranged = (df.repartitionByRange(partitions, *order) if partitions
               else df.repartitionByRange(*order)).sortWithinPartitions(*order)
     tagged = (ranged.withColumn("_qs_pid", F.spark_partition_id())
               .withColumn("_qs_mono", F.monotonically_increasing_id()))
-    per_part = tagged.groupBy("_qs_pid").agg(F.count(F.lit(1)).alias("_qs_n"),
-                                            F.min("_qs_mono").alias("_qs_base"))
+    keys = ["_qs_pid", *groups]
+    per_part = tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_qs_n"),
+                                        F.min("_qs_mono").alias("_qs_base"))
+    w = Window.orderBy("_qs_pid") if not groups else Window.partitionBy(*groups).orderBy("_qs_pid")
     offsets = per_part.select(
-        "_qs_pid", "_qs_base",
-        F.coalesce(F.sum("_qs_n").over(Window.orderBy("_qs_pid")
-                                      .rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_qs_off"))
-    out = (tagged.join(F.broadcast(offsets), "_qs_pid")
-           .withColumn(name, F.col("_qs_off") + F.col("_qs_mono") - F.col("_qs_base"))
-           .drop("_qs_pid", "_qs_mono", "_qs_base", "_qs_off"))
-    return out
+        *keys, "_qs_base",
+        F.coalesce(F.sum("_qs_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_qs_off"))
+    # one row per partition (and group): bounded by the partition count when
+    # ungrouped, so it is broadcast; grouped callers use few groups.
+    side = F.broadcast(offsets) if not groups else offsets
+    return (tagged.join(side, keys)
+            .withColumn(name, F.col("_qs_off") + F.col("_qs_mono") - F.col("_qs_base"))
+            .drop("_qs_pid", "_qs_mono", "_qs_base", "_qs_off"))
 
 
 def first_rows(df: DataFrame, n: int, order_by) -> DataFrame:
     """The first ``n`` rows in the given total order, as a distributed filter."""
     idx = with_row_index(df, order_by, "_qs_pos")
     return idx.filter(F.col("_qs_pos") < F.lit(n)).drop("_qs_pos")
+
+
+def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], *, descending: bool = False,
+                partition_by=None, prefix: str = "cum_") -> DataFrame:
+    """Inclusive running sums of ``value_cols`` in ``order_col`` order (within
+    ``partition_by`` groups). ``order_col`` must be unique within a group."""
+    groups = _names(partition_by)
+    o = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    order = [F.col(g) for g in groups] + [o]
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_qs_pid", F.spark_partition_id())
+    out_fields = list(ranged.schema.fields) + [T.StructField(f"{prefix}{c}", T.DoubleType()) for c in value_cols]
+    out_schema = T.StructType(out_fields)
+
+    def run(batches):
+        import pandas as pd
+        carry: dict = {}
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            key = pdf[groups].apply(tuple, axis=1) if groups else pd.Series([()] * len(pdf), index=pdf.index)
+            for c in value_cols:
+                vals = pdf[c].astype("float64").fillna(0.0)
+                cs = vals.groupby(key.values).cumsum()
+                start = key.map(lambda k, c=c: carry.get((k, c), 0.0)).astype("float64")
+                pdf[f"{prefix}{c}"] = cs.values + start.values
+                last = pd.Series(pdf[f"{prefix}{c}"].values, index=key.values)
+                for k, v in last.groupby(level=0).last().items():
+                    carry[(k, c)] = v
+            yield pdf
+
+    local = ranged.mapInPandas(run, out_schema)
+    keys = ["_qs_pid", *groups]
+    totals = ranged.groupBy(*keys).agg(*[F.sum(F.col(c).cast("double")).alias(f"_qs_t_{c}") for c in value_cols])
+    w = (Window.orderBy("_qs_pid") if not groups else Window.partitionBy(*groups).orderBy("_qs_pid")) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, *[F.coalesce(F.sum(f"_qs_t_{c}").over(w), F.lit(0.0)).alias(f"_qs_o_{c}")
+                                     for c in value_cols])
+    side = F.broadcast(offsets) if not groups else offsets
+    joined = local.join(side, keys)
+    return joined.select(*df.columns, *[(F.col(f"{prefix}{c}") + F.col(f"_qs_o_{c}")).alias(f"{prefix}{c}")
+                                        for c in value_cols])

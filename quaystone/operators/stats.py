@@ -31,6 +31,9 @@ from quaystone.functions.columns import (
 from quaystone.functions.quantiles import exact_quantiles
 
 
+EXACT_MEAN_TYPE = "decimal(38,10)"
+
+
 @dataclass
 class ColumnFacts:
     name: str
@@ -97,6 +100,12 @@ def measure(df: DataFrame, columns: list[str] | None = None, *,
             aggs += [F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}"),
                      F.avg(x).alias(f"av{i}"), F.stddev_samp(x).alias(f"sd{i}"),
                      F.stddev_pop(x).alias(f"sp{i}")]
+            if isinstance(dt, (T.DoubleType, T.FloatType)):
+                # decimal-exact mean: summing in decimal makes the result
+                # independent of summation order (falls back to the double
+                # mean if any value does not fit decimal(38,10))
+                d = x.try_cast(EXACT_MEAN_TYPE)
+                aggs += [F.avg(d).cast("double").alias(f"ax{i}"), F.count(d).alias(f"ac{i}")]
             if decimal_places:
                 aggs.append(_decimal_places_expr(c, dt).alias(f"dp{i}"))
         if distinct and not exact_distinct:
@@ -114,6 +123,8 @@ def measure(df: DataFrame, columns: list[str] | None = None, *,
                          blank_count=int(row[f"bl{i}"]) if isinstance(dt, T.StringType) else 0)
         if c in numeric:
             cf.min, cf.max, cf.mean = row[f"mn{i}"], row[f"mx{i}"], row[f"av{i}"]
+            if f"ax{i}" in row.asDict() and row[f"ac{i}"] == nn and nn > 0:
+                cf.mean = row[f"ax{i}"]
             cf.std, cf.std_pop = row[f"sd{i}"], row[f"sp{i}"]
             if cf.std is not None and nn < 2:
                 cf.std = None
