@@ -5,26 +5,25 @@ every distinct value into a single final task. That is fine for a few
 million values, not for a column of a 100 TB table. ``exact_quantiles``
 instead runs a distributed selection:
 
-1. one scan: non-null count + ``percentile_approx`` brackets around every
-   requested rank (rank error ≤ n / accuracy);
-2. one scan: counts below / up to each bracket, which pins the exact rank
-   offset inside the bracket (a failed bracket side widens to the extreme);
-3. brackets still wider than ``max_bracket`` rows are narrowed again with
-   ``percentile_approx`` on the bracket only (each round shrinks them by
-   about ``accuracy``/4);
-4. one scan: ``groupBy(bracket, value).count()`` of the values inside the
-   remaining brackets — at most ``max_bracket`` rows each, and heavy ties
-   collapse to one row — is brought back and the order statistics are read
-   off it.
-
-The result equals linear interpolation between order statistics
-(Spark ``percentile``, DuckDB ``quantile_cont``, NumPy's default).
+1. one scan: non-null count, min, max and a ``percentile_approx`` bracket
+   around every requested quantile (rank error ≤ n / accuracy);
+2. while a bracket would still hold more than ``max_bracket`` rows (only for
+   very large columns), it is narrowed with ``percentile_approx`` over the
+   bracket alone plus exact counts below / up to the new bounds;
+3. one scan: for every bracket, the rows below it are counted and the values
+   inside it are grouped (``groupBy(bracket, value).count()``) — at most
+   ``max_bracket`` rows each, heavy ties collapse to one row — and the order
+   statistics are read off that small result. A bracket the approximation
+   missed is widened and measured again.
+
+The result equals linear interpolation between order statistics (Spark
+``percentile``, DuckDB ``quantile_cont``, NumPy's default).
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,20 +35,11 @@ DEFAULT_MAX_BRACKET = 200_000
 @dataclass
 class _Bracket:
     column: str
-    rank: int               # 0-based rank wanted
-    lo: float | None = None  # inclusive bounds of the bracket
-    hi: float | None = None
-    below: int = 0          # rows strictly below lo
-    size: int = 0           # rows within [lo, hi]
-    value: float | None = None
-    done: bool = False
-    extra: dict = field(default_factory=dict)
-
-
-def _rank_probs(rank: int, n: int, eps: float) -> tuple[float, float]:
-    lo = max(0.0, rank / n - 2 * eps)
-    hi = min(1.0, (rank + 1) / n + 2 * eps)
-    return lo, hi
+    ranks: tuple[int, ...]   # 0-based ranks wanted inside this bracket
+    lo: float
+    hi: float
+    below: int = 0           # rows strictly below lo (exact once measured)
+    size: int = 0            # rows within [lo, hi]
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
@@ -63,105 +53,118 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     if not columns:
         return {}
     eps = 1.0 / accuracy
-    data = df.select(*[F.col(c).cast("double").alias(f"_q{i}") for i, c in enumerate(columns)])
+    delta = 3 * eps
     names = {c: f"_q{i}" for i, c in enumerate(columns)}
+    data = df.select(*[F.col(c).cast("double").alias(names[c]) for c in columns])
 
-    # pass 1: counts, extremes
-    first = data.agg(*[F.count(names[c]).alias(f"n_{names[c]}") for c in columns],
-                     *[F.min(names[c]).alias(f"min_{names[c]}") for c in columns],
-                     *[F.max(names[c]).alias(f"max_{names[c]}") for c in columns]).collect()[0]
-    counts = {c: int(first[f"n_{names[c]}"]) for c in columns}
-
-    brackets: dict[tuple[str, int], _Bracket] = {}
+    aggs = []
+    for c in columns:
+        x = names[c]
+        aggs += [F.count(x).alias(f"n_{x}"), F.min(x).alias(f"mn_{x}"), F.max(x).alias(f"mx_{x}")]
+        band = sorted({min(1.0, max(0.0, v)) for p in probs for v in (p - delta, p + delta)})
+        aggs.append(F.percentile_approx(x, band, accuracy).alias(f"ap_{x}"))
+    first = data.agg(*aggs).collect()[0]
+
+    brackets: list[_Bracket] = []
+    values: dict[tuple[str, int], float] = {}
     for c in columns:
-        n = counts[c]
+        x = names[c]
+        n = int(first[f"n_{x}"])
         if n == 0:
             continue
+        band = sorted({min(1.0, max(0.0, v)) for p in probs for v in (p - delta, p + delta)})
+        approx = dict(zip(band, first[f"ap_{x}"]))
         for p in probs:
             h = (n - 1) * p
-            for r in {math.floor(h), math.ceil(h)}:
-                b = _Bracket(column=c, rank=r, lo=first[f"min_{names[c]}"], hi=first[f"max_{names[c]}"],
-                             below=0, size=n)
-                if r == 0:
-                    b.value, b.done = b.lo, True
-                elif r == n - 1:
-                    b.value, b.done = b.hi, True
-                brackets[(c, r)] = b
-
-    # passes 2..: narrow each open bracket until it is small
-    subset = None
+            ranks = tuple(sorted({math.floor(h), math.ceil(h)}))
+            lo = approx[min(1.0, max(0.0, p - delta))]
+            hi = approx[min(1.0, max(0.0, p + delta))]
+            if p - delta <= 0:
+                lo = first[f"mn_{x}"]
+            if p + delta >= 1:
+                hi = first[f"mx_{x}"]
+            brackets.append(_Bracket(c, ranks, lo, hi, size=-1))
+            brackets[-1].n = n  # type: ignore[attr-defined]
+            brackets[-1].mn = first[f"mn_{x}"]  # type: ignore[attr-defined]
+            brackets[-1].mx = first[f"mx_{x}"]  # type: ignore[attr-defined]
+
+    # narrowing rounds, only when the first bracket may still be too wide
     for _ in range(8):
-        open_ = [b for b in brackets.values() if not b.done and b.size > max_bracket and b.lo < b.hi]
-        if not open_:
+        wide = [b for b in brackets if b.lo < b.hi and b.n * 2 * delta > max_bracket]  # type: ignore[attr-defined]
+        if not wide:
+            break
+        tally = data.agg(*[e for i, b in enumerate(wide) for e in (
+            F.count_if(F.col(names[b.column]) < F.lit(b.lo)).alias(f"lt{i}"),
+            F.count_if(F.col(names[b.column]) <= F.lit(b.hi)).alias(f"le{i}"))]).collect()[0]
+        for i, b in enumerate(wide):
+            lt, le = int(tally[f"lt{i}"]), int(tally[f"le{i}"])
+            if lt > b.ranks[0]:
+                b.lo, lt = b.mn, 0  # type: ignore[attr-defined]
+            if le < b.ranks[-1] + 1:
+                b.hi, le = b.mx, b.n  # type: ignore[attr-defined]
+            b.below, b.size = lt, le - lt
+            b.n = b.size  # type: ignore[attr-defined]  # rows left to search
+        wide = [b for b in wide if b.size > max_bracket and b.lo < b.hi]
+        if not wide:
             break
         aggs = []
-        for i, b in enumerate(open_):
+        for i, b in enumerate(wide):
             col = F.col(names[b.column])
             inside = F.when((col >= F.lit(b.lo)) & (col <= F.lit(b.hi)), col)
-            p_lo, p_hi = _rank_probs(b.rank - b.below, b.size, eps)
+            p_lo = max(0.0, (b.ranks[0] - b.below) / b.size - delta)
+            p_hi = min(1.0, (b.ranks[-1] + 1 - b.below) / b.size + delta)
             aggs.append(F.percentile_approx(inside, [p_lo, p_hi], accuracy).alias(f"a{i}"))
         approx = data.agg(*aggs).collect()[0]
-        for i, b in enumerate(open_):
-            lo, hi = approx[f"a{i}"]
-            b.extra["cand"] = (lo, hi)
-        aggs = []
-        for i, b in enumerate(open_):
-            col = F.col(names[b.column])
-            lo, hi = b.extra["cand"]
-            aggs.append(F.count_if(col < F.lit(lo)).alias(f"lt{i}"))
-            aggs.append(F.count_if(col <= F.lit(hi)).alias(f"le{i}"))
-        tally = data.agg(*aggs).collect()[0]
-        for i, b in enumerate(open_):
-            lo, hi = b.extra["cand"]
-            lt, le = int(tally[f"lt{i}"]), int(tally[f"le{i}"])
-            new_lo, new_below = (lo, lt) if lt <= b.rank else (b.lo, b.below)
-            if le >= b.rank + 1:
-                new_hi, new_upto = hi, le
-            else:
-                new_hi, new_upto = b.hi, b.below + b.size
-            if new_lo == new_hi:
-                b.value, b.done = new_lo, True
-            b.lo, b.hi, b.below, b.size = new_lo, new_hi, new_below, new_upto - new_below
-    del subset
-
-    # final pass: exact value counts inside the remaining brackets
-    todo = [b for b in brackets.values() if not b.done]
-    for b in todo:
-        if b.lo == b.hi:
-            b.value, b.done = b.lo, True
-    todo = [b for b in todo if not b.done]
-    if todo:
+        for i, b in enumerate(wide):
+            b.lo, b.hi = approx[f"a{i}"]
+
+    # final pass(es): exact rows below + grouped values inside each bracket
+    todo = [b for b in brackets]
+    for _ in range(3):
+        if not todo:
+            break
         structs = []
         for i, b in enumerate(todo):
             col = F.col(names[b.column])
-            structs.append(F.when((col >= F.lit(b.lo)) & (col <= F.lit(b.hi)),
-                                  F.struct(F.lit(i).alias("bid"), col.alias("v"))))
+            structs.append(F.when(col < F.lit(b.lo), F.struct(F.lit(i).alias("bid"), F.lit(True).alias("below"),
+                                                              F.lit(None).cast("double").alias("v")))
+                           .when(col <= F.lit(b.hi), F.struct(F.lit(i).alias("bid"), F.lit(False).alias("below"),
+                                                              col.alias("v"))))
         rows = (data.select(F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull())).alias("s"))
-                .groupBy(F.col("s.bid").alias("bid"), F.col("s.v").alias("v")).count()
-                .collect())
+                .groupBy("s.bid", "s.below", "s.v").count().collect())
         per: dict[int, list[tuple[float, int]]] = {}
+        below: dict[int, int] = {}
         for r in rows:
-            per.setdefault(r["bid"], []).append((r["v"], r["count"]))
+            if r["below"]:
+                below[r["bid"]] = int(r["count"])
+            else:
+                per.setdefault(r["bid"], []).append((r["v"], int(r["count"])))
+        retry = []
         for i, b in enumerate(todo):
-            acc = b.below
-            for v, cnt in sorted(per.get(i, [])):
+            got, acc, need = below.get(i, 0), below.get(i, 0), list(b.ranks)
+            inside = sorted(per.get(i, []))
+            if got > need[0] or got + sum(c for _, c in inside) < need[-1] + 1:
+                b.lo, b.hi = b.mn, b.mx  # type: ignore[attr-defined]  # approximation missed: widen
+                retry.append(b)
+                continue
+            for v, cnt in inside:
                 acc += cnt
-                if acc >= b.rank + 1:
-                    b.value = v
+                while need and acc >= need[0] + 1:
+                    values[(b.column, need.pop(0))] = v
+                if not need:
                     break
-            b.done = True
+        todo = retry
 
     out: dict[tuple[str, float], float | None] = {}
     for c in columns:
-        n = counts[c]
+        n = int(first[f"n_{names[c]}"])
         for p in probs:
             if n == 0:
                 out[(c, p)] = None
                 continue
             h = (n - 1) * p
             lo_r, hi_r = math.floor(h), math.ceil(h)
-            v_lo = brackets[(c, lo_r)].value
-            v_hi = brackets[(c, hi_r)].value
+            v_lo, v_hi = values[(c, lo_r)], values[(c, hi_r)]
             out[(c, p)] = float(v_lo + (h - lo_r) * (v_hi - v_lo))
     return out
 

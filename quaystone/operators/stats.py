@@ -139,8 +139,7 @@ def measure(df: DataFrame, columns: list[str] | None = None, *,
         facts[c] = cf
 
     if distinct and exact_distinct and columns:
-        uniq = value_count_table(df, columns).groupBy("column").agg(F.count(F.lit(1)).alias("u")).collect()
-        got = {r["column"]: int(r["u"]) for r in uniq}
+        got = {r["column"]: int(r["u"]) for r in distinct_counts(df, columns).collect()}
         for c in columns:
             facts[c].unique_count = got.get(c, 0)
 
@@ -177,6 +176,33 @@ def unpivot_text(df: DataFrame, columns: list[str], keep: list[str] | None = Non
             .filter(F.col("value").isNotNull()))
 
 
+def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, u) exact non-null distinct counts in one job: one unpivot per
+    type family (integers as bigint, other numbers as double, everything
+    else as text), ``groupBy(column, value)`` each, then a count per column.
+    Numbers are never turned into text just to be counted."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    integral = [c for c in columns if isinstance(types[c], T.IntegralType)]
+    fractional = [c for c in columns if is_numeric_type(types[c]) and c not in integral]
+    other = [c for c in columns if c not in integral and c not in fractional]
+    parts = []
+    for group, cast in ((integral, "bigint"), (fractional, "double")):
+        if group:
+            entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast(cast).alias("value")) for c in group]
+            long = (df.select(F.explode(F.array(*entries)).alias("_e"))
+                    .select("_e.column", "_e.value").filter(F.col("value").isNotNull()))
+            if cast == "double":
+                long = long.withColumn("value", F.nanvl("value", F.lit(None).cast("double"))).filter(
+                    F.col("value").isNotNull())
+            parts.append(long.groupBy("column", "value").agg(F.lit(1).alias("_one")).select("column"))
+    if other:
+        parts.append(value_count_table(df, other).select("column"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("column").agg(F.count(F.lit(1)).alias("u"))
+
+
 def value_count_table(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value, count) for every non-null value of every column."""
     return unpivot_text(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))

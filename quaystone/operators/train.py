@@ -11,8 +11,11 @@ The seed is fixed here, never by a plan.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
+
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -24,6 +27,9 @@ from quaystone.plans.modeling import ExperimentPlan, FeaturePlan, Variant
 from quaystone.session import checkpoint_dir
 
 SEED = 42
+# Concurrent fits submitted by the cross-validation loop.
+DEFAULT_PARALLELISM = 8
+ROWS_PER_FIT_PARTITION = 200_000
 
 
 def class_weights(df: DataFrame, label: str) -> F.Column:
@@ -61,25 +67,46 @@ def _fit_predict(fplan: FeaturePlan, variant: Variant, train: DataFrame, score:
     tr = fitted.transform(train).withColumn("_y", F.col(label).cast("double"))
     if weighted:
         tr = tr.withColumn("_w", class_weights(train, label))
+    # the assembled training set is read once per iteration by the
+    # iterative learners: keep it (memory, spilling to disk) for this fit
+    tr = tr.select("features", "_y", *(["_w"] if weighted else []))
     n_rows = tr.count()
-    model = make_estimator(variant, n_rows, weighted).fit(tr)
+    # iterative learners launch jobs per iteration: a small training set is
+    # packed into few partitions (one per ROWS_PER_FIT_PARTITION rows) so
+    # task overhead does not dominate; a large one keeps its partitioning
+    want = max(1, -(-n_rows // ROWS_PER_FIT_PARTITION))
+    if want < tr.rdd.getNumPartitions():
+        tr = tr.coalesce(want)
+    tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = make_estimator(variant, n_rows, weighted).fit(tr)
+    finally:
+        tr.unpersist()
     sc = fitted.transform(score).withColumn("_y", F.col(label).cast("double"))
     out = model.transform(sc)
     return out.select(key, F.col(label).cast("int").alias("label"),
                       vector_to_array("probability")[1].alias("score")), (fitted, model)
 
 
-def out_of_fold(df_train: DataFrame, fplan: FeaturePlan, variant: Variant, key: str, k: int) -> DataFrame:
-    """OOF scores: each row scored by the model of the fold that did not see it."""
-    parts = []
-    for i in range(k):
-        preds, _ = _fit_predict(fplan, variant, df_train.filter(F.col("fold") != i),
-                                df_train.filter(F.col("fold") == i), key)
-        parts.append(preds.withColumn("fold", F.lit(i)))
+def _oof_part(df_train: DataFrame, fplan: FeaturePlan, variant: Variant, key: str, i: int) -> DataFrame:
+    preds, _ = _fit_predict(fplan, variant, df_train.filter(F.col("fold") != i),
+                            df_train.filter(F.col("fold") == i), key)
+    return preds.withColumn("fold", F.lit(i)).withColumn("variant", F.lit(variant.name))
+
+
+def out_of_fold(df_train: DataFrame, fplan: FeaturePlan, variants: list[Variant], key: str, k: int,
+                parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
+    """OOF scores: each row scored by the model of the fold that did not see
+    it. The variants × folds fits are independent Spark jobs, submitted from
+    a thread pool (as ``CrossValidator(parallelism=…)`` does) so the
+    scheduler can overlap them."""
+    tasks = [(v, i) for v in variants for i in range(k)]
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tasks)))) as pool:
+        parts = list(pool.map(lambda t: _oof_part(df_train, fplan, t[0], key, t[1]), tasks))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("variant", F.lit(variant.name))
+    return out
 
 
 @dataclass
@@ -100,11 +127,7 @@ def run_experiments(df: DataFrame, fplan: FeaturePlan, eplan: ExperimentPlan, ke
     train = stratified_folds(split.filter(F.col("split") == "train").drop("split"), label, key,
                              eplan.cv_folds).checkpoint(eager=True)
     test = split.filter(F.col("split") == "test").drop("split")
-    oof_parts = [out_of_fold(train, fplan, v, key, eplan.cv_folds) for v in eplan.variants]
-    oof = oof_parts[0]
-    for p in oof_parts[1:]:
-        oof = oof.unionByName(p)
-    oof = oof.checkpoint(eager=True)
+    oof = out_of_fold(train, fplan, eplan.variants, key, eplan.cv_folds).checkpoint(eager=True)
     cv = metrics(oof, group_by="variant").checkpoint(eager=True)
     winner = select_winner(cv, eplan.primary_metric, [v.name for v in eplan.variants])
     wvar = next(v for v in eplan.variants if v.name == winner)
