@@ -60,32 +60,9 @@ def make_estimator(variant: Variant, n_rows: int, weighted: bool):
     raise ValueError(f"unknown estimator {variant.estimator!r}")
 
 
-def _fit_predict(fplan: FeaturePlan, variant: Variant, train: DataFrame, score: DataFrame, key: str):
-    label = fplan.target
-    weighted = variant.params.get("class_weight") == "balanced"
-    fitted = FeatureBuilder(fplan).fit(train)
-    tr = fitted.transform(train).withColumn("_y", F.col(label).cast("double"))
-    if weighted:
-        tr = tr.withColumn("_w", class_weights(train, label))
-    # the assembled training set is read once per iteration by the
-    # iterative learners: keep it (memory, spilling to disk) for this fit
-    tr = tr.select("features", "_y", *(["_w"] if weighted else []))
-    n_rows = tr.count()
-    # iterative learners launch jobs per iteration: a small training set is
-    # packed into few partitions (one per ROWS_PER_FIT_PARTITION rows) so
-    # task overhead does not dominate; a large one keeps its partitioning
-    want = max(1, -(-n_rows // ROWS_PER_FIT_PARTITION))
-    if want < tr.rdd.getNumPartitions():
-        tr = tr.coalesce(want)
-    tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = make_estimator(variant, n_rows, weighted).fit(tr)
-    finally:
-        tr.unpersist()
-    sc = fitted.transform(score).withColumn("_y", F.col(label).cast("double"))
-    out = model.transform(sc)
-    return out.select(key, F.col(label).cast("int").alias("label"),
-                      vector_to_array("probability")[1].alias("score")), (fitted, model)
+def _fit_predict(fplan: FeaturePlan, variant: Variant, train: DataFrame, scored: DataFrame, key: str):
+    fitted, model = fit_variant(train, fplan, variant)
+    return score(fitted, model, scored, fplan.target, key), (fitted, model)
 
 
 def _oof_part(df_train: DataFrame, fplan: FeaturePlan, variant: Variant, key: str, i: int) -> DataFrame:
@@ -119,7 +96,38 @@ class ExperimentResult:
     models: dict
 
 
-def run_experiments(df: DataFrame, fplan: FeaturePlan, eplan: ExperimentPlan, key: str) -> ExperimentResult:
+def fit_variant(df_train: DataFrame, fplan: FeaturePlan, variant: Variant):
+    """Preprocessing + estimator fitted on the full training split."""
+    label = fplan.target
+    weighted = variant.params.get("class_weight") == "balanced"
+    fitted = FeatureBuilder(fplan).fit(df_train)
+    tr = fitted.transform(df_train).withColumn("_y", F.col(label).cast("double"))
+    if weighted:
+        tr = tr.withColumn("_w", class_weights(df_train, label))
+    tr = tr.select("features", "_y", *(["_w"] if weighted else []))
+    n_rows = tr.count()
+    want = max(1, -(-n_rows // ROWS_PER_FIT_PARTITION))
+    if want < tr.rdd.getNumPartitions():
+        tr = tr.coalesce(want)
+    tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return fitted, make_estimator(variant, n_rows, weighted).fit(tr)
+    finally:
+        tr.unpersist()
+
+
+def score(fitted, model, df: DataFrame, label: str, key: str) -> DataFrame:
+    out = model.transform(fitted.transform(df).withColumn("_y", F.col(label).cast("double")))
+    return out.select(key, F.col(label).cast("int").alias("label"),
+                      vector_to_array("probability")[1].alias("score"))
+
+
+def run_experiments(df: DataFrame, fplan: FeaturePlan, eplan: ExperimentPlan, key: str,
+                    parallelism: int = DEFAULT_PARALLELISM) -> ExperimentResult:
+    """Split once; out-of-fold predictions for every variant; every variant
+    also fitted on the full training split (all of these fits are
+    independent and run concurrently); winner by the primary CV metric; the
+    hold-out is scored once, by the winner."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     label = fplan.target
@@ -127,15 +135,87 @@ def run_experiments(df: DataFrame, fplan: FeaturePlan, eplan: ExperimentPlan, ke
     train = stratified_folds(split.filter(F.col("split") == "train").drop("split"), label, key,
                              eplan.cv_folds).checkpoint(eager=True)
     test = split.filter(F.col("split") == "test").drop("split")
-    oof = out_of_fold(train, fplan, eplan.variants, key, eplan.cv_folds).checkpoint(eager=True)
+    full_train = train.drop("fold")
+
+    tasks = [("fold", v, i) for v in eplan.variants for i in range(eplan.cv_folds)]
+    tasks += [("full", v, None) for v in eplan.variants]
+
+    def run(task):
+        kind, v, i = task
+        if kind == "fold":
+            return kind, v.name, _oof_part(train, fplan, v, key, i)
+        return kind, v.name, fit_variant(full_train, fplan, v)
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tasks)))) as pool:
+        done = list(pool.map(run, tasks))
+    parts = [out for kind, _, out in done if kind == "fold"]
+    fitted_models = {name: out for kind, name, out in done if kind == "full"}
+    oof = parts[0]
+    for p in parts[1:]:
+        oof = oof.unionByName(p)
+    oof = oof.checkpoint(eager=True)
     cv = metrics(oof, group_by="variant").checkpoint(eager=True)
     winner = select_winner(cv, eplan.primary_metric, [v.name for v in eplan.variants])
-    wvar = next(v for v in eplan.variants if v.name == winner)
-    test_pred, models = _fit_predict(fplan, wvar, train.drop("fold"), test, key)
+    fitted, model = fitted_models[winner]
+    test_pred = score(fitted, model, test, label, key)
     test_m = metrics(test_pred.withColumn("variant", F.lit(winner)), group_by="variant")
     est = spark.createDataFrame([(v.name, v.estimator) for v in eplan.variants], "variant string, estimator string")
     long_cv = cv.unpivot(["variant"], list(METRICS), "metric", "value").withColumn("split", F.lit("cv"))
     long_test = test_m.unpivot(["variant"], list(METRICS), "metric", "value").withColumn("split", F.lit("test"))
     experiments = long_cv.unionByName(long_test).join(F.broadcast(est), "variant")  # est: one row per variant
     return ExperimentResult(winner=winner, cv_metrics=cv, test_metrics=test_m, experiments=experiments,
-                            oof=oof, models={"winner": models})
+                            oof=oof, models=fitted_models)
+
+
+# ---------------------------------------------------------------------------
+# persistence: fitted preprocessing + model, reloadable to the same scores
+# ---------------------------------------------------------------------------
+
+_MODEL_CLASSES = {"LogisticRegressionModel": "pyspark.ml.classification.LogisticRegressionModel",
+                  "RandomForestClassificationModel": "pyspark.ml.classification.RandomForestClassificationModel",
+                  "GBTClassificationModel": "pyspark.ml.classification.GBTClassificationModel"}
+
+
+def save_model(spark, fitted, model, path: str) -> None:
+    import json
+
+    from quaystone.sources.tables import write_text
+    plan = fitted.plan
+    doc = {
+        "plan": {"target": plan.target, "use_features": plan.use_features,
+                 "derived": [[d.name, d.numerator, d.denominator] for d in plan.derived],
+                 "transforms": plan.transforms, "encoders": plan.encoders,
+                 "advisory_overrides": plan.advisory_overrides},
+        "numeric_fill": fitted.numeric_fill, "category_fill": fitted.category_fill,
+        "scale": {k: list(v) for k, v in fitted.scale.items()}, "onehot_cols": fitted.onehot_cols,
+        "ordinal_labels": fitted.ordinal_labels, "output_cols": fitted.output_cols,
+        "model_class": type(model).__name__,
+    }
+    write_text(spark, json.dumps(doc), f"{path}/features.json")
+    if fitted.onehot_model is not None:
+        fitted.onehot_model.write().overwrite().save(f"{path}/onehot")
+    model.write().overwrite().save(f"{path}/model")
+
+
+def load_model(spark, path: str):
+    import importlib
+    import json
+
+    from pyspark.ml import PipelineModel
+
+    from quaystone.operators.features import FittedFeatures
+    from quaystone.plans.modeling import FeaturePlan, Ratio
+    from quaystone.sources.tables import read_contract_text
+    doc = json.loads(read_contract_text(spark, f"{path}/features.json"))
+    p = doc["plan"]
+    plan = FeaturePlan(target=p["target"], use_features=p["use_features"],
+                       derived=[Ratio(*d) for d in p["derived"]], transforms=p["transforms"],
+                       encoders=p["encoders"], advisory_overrides=p["advisory_overrides"])
+    fitted = FittedFeatures(plan=plan, numeric_fill=doc["numeric_fill"], category_fill=doc["category_fill"],
+                            scale={k: tuple(v) for k, v in doc["scale"].items()}, onehot_cols=doc["onehot_cols"],
+                            ordinal_labels=doc["ordinal_labels"], output_cols=doc["output_cols"])
+    if doc["onehot_cols"]:
+        fitted.onehot_model = PipelineModel.load(f"{path}/onehot")
+    module, _, cls = _MODEL_CLASSES[doc["model_class"]].rpartition(".")
+    model = getattr(importlib.import_module(module), cls).load(f"{path}/model")
+    return fitted, model
