@@ -293,6 +293,49 @@ def q_evl_metrics_by_lang(spark, sf):
                              *evaluate.METRICS))
 
 
+def q_gate_report_lineitem_x100(spark, sf):
+    li = _t(spark, sf, "lineitem")
+    c = _contract(lineitem_draft(), li, "lineitem")
+    rep = gate.run_gate(faults.scale_change(li, "l_extendedprice", 100.0), c, run_id="x100")
+    return rep.report_df(spark).select("passed", "errors", "warnings")
+
+
+def q_gate_families_lineitem_x100(spark, sf):
+    li = _t(spark, sf, "lineitem")
+    c = _contract(lineitem_draft(), li, "lineitem")
+    rep = gate.run_gate(faults.scale_change(li, "l_extendedprice", 100.0), c, run_id="x100")
+    return gate.findings_per_family(rep.findings_df(spark)).select("check_family", F.col("findings").cast("bigint"))
+
+
+def q_evl_winner_by_lang(spark, sf):
+    m = evaluate.metrics(_scored(spark, sf), group_by="lang").withColumnRenamed("lang", "variant")
+    winner = evaluate.select_winner(m, "roc_auc", ["de", "en", "es", "fr"])
+    return _rounded(evaluate.comparison_table(m, winner))
+
+
+def q_fea_transforms_churn(spark, sf):
+    from quaystone.operators.features import FeatureBuilder
+    from quaystone.plans.modeling import FeaturePlan, Ratio
+    t = _churn(spark, sf)
+    plan = FeaturePlan(target="toxic", use_features=["n_chars", "quality", "lang"],
+                       derived=[Ratio("chars_per_quality", "n_chars", "quality")],
+                       transforms={"quality": "minmax_scale", "chars_per_quality": "log1p"},
+                       encoders={"lang": "ordinal"})
+    fitted = FeatureBuilder(plan).fit(t)
+    out = fitted.transform_columns(t)
+    return _rounded(out.select("doc_id", "_f_n_chars", "_f_quality", "_f_chars_per_quality", "_f_lang"))
+
+
+def q_clm_missing_evidence_churn(spark, sf):
+    from quaystone.operators import claims
+    stats = eda.eda_stats(_churn(spark, sf), target="toxic")
+    d = _t(spark, sf, "documents")
+    cl = (d.select(F.concat(F.lit("lang.target_rate_by_category."), "lang").alias("evidence_stat_key"))
+          .unionByName(d.select(F.concat("source", F.lit(".unique_count")).alias("evidence_stat_key")))
+          .distinct())
+    return claims.missing_evidence(cl, stats)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k[2:]: v for k, v in globals().items() if k.startswith("q_") and callable(v)}
 
@@ -601,6 +644,33 @@ SELECT o_orderkey, CAST(o_custkey AS varchar) AS o_custkey, coalesce(d.pr, m.pr)
     sql["spl_split_churn"] = f"SELECT doc_id, toxic, split FROM {split}"
     sql["spl_folds_churn"] = (f"SELECT doc_id, toxic, ((row_number() OVER (PARTITION BY toxic ORDER BY md5('43|' || doc_id), doc_id) - 1) % 5)::bigint AS fold "
                               f"FROM {split} WHERE split = 'train'")
+    x100 = sql["gate_lineitem_scale_x100"]
+    sql["gate_report_lineitem_x100"] = (
+        f"SELECT count(*) FILTER (WHERE severity = 'ERROR') = 0 AS passed, "
+        f"count(*) FILTER (WHERE severity = 'ERROR')::bigint AS errors, "
+        f"count(*) FILTER (WHERE severity = 'WARN')::bigint AS warnings FROM ({x100})")
+    sql["gate_families_lineitem_x100"] = (f"SELECT check_family, count(*)::bigint AS findings FROM ({x100}) "
+                                          f"GROUP BY check_family")
+    by_lang = _metrics_sql("lang")
+    sql["evl_winner_by_lang"] = f"""
+WITH m AS ({by_lang}),
+w AS (SELECT lang FROM m ORDER BY roc_auc DESC, CASE lang WHEN 'de' THEN 0 WHEN 'en' THEN 1 WHEN 'es' THEN 2 ELSE 3 END LIMIT 1)
+SELECT m.lang AS variant, roc_auc, pr_auc, f1, precision, recall, accuracy, m.lang = (SELECT lang FROM w) AS is_winner FROM m"""
+    sql["fea_transforms_churn"] = f"""
+WITH t AS {_CHURN},
+d AS (SELECT *, n_chars::double / CASE WHEN quality = 0 THEN 1 ELSE quality END AS cpq FROM t),
+s AS (SELECT avg(n_chars) AS mu, stddev_pop(n_chars) AS sd, min(quality) AS qlo, max(quality) AS qhi FROM d),
+labels AS (SELECT lang, (row_number() OVER (ORDER BY lang) - 1)::double AS i FROM (SELECT DISTINCT lang FROM d))
+SELECT doc_id, round((n_chars - mu) / CASE WHEN sd = 0 THEN 1 ELSE sd END, 6) AS _f_n_chars,
+       round(CASE WHEN qhi = qlo THEN 0 ELSE (quality - qlo) / (qhi - qlo) END, 6) AS _f_quality,
+       round(ln(1 + cpq), 6) AS _f_chars_per_quality, round(labels.i, 6) AS _f_lang
+FROM d JOIN labels USING (lang), s"""
+    sql["clm_missing_evidence_churn"] = f"""
+WITH stats AS (SELECT 'lang.target_rate_by_category.' || lang AS k FROM {_CHURN} GROUP BY lang),
+cl AS (SELECT DISTINCT 'lang.target_rate_by_category.' || lang AS evidence_stat_key FROM documents
+       UNION SELECT DISTINCT source || '.unique_count' FROM documents)
+SELECT evidence_stat_key FROM cl WHERE evidence_stat_key NOT IN (SELECT k FROM stats)
+  AND evidence_stat_key NOT IN ('lang.unique_count', 'source.unique_count')"""
     sql["evl_metrics_scores"] = _metrics_sql(None)
     sql["evl_metrics_by_lang"] = _metrics_sql("lang")
     return sql

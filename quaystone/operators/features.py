@@ -99,7 +99,7 @@ class FittedFeatures:
     ordinal_labels: dict = field(default_factory=dict)
     output_cols: list = field(default_factory=list)
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def _prepare(self, df: DataFrame) -> DataFrame:
         out = add_derived(df, self.plan)
         for c, v in self.numeric_fill.items():
             out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.lit(v)))
@@ -117,6 +117,17 @@ class FittedFeatures:
         for c, labels in self.ordinal_labels.items():
             lookup = F.create_map(*[x for i, v in enumerate(labels) for x in (F.lit(v), F.lit(float(i)))])
             out = out.withColumn(f"_f_{c}", F.coalesce(F.element_at(lookup, F.col(c).cast("string")), F.lit(-1.0)))
+        return out
+
+    def transform_columns(self, df: DataFrame) -> DataFrame:
+        """The transformed numeric features as plain columns (``_f_<name>``),
+        before one-hot encoding and vector assembly."""
+        return self._prepare(df)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self._encode(self._prepare(df))
+
+    def _encode(self, out: DataFrame) -> DataFrame:
         if self.onehot_model is not None:
             out = self.onehot_model.transform(out)
         assembler = VectorAssembler(inputCols=self.output_cols, outputCol="features", handleInvalid="keep")
