@@ -98,3 +98,48 @@ def required_outputs_present(spark: SparkSession, paths: list[str]) -> DataFrame
         except Exception:
             rows.append((p, False, False))
     return spark.createDataFrame(rows, "path string, present boolean, non_empty boolean")
+
+
+def write_findings(spark: SparkSession, report: GateReport, root: str) -> None:
+    """Findings (parquet, appended, keyed by run id) and the report row."""
+    report.findings_df(spark).write.mode("append").partitionBy("run_id").parquet(f"{root}/findings")
+    report.report_df(spark).write.mode("append").parquet(f"{root}/reports")
+
+
+def write_contract(spark: SparkSession, contract, root: str) -> str:
+    """The contract document under ``root/<dataset>/<version>``; returns the path."""
+    from quaystone.sources.tables import write_text
+    path = f"{root}/{contract.dataset_name}/{contract.contract_version}"
+    write_text(spark, contract.to_json(), path)
+    return path
+
+
+@dataclass
+class ReplayResult:
+    contract_fingerprint: str
+    findings: list
+    winner: str | None
+    cv: list
+
+
+def replay(raw: DataFrame, cleaning_plan, draft, feature_plan=None, experiment_plan=None, *, key: str,
+           order_by=None, run_id: str = "replay", fault=None) -> ReplayResult:
+    """The deterministic chain from stored plans: clean → contract → (fault)
+    → gate → features/CV when the gate passes. Same inputs → same
+    fingerprint, findings and metrics."""
+    from quaystone.operators.clean import execute_plan
+    from quaystone.operators.gate import run_gate
+    from quaystone.operators.measure import build_contract
+    from quaystone.operators.train import run_experiments
+    clean_df = execute_plan(raw, cleaning_plan, order_by=order_by).checkpoint(eager=True)
+    contract = build_contract(draft, clean_df, contract_version="replay", run_id=run_id, created_by="replay",
+                              dataset_name="replay", created_at="1970-01-01T00:00:00Z")
+    candidate = fault(clean_df) if fault else clean_df
+    report = run_gate(candidate, contract, run_id=run_id)
+    winner, cv = None, []
+    if report.passed and feature_plan is not None and experiment_plan is not None:
+        res = run_experiments(candidate, feature_plan, experiment_plan, key)
+        winner = res.winner
+        cv = sorted((r["variant"], r["metric"], r["split"], r["value"]) for r in res.experiments.collect())
+    return ReplayResult(contract.integrity.fingerprint,
+                        sorted((f.check_id, f.severity, f.column) for f in report.findings), winner, cv)

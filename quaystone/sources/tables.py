@@ -117,3 +117,43 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
 def write_text(spark: SparkSession, text: str, path: str) -> None:
     """Write one small document (a contract, a plan) as a single text file."""
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+CONTRACTS_SCHEMA = ("path string, status string, error string, dataset_name string, "
+                    "contract_version string, document string")
+
+
+def read_contracts(spark: SparkSession, path: str) -> DataFrame:
+    """A folder of contract documents as a table, one row per document:
+    status ∈ {ok, empty, invalid_json, invalid_schema}. Each document is
+    validated on the executors (one small document per row)."""
+
+    def check(batches):
+        import json as _json
+
+        import pandas as pd
+        from pydantic import ValidationError
+
+        from quaystone.plans.contract import DatasetContract
+        for pdf in batches:
+            out = []
+            for p, text in zip(pdf["path"], pdf["value"]):
+                row = {"path": p, "status": "ok", "error": None, "dataset_name": None,
+                       "contract_version": None, "document": text}
+                if text is None or not text.strip():
+                    row["status"] = "empty"
+                else:
+                    try:
+                        doc = _json.loads(text)
+                        c = DatasetContract.model_validate(doc)
+                        row["dataset_name"], row["contract_version"] = c.dataset_name, c.contract_version
+                    except _json.JSONDecodeError as exc:
+                        row["status"], row["error"] = "invalid_json", str(exc)[:500]
+                    except ValidationError as exc:
+                        row["status"], row["error"] = "invalid_schema", str(exc)[:500]
+                out.append(row)
+            yield pd.DataFrame(out, columns=["path", "status", "error", "dataset_name", "contract_version",
+                                             "document"])
+
+    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
+    return raw.mapInPandas(check, CONTRACTS_SCHEMA)
