@@ -25,7 +25,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 10_000
@@ -42,28 +42,43 @@ class _Bracket:
     size: int = 0            # rows within [lo, hi]
 
 
+def _band(probs: list[float], delta: float) -> list[float]:
+    return sorted({min(1.0, max(0.0, v)) for p in probs for v in (p - delta, p + delta)})
+
+
+def first_pass_aggs(exprs: dict[str, Column], probs: list[float],
+                    accuracy: int = DEFAULT_ACCURACY) -> list[Column]:
+    """The selection's first-pass aggregates for ``{name: double expression}``,
+    so a caller can fold them into a scan it runs anyway."""
+    band = _band(probs, 3.0 / accuracy)
+    out = []
+    for name, x in exprs.items():
+        out += [F.count(x).alias(f"n_{name}"), F.min(x).alias(f"mn_{name}"), F.max(x).alias(f"mx_{name}"),
+                F.percentile_approx(x, band, accuracy).alias(f"ap_{name}")]
+    return out
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     accuracy: int = DEFAULT_ACCURACY,
-                    max_bracket: int = DEFAULT_MAX_BRACKET) -> dict[tuple[str, float], float | None]:
+                    max_bracket: int = DEFAULT_MAX_BRACKET, *,
+                    exprs: dict[str, Column] | None = None, first=None) -> dict[tuple[str, float], float | None]:
     """Exact linear-interpolation quantiles of numeric ``columns`` of ``df``.
 
     NULLs are ignored; a column without values gives ``None``. Returns
-    ``{(column, p): value}``.
+    ``{(column, p): value}``. ``exprs`` maps a column to the double
+    expression to use (default: the column cast to double); ``first`` is the
+    row of an aggregate that already contains ``first_pass_aggs`` for those
+    expressions under the names ``_qs_q<i>``.
     """
     if not columns:
         return {}
     eps = 1.0 / accuracy
     delta = 3 * eps
-    names = {c: f"_q{i}" for i, c in enumerate(columns)}
-    data = df.select(*[F.col(c).cast("double").alias(names[c]) for c in columns])
-
-    aggs = []
-    for c in columns:
-        x = names[c]
-        aggs += [F.count(x).alias(f"n_{x}"), F.min(x).alias(f"mn_{x}"), F.max(x).alias(f"mx_{x}")]
-        band = sorted({min(1.0, max(0.0, v)) for p in probs for v in (p - delta, p + delta)})
-        aggs.append(F.percentile_approx(x, band, accuracy).alias(f"ap_{x}"))
-    first = data.agg(*aggs).collect()[0]
+    names = {c: f"_qs_q{i}" for i, c in enumerate(columns)}
+    exprs = exprs or {c: F.col(c).cast("double") for c in columns}
+    data = df.select(*[exprs[c].alias(names[c]) for c in columns])
+    if first is None:
+        first = data.agg(*first_pass_aggs({names[c]: F.col(names[c]) for c in columns}, probs, accuracy)).collect()[0]
 
     brackets: list[_Bracket] = []
     values: dict[tuple[str, int], float] = {}
@@ -72,8 +87,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
         n = int(first[f"n_{x}"])
         if n == 0:
             continue
-        band = sorted({min(1.0, max(0.0, v)) for p in probs for v in (p - delta, p + delta)})
-        approx = dict(zip(band, first[f"ap_{x}"]))
+        approx = dict(zip(_band(probs, delta), first[f"ap_{x}"]))
         for p in probs:
             h = (n - 1) * p
             ranks = tuple(sorted({math.floor(h), math.ceil(h)}))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quaystone.functions.columns import is_numeric_type
+from quaystone.functions.staging import staged
 from quaystone.operators.stats import measure, unpivot_text
 
 # Fixed value — target rates are broken down only for columns with at most
@@ -37,7 +38,14 @@ def _binary_target(df: DataFrame, target: str | None) -> bool:
 
 
 def eda_stats(df: DataFrame, target: str | None = None) -> DataFrame:
-    """Long stats table (stat_key, column, stat, category, value)."""
+    """Long stats table (stat_key, column, stat, category, value), computed
+    eagerly (one small row per statistic)."""
+    with staged(df) as data:
+        out = _eda_stats(data, target)
+        return df.sparkSession.createDataFrame(out.collect(), STATS_SCHEMA)
+
+
+def _eda_stats(df: DataFrame, target: str | None) -> DataFrame:
     spark = df.sparkSession
     types = {f.name: f.dataType for f in df.schema.fields}
     binary = _binary_target(df, target)

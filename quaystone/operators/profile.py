@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quaystone.functions.fingerprint import row_hash
+from quaystone.functions.staging import staged
 from quaystone.operators.measure import target_class_counts
 from quaystone.operators.stats import low_card_value_counts, measure
 
@@ -82,14 +83,26 @@ def duplicate_row_count(df: DataFrame) -> int:
 
 
 def profile(df: DataFrame, target: str | None = None, exact_distinct: bool = True) -> Profile:
+    """Columns, top values, duplicate count and target balance. The returned
+    DataFrames are computed eagerly (small results), so a small input is kept
+    only for the duration of this call."""
     spark: SparkSession = df.sparkSession
+    with staged(df) as data:
+        return _profile(spark, data, target, exact_distinct)
+
+
+def _profile(spark: SparkSession, df: DataFrame, target: str | None, exact_distinct: bool) -> Profile:
     columns_df, facts = profile_columns(df, exact_distinct)
     summary = spark.createDataFrame(
         [(facts.row_count, len(df.columns), duplicate_row_count(df))],
         "row_count bigint, column_count int, duplicate_row_count bigint")
     target_df = target_class_counts(df, target) if target and target in df.columns else None
-    return Profile(columns=columns_df, top_values=top_values(df, facts), summary=summary,
-                   target_distribution=target_df)
+    top = top_values(df, facts)
+    # materialise the small results before the input is released
+    top = spark.createDataFrame(top.collect(), top.schema) if top is not None else None
+    if target_df is not None:
+        target_df = spark.createDataFrame(target_df.collect(), target_df.schema)
+    return Profile(columns=columns_df, top_values=top, summary=summary, target_distribution=target_df)
 
 
 def preview(df: DataFrame, order_by, n: int = 20) -> DataFrame:

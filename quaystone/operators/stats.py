@@ -28,7 +28,8 @@ from quaystone.functions.columns import (
     numeric_or_null,
     value_text,
 )
-from quaystone.functions.quantiles import exact_quantiles
+from quaystone.functions.quantiles import exact_quantiles, first_pass_aggs
+from quaystone.functions.staging import staged
 
 
 EXACT_MEAN_TYPE = "decimal(38,10)"
@@ -80,6 +81,17 @@ def measure(df: DataFrame, columns: list[str] | None = None, *,
             quantile_probs: tuple[float, ...] = (0.5,),
             distinct: bool = True, exact_distinct: bool = True,
             decimal_places: bool = False, extra_aggs: dict | None = None) -> TableFacts:
+    """Measure ``columns`` (default: all) of ``df`` — see ``_measure``. A small
+    input is kept between the passes (``functions.staging``)."""
+    with staged(df) as data:
+        return _measure(data, columns, quantile_probs=quantile_probs, distinct=distinct,
+                        exact_distinct=exact_distinct, decimal_places=decimal_places, extra_aggs=extra_aggs)
+
+
+def _measure(df: DataFrame, columns: list[str] | None = None, *,
+            quantile_probs: tuple[float, ...] = (0.5,),
+            distinct: bool = True, exact_distinct: bool = True,
+            decimal_places: bool = False, extra_aggs: dict | None = None) -> TableFacts:
     """Measure ``columns`` (default: all) of ``df``.
 
     ``exact_distinct=False`` swaps the exact distinct pass for
@@ -111,6 +123,10 @@ def measure(df: DataFrame, columns: list[str] | None = None, *,
         if distinct and not exact_distinct:
             aggs.append(F.approx_count_distinct(x).alias(f"ad{i}"))
     extra_aggs = dict(extra_aggs or {})
+    q_exprs = {c: numeric_or_null(c, types[c]) for c in numeric}
+    if numeric and quantile_probs:
+        # the quantile selection's first pass rides along in this scan
+        aggs += first_pass_aggs({f"_qs_q{i}": q_exprs[c] for i, c in enumerate(numeric)}, list(quantile_probs))
     row = df.agg(*aggs, *[e.alias(k) for k, e in extra_aggs.items()]).collect()[0]
     n = int(row["__rows"])
 
@@ -144,8 +160,7 @@ def measure(df: DataFrame, columns: list[str] | None = None, *,
             facts[c].unique_count = got.get(c, 0)
 
     if numeric and quantile_probs:
-        qdf = df.select(*[numeric_or_null(c, types[c]).alias(c) for c in numeric])
-        q = exact_quantiles(qdf, numeric, list(quantile_probs))
+        q = exact_quantiles(df, numeric, list(quantile_probs), exprs=q_exprs, first=row)
         for c in numeric:
             facts[c].quantiles = {p: q[(c, p)] for p in quantile_probs}
 

@@ -8,7 +8,6 @@ column by trying long → double → boolean → string over the whole column
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,14 +23,15 @@ def balance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     A scan with fewer splits than the cluster has task slots (e.g. one small
     file holding a single row group) would run every later pass on a few
     cores. Such an input is small by definition, so it is spread round-robin
-    once and kept (memory, spilling to disk) for the several passes an
-    operator makes. A scan of a large table already has far more splits than
-    slots, and this is a no-op for it.
+    right after the scan. Column pruning and filter pushdown still reach the
+    parquet scan (Catalyst pushes both below a round-robin repartition). A
+    scan of a large table already has far more splits than slots, and this
+    is a no-op for it.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
+    return df.repartition(target)
 
 
 def read_parquet(spark: SparkSession, path: str, balanced: bool = True) -> DataFrame:
