@@ -336,6 +336,32 @@ def q_clm_missing_evidence_churn(spark, sf):
     return claims.missing_evidence(cl, stats)
 
 
+def q_flt_scale_change_orders(spark, sf):
+    return _rounded(faults.scale_change(_t(spark, sf, "orders"), "o_totalprice", 100.0))
+
+
+def q_flt_flip_target_labels(spark, sf):
+    return faults.flip_target_encoding(_t(spark, sf, "labels"), "toxic")
+
+
+def q_cln_truthiness_clip_orders(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice", "o_custkey")
+    plan = CleaningPlan([Cast("o_orderpriority", "bool", "non-empty text is true"),
+                         Cast("o_custkey", "bool", "non-zero key is true"),
+                         Clip("o_totalprice", "bounded for reporting", min=10000.0)])
+    return _rounded(clean.execute_plan(o, plan))
+
+
+def q_gate_ranked_orders_rename(spark, sf):
+    o = _t(spark, sf, "orders")
+    c = _contract(orders_draft(), o, "orders")
+    rep = gate.run_gate(faults.rename_column(o, "o_totalprice", "o_total_price"), c, run_id="rename")
+    ranked = gate.rank_findings(rep.findings_df(spark))
+    from pyspark.sql import Window
+    return ranked.select("check_id", "severity", F.row_number().over(
+        Window.orderBy(F.when(F.col("severity") == "ERROR", 0).otherwise(1), "seq")).cast("bigint").alias("position"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k[2:]: v for k, v in globals().items() if k.startswith("q_") and callable(v)}
 
@@ -671,6 +697,23 @@ cl AS (SELECT DISTINCT 'lang.target_rate_by_category.' || lang AS evidence_stat_
        UNION SELECT DISTINCT source || '.unique_count' FROM documents)
 SELECT evidence_stat_key FROM cl WHERE evidence_stat_key NOT IN (SELECT k FROM stats)
   AND evidence_stat_key NOT IN ('lang.unique_count', 'source.unique_count')"""
+    sql["flt_scale_change_orders"] = ("SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice * 100, 6) AS o_totalprice, "
+                                      "o_orderdate, o_orderpriority FROM orders")
+    sql["flt_flip_target_labels"] = "SELECT doc_id, quality, 1 - toxic AS toxic FROM labels"
+    sql["cln_truthiness_clip_orders"] = ("SELECT o_orderkey, length(o_orderpriority) > 0 AS o_orderpriority, "
+                                         "round(greatest(o_totalprice, 10000.0), 6) AS o_totalprice, "
+                                         "o_custkey <> 0 AS o_custkey FROM orders")
+    order = ["SCHEMA_MISSING_COLUMN", "SCHEMA_UNKNOWN_COLUMN", "SCHEMA_COLUMN_ORDER", "SCHEMA_DTYPE_COMPATIBLE",
+             "TARGET_COLUMN_PRESENT", "TARGET_NO_NULLS", "TARGET_CLOSED_DOMAIN", "TARGET_AT_LEAST_TWO_CLASSES",
+             "TARGET_POSITIVE_RATE_DRIFT", "CONSTRAINTS_NULLABLE", "CONSTRAINTS_BUSINESS_RANGE",
+             "CONSTRAINTS_CLOSED_DOMAIN", "CONSTRAINTS_PRIMARY_KEY_UNIQUE", "SCALE_DRIFT_MEDIAN",
+             "SCALE_DRIFT_ROW_COUNT", "INTEGRITY_SHA256_MATCH", "MODELING_MIN_ROWS", "MODELING_MIN_FEATURES",
+             "MODELING_CONSTANT_REQUIRED_FEATURE"]
+    gate_pos = "CASE check_id " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(order)) + " END"
+    sql["gate_ranked_orders_rename"] = (
+        "SELECT check_id, severity, row_number() OVER (ORDER BY CASE severity WHEN 'ERROR' THEN 0 "
+        "WHEN 'WARN' THEN 1 WHEN 'INFO' THEN 2 ELSE 3 END, CASE check_family WHEN 'scale_drift' THEN 0 ELSE 1 END, "
+        f"{gate_pos})::bigint AS position FROM ({sql['gate_orders_rename']})")
     sql["evl_metrics_scores"] = _metrics_sql(None)
     sql["evl_metrics_by_lang"] = _metrics_sql("lang")
     return sql
