@@ -14,17 +14,17 @@ window per class).
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quaystone.functions.columns import is_numeric_type, safe_ratio
 from quaystone.functions.ordering import with_row_index
-from quaystone.functions.quantiles import exact_quantiles
-from quaystone.operators.clean import mode_value
+from quaystone.functions.quantiles import exact_quantiles, first_pass_aggs
 from quaystone.plans.modeling import FeaturePlan
 
 SEED = 42
@@ -144,6 +144,11 @@ class FeatureBuilder:
         self.plan = plan
 
     def fit(self, train: DataFrame) -> FittedFeatures:
+        """Three passes over the training side whatever the feature count:
+        one aggregate scan for every numeric feature (counts, moments,
+        min/max and the exact-quantile first pass), the exact-median
+        selection, and one ``groupBy(column, value)`` over all categorical
+        features (modes and encoder labels from the same small result)."""
         plan = self.plan
         data = add_derived(train, plan)
         types = {f.name: f.dataType for f in data.schema.fields}
@@ -158,60 +163,101 @@ class FeatureBuilder:
                 numeric_cols.append(name)
             else:
                 raise FeatureBuildError(f"feature {name!r} is not numeric and has no declared encoder")
-        # exact medians of the numeric features (training side only)
-        if numeric_cols:
-            med = exact_quantiles(data.select(*[F.col(c).cast("double").alias(c) for c in numeric_cols]),
-                                  numeric_cols, [0.5])
-            fitted.numeric_fill = {c: med[(c, 0.5)] if med[(c, 0.5)] is not None else 0.0 for c in numeric_cols}
-        for c in categorical:
-            mode = mode_value(data.select(F.col(c).cast("string").alias(c)), c)
-            fitted.category_fill[c] = mode if mode is not None else ""
-        filled = data
-        for c, v in fitted.numeric_fill.items():
-            filled = filled.withColumn(c, F.coalesce(F.col(c).cast("double"), F.lit(v)))
-        # scaling statistics in one aggregate
         kinds = {c: plan.transforms.get(c, "standard_scale") for c in numeric_cols}
-        aggs = []
-        for c in numeric_cols:
-            x = F.col(c).cast("double")
-            if kinds[c] == "standard_scale":
-                aggs += [F.avg(x).alias(f"a_{c}"), F.stddev_pop(x).alias(f"b_{c}")]
-            elif kinds[c] == "minmax_scale":
-                aggs += [F.min(x).alias(f"a_{c}"), F.max(x).alias(f"b_{c}")]
-        row = filled.agg(*aggs).collect()[0] if aggs else None
-        for c in numeric_cols:
-            if kinds[c] == "log1p":
-                fitted.scale[c] = ("log1p", 0.0, 0.0)
-            elif kinds[c] == "standard_scale":
-                fitted.scale[c] = ("standard", row[f"a_{c}"] or 0.0, row[f"b_{c}"] or 0.0)
-            else:
-                fitted.scale[c] = ("minmax", row[f"a_{c}"] or 0.0, row[f"b_{c}"] or 0.0)
+        if numeric_cols:
+            self._fit_numeric(data, numeric_cols, kinds, fitted)
         onehot = [c for c in categorical if plan.encoders[c] == "onehot"]
         ordinal = [c for c in categorical if plan.encoders[c] == "ordinal"]
-        cat_filled = filled
-        for c, v in fitted.category_fill.items():
-            cat_filled = cat_filled.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit(v)))
+        labels = self._fit_categorical(data, categorical, fitted) if categorical else {}
         for c in ordinal:
-            fitted.ordinal_labels[c] = [r[c] for r in cat_filled.select(c).distinct().orderBy(c).collect()]
+            fitted.ordinal_labels[c] = sorted(labels[c])
         if onehot:
-            from pyspark.ml import Pipeline
-            stages = [StringIndexer(inputCol=c, outputCol=f"_i_{c}", handleInvalid="keep",
-                                    stringOrderType="alphabetAsc") for c in onehot]
-            # the kept "unknown" slot is the dropped last one: unseen → all zeros
-            stages.append(OneHotEncoder(inputCols=[f"_i_{c}" for c in onehot],
-                                        outputCols=[f"_o_{c}" for c in onehot], dropLast=True,
-                                        handleInvalid="keep"))
-            fitted.onehot_model = Pipeline(stages=stages).fit(cat_filled)
+            from pyspark.ml import PipelineModel
+            from pyspark.ml.feature import StringIndexerModel
+            # one indexer per column (a multi-column label array would be padded
+            # to a square); StringIndexer's alphabetAsc order compares UTF-16 code units
+            indexers = [StringIndexerModel.from_labels(sorted(labels[c], key=lambda v: v.encode("utf-16-be")),
+                                                       inputCol=c, outputCol=f"_i_{c}", handleInvalid="keep")
+                        for c in onehot]
+            # the kept "unknown" slot is the dropped last one: unseen → all zeros.
+            # The encoder's sizes come from the indexers' column metadata (no job).
+            encoder = OneHotEncoder(inputCols=[f"_i_{c}" for c in onehot],
+                                    outputCols=[f"_o_{c}" for c in onehot], dropLast=True,
+                                    handleInvalid="keep")
+            probe = data.select(*[F.lit("").alias(c) for c in onehot]).limit(0)
+            for ix in indexers:
+                probe = ix.transform(probe)
+            fitted.onehot_model = PipelineModel(stages=[*indexers, encoder.fit(probe)])
             fitted.onehot_cols = onehot
-        out_cols = []
-        for name in plan.feature_names():
-            if name in onehot:
-                out_cols.append(f"_o_{name}")
-            else:
-                out_cols.append(f"_f_{name}")
-        fitted.output_cols = out_cols
+        fitted.output_cols = [f"_o_{name}" if name in onehot else f"_f_{name}" for name in plan.feature_names()]
         return fitted
 
+    @staticmethod
+    def _fit_numeric(data: DataFrame, numeric_cols: list[str], kinds: dict, fitted: FittedFeatures) -> None:
+        """Exact medians (the fill values) and the scaling statistics of the
+        median-filled columns. The filled column's moments are the raw
+        column's moments merged with ``k`` copies of the median (the same
+        pairwise merge Spark uses for partial ``stddev`` buffers), so no
+        second scan over the filled data is needed."""
+        exprs = {c: F.col(c).cast("double") for c in numeric_cols}
+        aggs = [F.count(F.lit(1)).alias("_rows")]
+        for i, c in enumerate(numeric_cols):
+            x = exprs[c]
+            aggs += [F.avg(x).alias(f"av{i}"), F.stddev_pop(x).alias(f"sp{i}"),
+                     F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}")]
+        aggs += first_pass_aggs({f"_qs_q{i}": exprs[c] for i, c in enumerate(numeric_cols)}, [0.5])
+        row = data.agg(*aggs).collect()[0]
+        med = exact_quantiles(data, numeric_cols, [0.5], exprs=exprs, first=row)
+        rows = int(row["_rows"])
+        for i, c in enumerate(numeric_cols):
+            m = med[(c, 0.5)]
+            fill = m if m is not None else 0.0
+            fitted.numeric_fill[c] = fill
+            n_a = int(row[f"n__qs_q{i}"])
+            k = rows - n_a
+            if kinds[c] == "log1p":
+                fitted.scale[c] = ("log1p", 0.0, 0.0)
+                continue
+            if n_a == 0:
+                mean, std, lo, hi = fill, 0.0, fill, fill
+            else:
+                mean_a, std_a = float(row[f"av{i}"]), float(row[f"sp{i}"] or 0.0)
+                delta = fill - mean_a
+                mean = mean_a + delta * k / rows if k else mean_a
+                m2 = std_a * std_a * n_a + (delta * delta * n_a * k / rows if k else 0.0)
+                std = math.sqrt(m2 / rows) if k else std_a
+                lo, hi = float(row[f"mn{i}"]), float(row[f"mx{i}"])
+                if k:
+                    lo, hi = min(lo, fill), max(hi, fill)
+            if kinds[c] == "standard_scale":
+                fitted.scale[c] = ("standard", mean, std)
+            else:
+                fitted.scale[c] = ("minmax", lo, hi)
+
+    @staticmethod
+    def _fit_categorical(data: DataFrame, categorical: list[str], fitted: FittedFeatures) -> dict[str, list[str]]:
+        """Value counts of every categorical feature in one shuffle → the mode
+        (most frequent, smallest on ties) used as the fill, and the label
+        set the encoder sees after filling."""
+        entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in categorical]
+        counts = (data.select(F.explode(F.array(*entries)).alias("_e"))
+                  .select("_e.column", "_e.value").filter(F.col("value").isNotNull())
+                  .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")).collect())
+        per: dict[str, dict[str, int]] = {c: {} for c in categorical}
+        for r in counts:
+            per[r["column"]][r["value"]] = int(r["n"])
+        labels = {}
+        for c in categorical:
+            values = per[c]
+            if values:
+                top = max(values.values())
+                fitted.category_fill[c] = min(v for v, n in values.items() if n == top)
+                labels[c] = list(values)
+            else:  # every value is null: the fill is the empty text
+                fitted.category_fill[c] = ""
+                labels[c] = [""]
+        return labels
+
 
 __all__ = ["FeatureBuildError", "FeatureBuilder", "FittedFeatures", "add_derived", "feature_table",
            "stratified_folds", "stratified_split", "T"]

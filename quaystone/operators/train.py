@@ -27,6 +27,7 @@ from quaystone.plans.modeling import ExperimentPlan, FeaturePlan, Variant
 from quaystone.session import checkpoint_dir
 
 SEED = 42
+LOGISTIC_TOL = 1e-4
 # Concurrent fits submitted by the cross-validation loop.
 DEFAULT_PARALLELISM = 8
 ROWS_PER_FIT_PARTITION = 200_000
@@ -34,8 +35,14 @@ ROWS_PER_FIT_PARTITION = 200_000
 _COST = {"gradient_boosting": 3, "random_forest": 2, "logistic_regression": 1}
 
 
-def class_weights(df: DataFrame, label: str) -> F.Column:
-    counts = {r[label]: int(r["n"]) for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+def class_counts(df: DataFrame, label: str) -> dict:
+    """label → row count (one small aggregate; partial aggregation first)."""
+    return {r[label]: int(r["n"]) for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def class_weights(df: DataFrame, label: str, counts: dict | None = None) -> F.Column:
+    """``balanced`` weights n / (k · n_class) as a map lookup on the label."""
+    counts = class_counts(df, label) if counts is None else counts
     n = sum(counts.values())
     k = len(counts)
     w = F.create_map(*[x for y, c in counts.items() for x in (F.lit(y), F.lit(n / (k * c)))])
@@ -49,8 +56,9 @@ def make_estimator(variant: Variant, n_rows: int, weighted: bool):
         common["weightCol"] = "_w"
     if variant.estimator == "logistic_regression":
         c = float(p.get("C", 1.0))
+        # tol: the reference estimator's default stopping tolerance (1e-4)
         return LogisticRegression(maxIter=int(p.get("max_iter", 100)), regParam=1.0 / (c * max(n_rows, 1)),
-                                  elasticNetParam=0.0, standardization=False, **common)
+                                  elasticNetParam=0.0, standardization=False, tol=LOGISTIC_TOL, **common)
     if variant.estimator == "random_forest":
         depth = p.get("max_depth")
         return RandomForestClassifier(numTrees=int(p.get("n_estimators", 100)),
@@ -103,11 +111,12 @@ def fit_variant(df_train: DataFrame, fplan: FeaturePlan, variant: Variant):
     label = fplan.target
     weighted = variant.params.get("class_weight") == "balanced"
     fitted = FeatureBuilder(fplan).fit(df_train)
+    counts = class_counts(df_train, label)   # also gives the row count
     tr = fitted.transform(df_train).withColumn("_y", F.col(label).cast("double"))
     if weighted:
-        tr = tr.withColumn("_w", class_weights(df_train, label))
+        tr = tr.withColumn("_w", class_weights(df_train, label, counts))
     tr = tr.select("features", "_y", *(["_w"] if weighted else []))
-    n_rows = tr.count()
+    n_rows = sum(counts.values())
     want = max(1, -(-n_rows // ROWS_PER_FIT_PARTITION))
     if want < tr.rdd.getNumPartitions():
         tr = tr.coalesce(want)
