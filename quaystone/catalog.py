@@ -362,6 +362,73 @@ def q_gate_ranked_orders_rename(spark, sf):
         Window.orderBy(F.when(F.col("severity") == "ERROR", 0).otherwise(1), "seq")).cast("bigint").alias("position"))
 
 
+def q_gate_orders_drop_required(spark, sf):
+    o = _t(spark, sf, "orders")
+    c = _contract(orders_draft(), o, "orders")
+    return _findings(gate.run_gate(faults.drop_column(o, "o_orderpriority"), c, run_id="drop"), spark)
+
+
+def q_gate_orders_change_dtype(spark, sf):
+    o = _t(spark, sf, "orders")
+    c = _contract(orders_draft(), o, "orders")
+    return _findings(gate.run_gate(faults.change_dtype(o, "o_totalprice", "str"), c, run_id="dtype"), spark)
+
+
+def _lang_experiments(spark, sf) -> DataFrame:
+    """Long metrics table (variant = lang, split = cv) over the scored table."""
+    m = evaluate.metrics(_scored(spark, sf), group_by="lang").withColumnRenamed("lang", "variant")
+    return evaluate.metrics_long(m, ["variant"]).withColumn("split", F.lit("cv"))
+
+
+def q_evl_comparison_pivot_by_lang(spark, sf):
+    long = _lang_experiments(spark, sf)
+    wide = evaluate.comparison_from_long(long, "cv")
+    winner = evaluate.select_winner(wide, "roc_auc", ["de", "en", "es", "fr"])
+    return _rounded(evaluate.comparison_table(wide, winner))
+
+
+def q_clm_metric_claims_by_lang(spark, sf):
+    from quaystone.operators import claims
+    long = _lang_experiments(spark, sf)
+    exact = long.filter(F.col("metric") == "roc_auc").select("variant", "split", "metric", "value")
+    overstated = long.filter(F.col("metric") == "f1").select("variant", "split", "metric",
+                                                             (F.col("value") + F.lit(0.01)).alias("value"))
+    unknown = long.filter(F.col("metric") == "accuracy").select("variant", F.lit("test").alias("split"), "metric",
+                                                                "value")
+    checked = claims.check_metric_claims(exact.unionByName(overstated).unionByName(unknown), long)
+    return _rounded(checked.select("variant", "split", "metric", "value", "measured", "status"))
+
+
+def q_clm_dependencies_churn(spark, sf):
+    from quaystone.operators import claims
+    t = _churn(spark, sf)
+    c = _contract(churn_like_draft(), t, "churn")
+    lang = next(col for col in c.columns if col.name == "lang")
+    assumptions = spark.createDataFrame([(f"lang={k}",) for k in sorted(lang.observed.value_distribution or {})],
+                                        "assumption string")
+    deps = _t(spark, sf, "documents").select(F.concat(F.lit("lang="), "lang").alias("dependency")).distinct()
+    return claims.supported_dependencies(deps, assumptions)
+
+
+def q_run_status_orders_faults(spark, sf):
+    from quaystone.operators import runs
+    o = _t(spark, sf, "orders")
+    c = _contract(orders_draft(), o, "orders")
+    records = []
+    for run_id, fault, cand in (("rename", "rename_column", faults.rename_column(o, "o_totalprice", "o_total_price")),
+                                ("x1_10", "scale_change", faults.scale_change(o, "o_totalprice", 1.10))):
+        rep = gate.run_gate(cand, c, run_id=run_id, fault_injection=fault)
+        records.append(runs.run_record(
+            spark, run_id=run_id, report=rep, rows=cand.count(), columns=len(cand.columns),
+            modeling_started=rep.passed,
+            not_started_reason=None if rep.passed else f"gate failed with {rep.errors} error(s)"))
+    table = records[0].unionByName(records[1])
+    return runs.run_status(table).select(
+        "run_id", "status", "failure_category", "rows", F.col("columns").cast("bigint").alias("columns"),
+        "gate_passed", "gate_errors", "gate_warnings", "fault_injection", "modeling_started",
+        "not_started_reason", "is_pass", "is_fail", "is_demo", "is_degraded", "headline")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k[2:]: v for k, v in globals().items() if k.startswith("q_") and callable(v)}
 
@@ -714,6 +781,55 @@ SELECT evidence_stat_key FROM cl WHERE evidence_stat_key NOT IN (SELECT k FROM s
         "SELECT check_id, severity, row_number() OVER (ORDER BY CASE severity WHEN 'ERROR' THEN 0 "
         "WHEN 'WARN' THEN 1 WHEN 'INFO' THEN 2 ELSE 3 END, CASE check_family WHEN 'scale_drift' THEN 0 ELSE 1 END, "
         f"{gate_pos})::bigint AS position FROM ({sql['gate_orders_rename']})")
+    pk = _finding("CONSTRAINTS_PRIMARY_KEY_UNIQUE", "constraints", "ERROR", "o_orderkey",
+                  "(SELECT sum(n) FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderkey HAVING count(*) > 1))",
+                  where="EXISTS (SELECT 1 FROM orders GROUP BY o_orderkey HAVING count(*) > 1)")
+    sql["gate_orders_drop_required"] = " UNION ALL ".join([
+        _finding("SCHEMA_MISSING_COLUMN", "schema", "ERROR", "o_orderpriority", "NULL"),
+        _finding("SCHEMA_COLUMN_ORDER", "schema", "WARN", None, "NULL"),
+        pk,
+        _finding("INTEGRITY_SHA256_MATCH", "integrity", "ERROR", None, "NULL"),
+    ])
+    sql["gate_orders_change_dtype"] = " UNION ALL ".join([
+        _finding("SCHEMA_DTYPE_COMPATIBLE", "schema", "ERROR", "o_totalprice", "NULL"),
+        pk,
+        _finding("INTEGRITY_SHA256_MATCH", "integrity", "ERROR", None, "NULL"),
+    ])
+    by_lang_raw = _metrics_sql("lang")
+    sql["evl_comparison_pivot_by_lang"] = sql["evl_winner_by_lang"]
+    sql["clm_metric_claims_by_lang"] = f"""
+WITH m AS ({by_lang_raw}),
+l AS (SELECT lang AS variant, 'cv' AS split, metric, value FROM m
+      UNPIVOT (value FOR metric IN (roc_auc, pr_auc, f1, precision, recall, accuracy))),
+c AS (SELECT variant, split, metric, value FROM l WHERE metric = 'roc_auc'
+      UNION ALL SELECT variant, split, metric, value + 0.01 FROM l WHERE metric = 'f1'
+      UNION ALL SELECT variant, 'test', metric, value FROM l WHERE metric = 'accuracy')
+SELECT c.variant, c.split, c.metric, round(c.value, 6) AS value, round(l.value, 6) AS measured,
+       CASE WHEN l.value IS NULL THEN 'unknown' WHEN l.value = c.value THEN 'ok' ELSE 'mismatch' END AS status
+FROM c LEFT JOIN l USING (variant, split, metric)"""
+    sql["clm_dependencies_churn"] = f"""
+SELECT DISTINCT 'lang=' || lang AS dependency FROM documents
+WHERE lang IN (SELECT DISTINCT lang FROM {_CHURN} WHERE lang IS NOT NULL)"""
+    runs_src = " UNION ALL ".join(
+        f"SELECT '{rid}' AS run_id, '{fault}' AS fault_injection, "
+        f"(SELECT count(*) FROM ({q}) WHERE severity = 'ERROR') AS gate_errors, "
+        f"(SELECT count(*) FROM ({q}) WHERE severity = 'WARN') AS gate_warnings"
+        for rid, fault, q in (("rename", "rename_column", sql["gate_orders_rename"]),
+                              ("x1_10", "scale_change", sql["gate_orders_scale_x1_10"])))
+    sql["run_status_orders_faults"] = f"""
+WITH r AS ({runs_src})
+SELECT run_id, CASE WHEN gate_errors = 0 THEN 'failed' ELSE 'gate_failed' END AS status,
+       CASE WHEN gate_errors = 0 THEN 'failed' ELSE 'gate_failed' END AS failure_category,
+       (SELECT count(*) FROM orders)::bigint AS rows, 6::bigint AS columns,
+       gate_errors = 0 AS gate_passed, gate_errors::bigint AS gate_errors, gate_warnings::bigint AS gate_warnings,
+       fault_injection, gate_errors = 0 AS modeling_started,
+       CASE WHEN gate_errors = 0 THEN NULL ELSE 'gate failed with ' || gate_errors || ' error(s)' END
+         AS not_started_reason,
+       gate_errors = 0 AS is_pass, gate_errors > 0 AS is_fail, true AS is_demo,
+       gate_errors = 0 AND gate_warnings > 0 AS is_degraded,
+       CASE WHEN gate_errors > 0 THEN 'blocked by the gate (injected fault: ' || fault_injection || ')'
+            WHEN gate_warnings > 0 THEN 'passed with warnings' ELSE 'passed' END AS headline
+FROM r"""
     sql["evl_metrics_scores"] = _metrics_sql(None)
     sql["evl_metrics_by_lang"] = _metrics_sql("lang")
     return sql

@@ -98,6 +98,14 @@ def comparison_table(metrics_df: DataFrame, winner: str | None = None) -> DataFr
     return out.withColumn("is_winner", F.col("variant") == F.lit(winner) if winner else F.lit(False))
 
 
+def comparison_from_long(experiments: DataFrame, split: str) -> DataFrame:
+    """variant × six metrics as columns from the long experiments table
+    (``groupBy(variant).pivot(metric)`` over one split; the pivot values are
+    listed, so no extra job discovers them)."""
+    return (experiments.filter(F.col("split") == split)
+            .groupBy("variant").pivot("metric", list(METRICS)).agg(F.first("value")))
+
+
 def lookup_metric(experiments: DataFrame, variant: str, split: str, metric: str) -> float:
     """One number from the long experiments table; test metrics exist only
     for the winner."""
