@@ -179,11 +179,14 @@ class FeatureBuilder:
             indexers = [StringIndexerModel.from_labels(sorted(labels[c], key=lambda v: v.encode("utf-16-be")),
                                                        inputCol=c, outputCol=f"_i_{c}", handleInvalid="keep")
                         for c in onehot]
-            # the kept "unknown" slot is the dropped last one: unseen → all zeros.
-            # The encoder's sizes come from the indexers' column metadata (no job).
+            # The indexers send unseen values to index n, which their metadata
+            # lists as a category; dropLast removes exactly that slot, so known
+            # categories keep n columns and unseen ones encode as all zeros.
+            # (The encoder's own invalid slot is never needed: "error".) Its
+            # sizes come from the indexers' column metadata (no job).
             encoder = OneHotEncoder(inputCols=[f"_i_{c}" for c in onehot],
                                     outputCols=[f"_o_{c}" for c in onehot], dropLast=True,
-                                    handleInvalid="keep")
+                                    handleInvalid="error")
             probe = data.select(*[F.lit("").alias(c) for c in onehot]).limit(0)
             for ix in indexers:
                 probe = ix.transform(probe)
