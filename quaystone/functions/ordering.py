@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quaystone.session import checkpoint_dir
+
 
 def _cols(order_by) -> list[Column]:
     if order_by is None:
@@ -27,6 +29,24 @@ def _cols(order_by) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order_by]
 
 
+# An offsets table (one row per partition and group) is broadcast when it is
+# known to hold at most this many rows; otherwise it is joined by a shuffle.
+OFFSETS_BROADCAST_ROWS = 1_000_000
+
+
+def _offsets_side(offsets: DataFrame, df: DataFrame, groups: list[str], group_count: int | None,
+                  partitions: int | None) -> DataFrame:
+    """Broadcast the offsets when their row count is bounded: always without
+    groups (one row per partition), with groups only when the caller knows
+    how many there are (e.g. the classes it just counted)."""
+    if not groups:
+        return F.broadcast(offsets)
+    if group_count is None:
+        return offsets
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return F.broadcast(offsets) if group_count * parts <= OFFSETS_BROADCAST_ROWS else offsets
+
+
 def _names(cols) -> list[str]:
     if cols is None:
         return []
@@ -34,13 +54,20 @@ def _names(cols) -> list[str]:
 
 
 def with_row_index(df: DataFrame, order_by, name: str = "row_index",
-                   partition_by=None, partitions: int | None = None) -> DataFrame:
+                   partition_by=None, partitions: int | None = None,
+                   group_count: int | None = None) -> DataFrame:
     groups = _names(partition_by)
     order = [F.col(g) for g in groups] + _cols(order_by)
     ranged = (df.repartitionByRange(partitions, *order) if partitions
               else df.repartitionByRange(*order)).sortWithinPartitions(*order)
     tagged = (ranged.withColumn("_qs_pid", F.spark_partition_id())
               .withColumn("_qs_mono", F.monotonically_increasing_id()))
+    # The offsets and the rows both derive from this range-partitioned table.
+    # Spark does not reuse the range exchange across the two branches, so the
+    # table is written once to the shared checkpoint folder: one range shuffle
+    # instead of two, fixed partition ids, and a lineage cut.
+    checkpoint_dir(df.sparkSession)
+    tagged = tagged.checkpoint(eager=True)
     keys = ["_qs_pid", *groups]
     per_part = tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_qs_n"),
                                         F.min("_qs_mono").alias("_qs_base"))
@@ -48,9 +75,8 @@ def with_row_index(df: DataFrame, order_by, name: str = "row_index",
     offsets = per_part.select(
         *keys, "_qs_base",
         F.coalesce(F.sum("_qs_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_qs_off"))
-    # one row per partition (and group): bounded by the partition count when
-    # ungrouped, so it is broadcast; grouped callers use few groups.
-    side = F.broadcast(offsets) if not groups else offsets
+    # one row per partition (and group): broadcast when that is provably small
+    side = _offsets_side(offsets, df, groups, group_count, partitions)
     return (tagged.join(side, keys)
             .withColumn(name, F.col("_qs_off") + F.col("_qs_mono") - F.col("_qs_base"))
             .drop("_qs_pid", "_qs_mono", "_qs_base", "_qs_off"))
@@ -63,13 +89,17 @@ def first_rows(df: DataFrame, n: int, order_by) -> DataFrame:
 
 
 def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], *, descending: bool = False,
-                partition_by=None, prefix: str = "cum_") -> DataFrame:
+                partition_by=None, prefix: str = "cum_", group_count: int | None = None) -> DataFrame:
     """Inclusive running sums of ``value_cols`` in ``order_col`` order (within
     ``partition_by`` groups). ``order_col`` must be unique within a group."""
     groups = _names(partition_by)
     o = F.col(order_col).desc() if descending else F.col(order_col).asc()
     order = [F.col(g) for g in groups] + [o]
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_qs_pid", F.spark_partition_id())
+    # read by both the running-sum pass and the partition totals: written once
+    # (one range shuffle, fixed partition ids), as in ``with_row_index``
+    checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
     out_fields = list(ranged.schema.fields) + [T.StructField(f"{prefix}{c}", T.DoubleType()) for c in value_cols]
     out_schema = T.StructType(out_fields)
 
@@ -97,7 +127,7 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], *, descend
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, *[F.coalesce(F.sum(f"_qs_t_{c}").over(w), F.lit(0.0)).alias(f"_qs_o_{c}")
                                      for c in value_cols])
-    side = F.broadcast(offsets) if not groups else offsets
+    side = _offsets_side(offsets, df, groups, group_count, None)
     joined = local.join(side, keys)
     return joined.select(*df.columns, *[(F.col(f"{prefix}{c}") + F.col(f"_qs_o_{c}")).alias(f"{prefix}{c}")
                                         for c in value_cols])

@@ -33,6 +33,9 @@ def get_spark(master: str | None = None, app_name: str = "quaystone",
             # local mode: the driver JVM is the only executor
             builder = builder.config("spark.driver.memory", os.environ.get("QUAYSTONE_DRIVER_MEMORY", "16g"))
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    # checkpoint files of tables no longer referenced are removed (lineage cuts
+    # of whole tables would otherwise accumulate in the shared folder)
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
