@@ -66,17 +66,28 @@ def top_values(df: DataFrame, facts) -> DataFrame | None:
             .filter(F.col("rank") <= TOP_VALUES_SHOWN))
 
 
+# Repeated row hashes up to this many are broadcast to the exact pass.
+BROADCAST_REPEATED_HASHES = 2_000_000
+
+
 def duplicate_row_count(df: DataFrame) -> int:
     """Rows identical to an earlier row (all columns; NULLs equal each other).
 
-    Two phases so full rows are only shuffled when they may be duplicates:
-    count 64-bit row hashes first, then group the rows whose hash repeats by
-    their full content.
+    Full rows are only shuffled when they may be duplicates: 64-bit row
+    hashes are counted first (map-side partial aggregation, 8 bytes a row).
+    No repeated hash means no duplicate and no second pass. Otherwise the
+    rows whose hash repeats are grouped by their full content; the repeated
+    hashes are broadcast to that pass when their count (just measured) is
+    bounded, else joined by a shuffle.
     """
     hashed = df.select(row_hash(df).alias("_qs_h"), *df.columns)
     repeated = (hashed.groupBy("_qs_h").agg(F.count(F.lit(1)).alias("n"))
                 .filter(F.col("n") > 1).select("_qs_h"))
-    exact = (hashed.join(repeated, "_qs_h", "left_semi")
+    n_repeated = repeated.count()
+    if n_repeated == 0:
+        return 0
+    side = F.broadcast(repeated) if n_repeated <= BROADCAST_REPEATED_HASHES else repeated
+    exact = (hashed.join(side, "_qs_h", "left_semi")
              .groupBy("_qs_h", *df.columns).agg(F.count(F.lit(1)).alias("n")))
     row = exact.agg(F.sum(F.col("n") - 1).alias("dups")).collect()[0]
     return int(row["dups"] or 0)
