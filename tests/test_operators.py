@@ -145,3 +145,15 @@ def test_splits_are_stratified_and_stable(spark):
     folds = stratified_folds(df.join(spark.createDataFrame(s1[s1.split == "train"][["k"]]), "k"), "y", "k", 5).toPandas()
     counts = folds.groupby(["fold", "y"]).size().unstack()
     assert counts.max().max() - counts.min().min() <= 1 + 120 - 120 or (counts[1].max() - counts[1].min() <= 1)
+
+
+def test_target_facts_match_separate_measures(spark):
+    from quaystone.operators.measure import measure_positive_rate, target_class_counts, target_facts
+    num = spark.createDataFrame([(1,), (0,), (1,), (None,), (2,), (2,)], "y int")
+    txt = spark.createDataFrame([("no",), ("yes",), (None,), ("yes",)], "y string")
+    for df, dom in ((num, None), (txt, ["no", "yes"])):
+        counts, rate = target_facts(df, "y", dom)
+        assert counts == {r["value"]: r["count"] for r in target_class_counts(df, "y").collect()}
+        assert rate == pytest.approx(measure_positive_rate(df, "y", dom))
+    assert target_facts(num, "y", None)[1] == pytest.approx(2 / 6)
+    assert target_facts(txt, "y", ["no", "yes"]) == ({"no": 1, "yes": 2, "null": 1}, 0.5)
