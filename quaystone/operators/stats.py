@@ -33,6 +33,11 @@ from quaystone.functions.staging import staged
 
 
 EXACT_MEAN_TYPE = "decimal(38,10)"
+# Non-numeric columns whose HyperLogLog estimate is at most this many
+# distinct values get their (value, count) list from the exact distinct pass
+# (bounded: twice the largest cardinality any caller lists), so no second
+# value-count pass is needed for top values or value distributions.
+VALUE_LIST_CANDIDATE_MAX = 100
 
 
 @dataclass
@@ -52,6 +57,7 @@ class ColumnFacts:
     std_pop: float | None = None
     quantiles: dict[float, float | None] = field(default_factory=dict)
     decimal_places: int | None = None
+    value_counts: dict[str, int] | None = None   # only for low-cardinality non-numeric columns
 
 
 @dataclass
@@ -122,6 +128,8 @@ def _measure(df: DataFrame, columns: list[str] | None = None, *,
                 aggs.append(_decimal_places_expr(c, dt).alias(f"dp{i}"))
         if distinct and not exact_distinct:
             aggs.append(F.approx_count_distinct(x).alias(f"ad{i}"))
+        elif distinct and c not in numeric:
+            aggs.append(F.approx_count_distinct(x).alias(f"hd{i}"))
     extra_aggs = dict(extra_aggs or {})
     q_exprs = {c: numeric_or_null(c, types[c]) for c in numeric}
     if numeric and quantile_probs:
@@ -155,9 +163,17 @@ def _measure(df: DataFrame, columns: list[str] | None = None, *,
         facts[c] = cf
 
     if distinct and exact_distinct and columns:
-        got = {r["column"]: int(r["u"]) for r in distinct_counts(df, columns).collect()}
+        listed = {c for i, c in enumerate(columns)
+                  if c not in numeric and int(row[f"hd{i}"]) <= VALUE_LIST_CANDIDATE_MAX}
+        got = {}
+        for r in distinct_counts(df, columns, listed).collect():
+            got[r["column"]] = int(r["u"])
+            if r["column"] in listed:
+                facts[r["column"]].value_counts = {v["value"]: int(v["count"]) for v in r["vals"]}
         for c in columns:
             facts[c].unique_count = got.get(c, 0)
+            if c in listed and facts[c].value_counts is None:
+                facts[c].value_counts = {}
 
     if numeric and quantile_probs:
         q = exact_quantiles(df, numeric, list(quantile_probs), exprs=q_exprs, first=row)
@@ -177,6 +193,10 @@ def low_card_value_counts(df: DataFrame, facts: TableFacts, max_distinct: int,
             and 0 < facts.columns[c].unique_count <= max_distinct]
     if not cols:
         return None
+    if all(facts.columns[c].value_counts is not None for c in cols):
+        # ≤ max_distinct rows per column, already measured by the distinct pass
+        rows = [(c, v, n) for c in cols for v, n in facts.columns[c].value_counts.items()]
+        return df.sparkSession.createDataFrame(rows, "column string, value string, count bigint")
     return value_count_table(df, cols)
 
 
@@ -191,15 +211,19 @@ def unpivot_text(df: DataFrame, columns: list[str], keep: list[str] | None = Non
             .filter(F.col("value").isNotNull()))
 
 
-def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, u) exact non-null distinct counts in one job: one unpivot per
-    type family (integers as bigint, other numbers as double, everything
-    else as text), ``groupBy(column, value)`` each, then a count per column.
-    Numbers are never turned into text just to be counted."""
+def distinct_counts(df: DataFrame, columns: list[str], listed: set[str] | None = None) -> DataFrame:
+    """(column, u, vals) exact non-null distinct counts in one job: one
+    unpivot per type family (integers as bigint, other numbers as double,
+    everything else as text), ``groupBy(column, value)`` each, then a count
+    per column. Numbers are never turned into text just to be counted.
+    For the text columns in ``listed`` (known to be low-cardinality),
+    ``vals`` also holds every (value, count) pair; it is empty otherwise."""
     types = {f.name: f.dataType for f in df.schema.fields}
+    listed = set(listed or ())
     integral = [c for c in columns if isinstance(types[c], T.IntegralType)]
     fractional = [c for c in columns if is_numeric_type(types[c]) and c not in integral]
     other = [c for c in columns if c not in integral and c not in fractional]
+    none_text, none_count = F.lit(None).cast("string"), F.lit(None).cast("bigint")
     parts = []
     for group, cast in ((integral, "bigint"), (fractional, "double")):
         if group:
@@ -209,13 +233,19 @@ def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
             if cast == "double":
                 long = long.withColumn("value", F.nanvl("value", F.lit(None).cast("double"))).filter(
                     F.col("value").isNotNull())
-            parts.append(long.groupBy("column", "value").agg(F.lit(1).alias("_one")).select("column"))
+            parts.append(long.groupBy("column", "value").agg(F.lit(1).alias("_one"))
+                         .select("column", none_text.alias("value"), none_count.alias("count")))
     if other:
-        parts.append(value_count_table(df, other).select("column"))
+        vc = value_count_table(df, other)
+        keep = F.col("column").isin(sorted(listed)) if listed else F.lit(False)
+        parts.append(vc.select("column", F.when(keep, F.col("value")).alias("value"),
+                               F.when(keep, F.col("count")).alias("count")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.groupBy("column").agg(F.count(F.lit(1)).alias("u"))
+    # collect_list skips NULLs: only listed columns (bounded) contribute
+    pair = F.when(F.col("value").isNotNull(), F.struct("value", "count"))
+    return out.groupBy("column").agg(F.count(F.lit(1)).alias("u"), F.collect_list(pair).alias("vals"))
 
 
 def value_count_table(df: DataFrame, columns: list[str]) -> DataFrame:
