@@ -107,7 +107,18 @@ def _profile(spark: SparkSession, df: DataFrame, target: str | None, exact_disti
     summary = spark.createDataFrame(
         [(facts.row_count, len(df.columns), duplicate_row_count(df))],
         "row_count bigint, column_count int, duplicate_row_count bigint")
-    target_df = target_class_counts(df, target) if target and target in df.columns else None
+    target_df = None
+    if target and target in df.columns:
+        tf = facts.columns[target]
+        if tf.value_counts is not None:
+            # the distinct pass already counted every value of this
+            # low-cardinality target; NULLs come from the scan's null count
+            counts: dict[str, int] = dict(tf.value_counts)
+            if tf.null_count:
+                counts["null"] = counts.get("null", 0) + tf.null_count
+            target_df = spark.createDataFrame(sorted(counts.items()), "value string, count bigint")
+        else:
+            target_df = target_class_counts(df, target)
     top = top_values(df, facts)
     # materialise the small results before the input is released
     top = spark.createDataFrame(top.collect(), top.schema) if top is not None else None

@@ -157,3 +157,13 @@ def test_target_facts_match_separate_measures(spark):
         assert rate == pytest.approx(measure_positive_rate(df, "y", dom))
     assert target_facts(num, "y", None)[1] == pytest.approx(2 / 6)
     assert target_facts(txt, "y", ["no", "yes"]) == ({"no": 1, "yes": 2, "null": 1}, 0.5)
+
+
+def test_profile_target_distribution_matches_grouped_counts(spark):
+    from quaystone.operators.measure import target_class_counts
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("a", None), ("null", 5)], "t string, u int")
+    for target in ("t", "u"):
+        p = profile.profile(df, target=target)
+        got = {r["value"]: r["count"] for r in p.target_distribution.collect()}
+        want = {r["value"]: r["count"] for r in target_class_counts(df, target).collect()}
+        assert got == want, target
