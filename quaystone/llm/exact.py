@@ -83,7 +83,8 @@ def exact_dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     maybe = probed.where("maybe")
     best = F.min(F.struct((-F.col("len")).alias("l"), F.col("own.id").isNull().alias("n"),
                           F.col("own.id").alias("id"), F.col("rid").alias("rid")))
-    groups = maybe.groupBy("sha").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
+    # written first, so that the join has shuffles of its own, which a hot group is split in
+    groups = stage(maybe.groupBy("sha").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best")))
     compared = maybe.join(groups, "sha").select(
         "own", "extra", "sha", "len", F.col("best.id").alias("keep_id"), "group_size",
         (F.col("rid") == F.col("best.rid")).alias("kept"))

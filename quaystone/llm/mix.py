@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quaystone.functions.ordering import with_row_index
 
-from .common import WORD_PATTERN, payload, quoted, stage
+from .common import WORD_PATTERN, quoted, stage
 
 BROADCAST_SOURCES = 100_000  # up to so many sources (counted) the rates are broadcast; beyond, the join shuffles
 
@@ -78,11 +78,7 @@ def plan_mix(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
 
 
 def mix(df: DataFrame, **options) -> DataFrame:
-    """The mixed corpus: every row of ``df`` as often as the plan says, with copy (0, 1, ...) added.
-
-    An input column named copy comes back as copy_src.
-    """
+    """The mixed corpus: every row of ``df``, its columns as they are, as often as the plan says."""
     plan = plan_mix(df, **options).where("copies > 0")
-    names = [(c, c + "_src" if c.lower() == "copy" else c) for c in df.columns]
-    return plan.select(*[F.col(f"row.{quoted(c)}").alias(a) for c, a in names],
-                       F.explode(F.expr("sequence(0L, copies - 1)")).alias("copy"))
+    return (plan.select("row", F.explode(F.expr("sequence(1L, copies)")).alias("copy"))
+            .select(*[F.col(f"row.{quoted(c)}").alias(c) for c in df.columns]))

@@ -7,12 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, line_chunks, mix, shard
+from . import decontaminate, exact, jaccard, line_chunks, mix, quality, shard
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a benchmark item, with the items."""
+    found = decontaminate.contaminations(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_passages", F.round("question_overlap", 6).alias("question_overlap"),
+                        F.round("answer_overlap", 6).alias("answer_overlap"))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score."""
+    docs = documents(spark, sf_dir)
+    model = quality.fit(docs, documents(spark, sf_dir, "labels"))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"),
+                         F.round("score", 9).alias("score"), "predicted")
+
+
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the component of its near copies."""
+    return jaccard.jaccard_classes(documents(spark, sf_dir))
+
+
 def op4_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents dealt into 24 shards of equal row counts."""
     docs = documents(spark, sf_dir)
@@ -44,15 +65,86 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five stages of corpus_pipeline.py over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_decontaminate": op1_decontaminate,
+        "op2_quality": op2_quality,
+        "op3_jaccard": op3_jaccard,
         "op4_shard": op4_shard,
         "op6_mix": op6_mix,
         "op7_line_chunks": op7_line_chunks,
         "op10_exact_dedup": op10_exact_dedup,
+        "pipeline": pipeline,
     }
 
 
+OP1_SQL = r"""
+WITH low AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+tok AS (
+  SELECT kind, id, text, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(?:[a-z0-9]|[^\x00-\x7F])+') AS w
+  FROM low),
+stride AS (SELECT greatest(32, max(len(w))) AS s FROM tok WHERE kind = 'i'),
+-- the last sentence of an item is its answer
+cut AS (
+  SELECT id AS item_id, w, regexp_extract(rtrim(rtrim(text), '.!?'), '^(.*[.!?])[^.!?]+$', 1, 's') AS q FROM tok WHERE kind = 'i'),
+nq AS (
+  SELECT item_id, w, CASE WHEN q <> '' THEN len(regexp_extract_all(lower(q), '(?:[a-z0-9]|[^\x00-\x7F])+'))
+                          ELSE len(w) - greatest(1, len(w) // 4) END AS k FROM cut),
+parts AS (SELECT item_id, 'q' AS part, w[1:k] AS p FROM nq UNION ALL SELECT item_id, 'a', w[k + 1:] FROM nq),
+part_sh AS (
+  SELECT item_id, part, unnest(CASE WHEN len(p) = 0 THEN [] WHEN len(p) < 5 THEN [array_to_string(p, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(p) - 3), lambda i: array_to_string(p[i:i + 4], ' '))) END) AS sh, len(p) AS n
+  FROM parts),
+part_n AS (SELECT item_id, part, count(*) AS total FROM part_sh GROUP BY ALL),
+windows AS (
+  SELECT id AS doc_id, b, w[b + 1:b + 2 * s] AS p
+  FROM tok, stride, unnest(range(0, greatest(len(w) - s, 1), s)) AS t(b) WHERE kind = 'd' AND len(w) > 0),
+grams AS (
+  SELECT DISTINCT doc_id, b, unnest(flatten(list_transform([1, 2, 3, 4, 5], lambda n:
+    CASE WHEN len(p) < n THEN [] ELSE list_transform(range(1, len(p) - n + 2), lambda i: array_to_string(p[i:i + n - 1], ' ')) END))) AS sh
+  FROM windows),
+hits AS (
+  SELECT g.doc_id, g.b, s.item_id, s.part, count(DISTINCT s.sh) AS c FROM grams g JOIN part_sh s ON g.sh = s.sh GROUP BY ALL),
+shares AS (SELECT doc_id, b, h.item_id, h.part, c / total AS share FROM hits h JOIN part_n n ON h.item_id = n.item_id AND h.part = n.part),
+both_parts AS (
+  SELECT doc_id, b, item_id, coalesce(max(share) FILTER (part = 'q'), 0) AS q, coalesce(max(share) FILTER (part = 'a'), 0) AS a
+  FROM shares GROUP BY ALL),
+need AS (SELECT item_id, count(*) FILTER (part = 'q') = 0 AS no_q, count(*) FILTER (part = 'a') = 0 AS no_a FROM part_n GROUP BY ALL)
+SELECT doc_id, b.item_id, count(*) AS n_passages, round(max(CASE WHEN no_q THEN 1 ELSE q END), 6) AS question_overlap,
+       round(max(CASE WHEN no_a THEN 1 ELSE a END), 6) AS answer_overlap
+FROM both_parts b JOIN need n ON b.item_id = n.item_id
+WHERE (no_q OR q >= 0.8) AND (no_a OR a >= 0.8) GROUP BY doc_id, b.item_id
+"""
+
+OP3_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+sized AS (SELECT doc_id, len(s) AS n, s FROM sets),
+tok AS (SELECT doc_id, n, unnest(s) AS t FROM sized),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, a.n + b.n AS total, count(*) AS c
+  FROM tok a JOIN tok b ON a.t = b.t AND a.doc_id <> b.doc_id AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+  GROUP BY ALL),
+links AS (SELECT x, y FROM shared WHERE 100 * c >= 80 * (total - c)),
+reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least_of AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT s.doc_id, CAST(s.n AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(l.y, s.doc_id)) AS component_id
+FROM sized s LEFT JOIN least_of l ON s.doc_id = l.x
+"""
+
 OP6_SQL = r"""
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
@@ -117,4 +209,4 @@ SELECT doc_id, keep_id, size AS group_size, k = 1 AS kept, sha AS text_sha256 FR
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mix": OP6_SQL, "op7_line_chunks": OP7_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op3_jaccard": OP3_SQL, "op6_mix": OP6_SQL, "op7_line_chunks": OP7_SQL, "op10_exact_dedup": OP10_SQL}
