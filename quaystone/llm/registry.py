@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact, jaccard, line_chunks, mix, quality, shard
+from . import decontaminate, exact, jaccard, license_scan, line_chunks, lm_score, mix, quality, shard
 from .common import documents
 
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"  # the vocabulary file of op8
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -59,6 +60,17 @@ def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's marginal probability under the subword lattice, and that of a plain word model."""
+    out = lm_score.lattice_scores(documents(spark, sf_dir), vocab_path=PIECES)
+    return out.withColumn("base_score", F.round("base_score", 6)).withColumn("score", F.round("score", 6))
+
+
+def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every block of lines that may be a license notice, with the license that explains it best."""
+    return license_scan.scan_licenses(documents(spark, sf_dir))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays for its text."""
     return exact.exact_dedup(documents(spark, sf_dir)).select(
@@ -80,6 +92,8 @@ def queries() -> dict[str, Query]:
         "op4_shard": op4_shard,
         "op6_mix": op6_mix,
         "op7_line_chunks": op7_line_chunks,
+        "op8_lattice": op8_lattice,
+        "op9_license": op9_license,
         "op10_exact_dedup": op10_exact_dedup,
         "pipeline": pipeline,
     }

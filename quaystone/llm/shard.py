@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from .common import payload, quoted, row_hash
 
-ROWS_PER_BLOCK = 100_000  # rows that one task permutes
+ROWS_PER_BLOCK = 200_000  # rows that one task permutes at most
+LEAST_BLOCKS = 96
 
 
 def _log_factorial(n: np.ndarray) -> np.ndarray:
@@ -85,8 +86,8 @@ def shard_rows(df: DataFrame, n_shards: int = 24, *, seed: int = 17,
     own = df.select(F.struct(*payload(df, df.columns, ("shard", "slot"))).alias("row"),
                     row_hash(df, seed).alias("key"))
     n = df.count()
-    n_blocks = max(1, -(-n // rows_per_block))
-    n_parts = max(1, -(-n // (n_shards * rows_per_block)))
+    n_blocks = max(LEAST_BLOCKS, -(-n // rows_per_block))
+    n_parts = max(LEAST_BLOCKS // n_shards, -(-n // (n_shards * rows_per_block)), 1)
     blocked = own.withColumn("block", F.pmod(F.xxhash64(F.lit(seed + 1), "key"), F.lit(n_blocks)))
     sizes = {r["block"]: r["count"] for r in blocked.groupBy("block").count().collect()}
     shard_sizes = [n // n_shards + (i < n % n_shards) for i in range(n_shards)]
