@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact, jaccard, license_scan, line_chunks, lm_score, mix, quality, shard
+from . import decontaminate, exact, jaccard, license_scan, line_chunks, lm_score, mix, quality, shard, suffix_dedup
 from .common import documents
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"  # the vocabulary file of op8
@@ -46,6 +46,12 @@ def op4_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 200-byte strings that occur elsewhere too."""
+    out = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to source weights 5, 2, 1 at 150 % of their words."""
     plan = mix.plan_mix(documents(spark, sf_dir))
@@ -90,6 +96,7 @@ def queries() -> dict[str, Query]:
         "op2_quality": op2_quality,
         "op3_jaccard": op3_jaccard,
         "op4_shard": op4_shard,
+        "op5_suffix_dedup": op5_suffix_dedup,
         "op6_mix": op6_mix,
         "op7_line_chunks": op7_line_chunks,
         "op8_lattice": op8_lattice,
