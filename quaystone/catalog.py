@@ -9,6 +9,7 @@ brute force in ``tests/``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -416,13 +417,16 @@ def q_run_status_orders_faults(spark, sf):
     c = _contract(orders_draft(), o, "orders")
     records = []
     for run_id, fault, cand in (("rename", "rename_column", faults.rename_column(o, "o_totalprice", "o_total_price")),
-                                ("x1_10", "scale_change", faults.scale_change(o, "o_totalprice", 1.10))):
+                                ("x1_10", "scale_change", faults.scale_change(o, "o_totalprice", 1.10)),
+                                ("clean", None, o)):
         rep = gate.run_gate(cand, c, run_id=run_id, fault_injection=fault)
-        records.append(runs.run_record(
-            spark, run_id=run_id, report=rep, rows=cand.count(), columns=len(cand.columns),
-            modeling_started=rep.passed,
-            not_started_reason=None if rep.passed else f"gate failed with {rep.errors} error(s)"))
-    table = records[0].unionByName(records[1])
+        facts = {"report": rep, "rows": cand.count(), "columns": len(cand.columns)}
+        records.append(runs.run_record(spark, run_id=run_id, modeling_started=rep.passed, **facts))
+        if run_id == "clean":  # passed the gate, then failed; and asked for validation only
+            records.append(runs.run_record(spark, run_id="late", status="halted_error", failure_category="artifact_missing",
+                                           modeling_started=True, degraded_stages=("planning",), **facts))
+            records.append(runs.run_record(spark, run_id="only", validate_only=True, **facts))
+    table = reduce(DataFrame.unionByName, records)
     return runs.run_status(table).select(
         "run_id", "status", "failure_category", "rows", F.col("columns").cast("bigint").alias("columns"),
         "gate_passed", "gate_errors", "gate_warnings", "fault_injection", "modeling_started",
@@ -810,26 +814,28 @@ FROM c LEFT JOIN l USING (variant, split, metric)"""
     sql["clm_dependencies_churn"] = f"""
 SELECT DISTINCT 'lang=' || lang AS dependency FROM documents
 WHERE lang IN (SELECT DISTINCT lang FROM {_CHURN} WHERE lang IS NOT NULL)"""
-    runs_src = " UNION ALL ".join(
-        f"SELECT '{rid}' AS run_id, '{fault}' AS fault_injection, "
-        f"(SELECT count(*) FROM ({q}) WHERE severity = 'ERROR') AS gate_errors, "
-        f"(SELECT count(*) FROM ({q}) WHERE severity = 'WARN') AS gate_warnings"
-        for rid, fault, q in (("rename", "rename_column", sql["gate_orders_rename"]),
-                              ("x1_10", "scale_change", sql["gate_orders_scale_x1_10"])))
+    # what each run did, and what the reference's status rules say of it
+    counted = " UNION ALL ".join(
+        f"SELECT '{rid}' AS run_id, count(*) FILTER (severity = 'ERROR')::bigint AS gate_errors, "
+        f"count(*) FILTER (severity = 'WARN')::bigint AS gate_warnings FROM ({q})"
+        for rid, q in (("rename", sql["gate_orders_rename"]), ("x1_10", sql["gate_orders_scale_x1_10"])))
     sql["run_status_orders_faults"] = f"""
-WITH r AS ({runs_src})
-SELECT run_id, CASE WHEN gate_errors = 0 THEN 'failed' ELSE 'gate_failed' END AS status,
-       CASE WHEN gate_errors = 0 THEN 'failed' ELSE 'gate_failed' END AS failure_category,
-       (SELECT count(*) FROM orders)::bigint AS rows, 6::bigint AS columns,
-       gate_errors = 0 AS gate_passed, gate_errors::bigint AS gate_errors, gate_warnings::bigint AS gate_warnings,
-       fault_injection, gate_errors = 0 AS modeling_started,
-       CASE WHEN gate_errors = 0 THEN NULL ELSE 'gate failed with ' || gate_errors || ' error(s)' END
-         AS not_started_reason,
-       gate_errors = 0 AS is_pass, gate_errors > 0 AS is_fail, true AS is_demo,
-       gate_errors = 0 AND gate_warnings > 0 AS is_degraded,
-       CASE WHEN gate_errors > 0 THEN 'blocked by the gate (injected fault: ' || fault_injection || ')'
-            WHEN gate_warnings > 0 THEN 'passed with warnings' ELSE 'passed' END AS headline
-FROM r"""
+WITH gated AS ({counted} UNION ALL SELECT unnest(['clean', 'late', 'only']), 0, 0),
+told(run_id, fault_injection, later, solo, stages) AS (VALUES
+  ('rename', 'rename_column', NULL, false, 0), ('x1_10', 'scale_change', NULL, false, 0), ('clean', NULL, NULL, false, 0),
+  ('late', NULL, 'artifact_missing', false, 1), ('only', NULL, NULL, true, 0)),
+ended AS (
+  SELECT *, CASE WHEN gate_errors > 0 THEN 'validation_failed' ELSE later END AS failure_category,
+         gate_errors = 0 AND NOT solo AS modeling_started
+  FROM gated JOIN told USING (run_id))
+SELECT run_id, coalesce(map {{'validation_failed': 'halted_validation', 'artifact_missing': 'halted_error'}}[failure_category], 'completed') AS status,
+       failure_category, (SELECT count(*) FROM orders)::bigint AS rows,
+       (SELECT count(*) FROM duckdb_columns() WHERE table_name = 'orders')::bigint AS columns,
+       gate_errors = 0 AS gate_passed, gate_errors, gate_warnings, fault_injection, modeling_started,
+       CASE WHEN solo THEN 'only validation was asked for' WHEN NOT modeling_started THEN 'the gate found errors' END AS not_started_reason,
+       failure_category IS NULL AS is_pass, failure_category IS NOT NULL AS is_fail, fault_injection IS NOT NULL AS is_demo,
+       stages > 0 AS is_degraded, coalesce('failed: ' || failure_category, 'completed') AS headline
+FROM ended"""
     sql["evl_metrics_scores"] = _metrics_sql(None)
     sql["evl_metrics_by_lang"] = _metrics_sql("lang")
     return sql

@@ -133,21 +133,22 @@ def numeric_or_null(col: str, dt: T.DataType) -> Column:
 
 
 def value_text(col: str | Column, dt: T.DataType) -> Column:
-    """Text form of a value as a Python ``str(value)`` would print it for the
-    common cases: integers plainly, doubles with a ``.0`` when integral and in
-    fixed notation below 1e16, booleans as ``True``/``False``."""
+    """Text form of a value as a Python ``str(value)`` prints it: integers
+    plainly, doubles with all the digits that tell them apart, a ``.0`` when
+    integral, in fixed notation from 1e-4 up to 1e16 and as ``1.5e-05`` beyond,
+    booleans as ``True``/``False``."""
     c = F.col(col) if isinstance(col, str) else col
     if isinstance(dt, T.BooleanType):
         return F.when(c.isNull(), F.lit(None).cast("string")).when(c, F.lit("True")).otherwise(F.lit("False"))
     if isinstance(dt, (T.DoubleType, T.FloatType)):
-        d = c.cast("double")
-        integral = (F.abs(d) < F.lit(1e16)) & (d == F.floor(d))
-        fixed = F.regexp_replace(
-            F.regexp_replace(d.cast("decimal(38,10)").cast("string"), "0+$", ""), r"\.$", ".0")
-        return (F.when(d.isNull(), F.lit(None).cast("string"))
-                .when(integral, F.concat(d.cast("decimal(38,0)").cast("string"), F.lit(".0")))
-                .when((F.abs(d) >= F.lit(1e-4)) & (F.abs(d) < F.lit(1e16)), fixed)
-                .otherwise(d.cast("string")))
+        # the engine's own text has the round-trip digits, but writes 1.5E-5 and 1.23E7
+        s, size = c.cast("string"), F.abs(c.cast("double"))
+        power = F.regexp_extract(s, r"E(-?\d+)$", 1).try_cast("int")
+        digits = F.regexp_replace(F.regexp_extract(s, r"^(.*)E", 1), r"\.0$", "")
+        sign = F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+"))
+        far = F.concat(digits, sign, F.format_string("%02d", F.abs(power)))
+        moved = F.regexp_replace(F.regexp_replace(s.try_cast("decimal(38,21)").cast("string"), "0+$", ""), r"\.$", ".0")
+        return F.when(power.isNull(), s).when((size >= F.lit(1e-4)) & (size < F.lit(1e16)), moved).otherwise(far)
     return c.cast("string")
 
 

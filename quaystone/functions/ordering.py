@@ -7,16 +7,14 @@ a per-partition offset from a table with one row per (partition, group).
 Equal to ``row_number() over (partition by … order by …) - 1`` when the order
 is total; callers must pass a unique order (add a tie-breaker).
 
-``prefix_sums`` does the same for running sums of numeric columns; the
-within-partition running sum is a NumPy ``cumsum`` on the already sorted
-partition (``mapInPandas``), so no second shuffle is needed.
+``prefix_sums`` does the same for running sums of numeric columns. NULL group
+keys are a group of their own in both.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quaystone.session import checkpoint_dir
 
@@ -77,15 +75,45 @@ def with_row_index(df: DataFrame, order_by, name: str = "row_index",
         F.coalesce(F.sum("_qs_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_qs_off"))
     # one row per partition (and group): broadcast when that is provably small
     side = _offsets_side(offsets, df, groups, group_count, partitions)
-    return (tagged.join(side, keys)
+    return (null_safe_join(tagged, side, keys)
             .withColumn(name, F.col("_qs_off") + F.col("_qs_mono") - F.col("_qs_base"))
             .drop("_qs_pid", "_qs_mono", "_qs_base", "_qs_off"))
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join in which NULL keys meet; the keys are those of the left side."""
+    other = right.select(*[F.col(c).alias(f"_qs_r_{c}" if c in keys else c) for c in right.columns])
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_qs_r_{k}"))
+    return left.join(other, on).drop(*[f"_qs_r_{k}" for k in keys])
+
+
+def row_at(df: DataFrame, position: int, order_by):
+    """The order key of the row at ``position`` (0-based) as a struct column, or None beyond the end.
+
+    Only the key columns are shuffled and sorted.
+    """
+    keys = [c.alias(f"k{i}") for i, c in enumerate(_cols(order_by))]
+    place = with_row_index(df.select(*keys), [f"k{i}" for i in range(len(keys))], "_qs_pos")
+    rows = place.where(F.col("_qs_pos") == F.lit(position)).drop("_qs_pos").limit(1).collect()
+    if not rows:
+        return None
+    types = [f.dataType for f in place.schema.fields][:len(keys)]
+    return F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(rows[0], types, strict=True))])
+
+
+def order_key(order_by) -> Column:
+    """The key of a row, comparable with ``row_at``'s (NULL first, as in an ascending sort)."""
+    return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(_cols(order_by))])
+
+
 def first_rows(df: DataFrame, n: int, order_by) -> DataFrame:
-    """The first ``n`` rows in the given total order, as a distributed filter."""
-    idx = with_row_index(df, order_by, "_qs_pos")
-    return idx.filter(F.col("_qs_pos") < F.lit(n)).drop("_qs_pos")
+    """The first ``n`` rows in the given total order: a filter against the last one's key."""
+    last = row_at(df, n - 1, order_by) if n > 0 else None
+    if last is None:
+        return df if n > 0 else df.limit(0)
+    return df.where(order_key(order_by) <= last)
 
 
 def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], *, descending: bool = False,
@@ -100,34 +128,15 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], *, descend
     # (one range shuffle, fixed partition ids), as in ``with_row_index``
     checkpoint_dir(df.sparkSession)
     ranged = ranged.checkpoint(eager=True)
-    out_fields = list(ranged.schema.fields) + [T.StructField(f"{prefix}{c}", T.DoubleType()) for c in value_cols]
-    out_schema = T.StructType(out_fields)
-
-    def run(batches):
-        import pandas as pd
-        carry: dict = {}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            key = pdf[groups].apply(tuple, axis=1) if groups else pd.Series([()] * len(pdf), index=pdf.index)
-            for c in value_cols:
-                vals = pdf[c].astype("float64").fillna(0.0)
-                cs = vals.groupby(key.values).cumsum()
-                start = key.map(lambda k, c=c: carry.get((k, c), 0.0)).astype("float64")
-                pdf[f"{prefix}{c}"] = cs.values + start.values
-                last = pd.Series(pdf[f"{prefix}{c}"].values, index=key.values)
-                for k, v in last.groupby(level=0).last().items():
-                    carry[(k, c)] = v
-            yield pdf
-
-    local = ranged.mapInPandas(run, out_schema)
     keys = ["_qs_pid", *groups]
-    totals = ranged.groupBy(*keys).agg(*[F.sum(F.col(c).cast("double")).alias(f"_qs_t_{c}") for c in value_cols])
+    upto = Window.partitionBy(*keys).orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    value = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in value_cols}
+    local = ranged.select("*", *[F.sum(v).over(upto).alias(f"{prefix}{c}") for c, v in value.items()])
+    totals = ranged.groupBy(*keys).agg(*[F.sum(v).alias(f"_qs_t_{c}") for c, v in value.items()])
     w = (Window.orderBy("_qs_pid") if not groups else Window.partitionBy(*groups).orderBy("_qs_pid")) \
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, *[F.coalesce(F.sum(f"_qs_t_{c}").over(w), F.lit(0.0)).alias(f"_qs_o_{c}")
                                      for c in value_cols])
-    side = _offsets_side(offsets, df, groups, group_count, None)
-    joined = local.join(side, keys)
+    joined = null_safe_join(local, _offsets_side(offsets, df, groups, group_count, None), keys)
     return joined.select(*df.columns, *[(F.col(f"{prefix}{c}") + F.col(f"_qs_o_{c}")).alias(f"{prefix}{c}")
                                         for c in value_cols])

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quaystone.functions.ordering import prefix_sums
+from quaystone.functions.ordering import null_safe_join, prefix_sums
 
 THRESHOLD = 0.5
 METRICS = ("roc_auc", "pr_auc", "f1", "precision", "recall", "accuracy")
@@ -60,7 +60,7 @@ def ranking_metrics(pred: DataFrame, label: str = "label", score: str = "score",
     cum = prefix_sums(by_score.withColumn("n", F.col("pos") + F.col("neg")), "_s", ["pos", "neg", "n"],
                       descending=True, partition_by=g)
     totals = by_score.groupBy(*g).agg(F.sum("pos").alias("_qs_P"), F.sum("neg").alias("_qs_N"))
-    j = cum.join(totals, g)
+    j = null_safe_join(cum, totals, g)
     # negatives scored strictly below s = N - (negatives scored >= s)
     roc_term = F.col("pos") * (F.col("_qs_N") - F.col("cum_neg") + 0.5 * F.col("neg"))
     ap_term = F.col("pos") * F.col("cum_pos") / F.col("cum_n")
@@ -73,7 +73,7 @@ def ranking_metrics(pred: DataFrame, label: str = "label", score: str = "score",
 def metrics(pred: DataFrame, label: str = "label", score: str = "score", group_by=None) -> DataFrame:
     """All six metrics plus the confusion cells, one row per group."""
     pred, g, single = _grouped(pred, group_by)
-    out = confusion(pred, label, score, g).join(ranking_metrics(pred, label, score, g), g)
+    out = null_safe_join(confusion(pred, label, score, g), ranking_metrics(pred, label, score, g), g)
     return out.drop("_qs_all") if single else out
 
 

@@ -1,6 +1,7 @@
 """Seeded, pure fault injectors: DataFrame in → DataFrame out, never written
-over their source. Position-based faults take an explicit total order and use
-the distributed row index (no single-partition window)."""
+over their source. Position-based faults take an explicit total order; where the
+rows end is found on the order's columns alone, the table itself is only filtered
+or projected."""
 
 from __future__ import annotations
 
@@ -8,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quaystone.functions.ordering import with_row_index
+from quaystone.functions.ordering import first_rows, order_key, row_at
 
 
 class FaultInjectionError(ValueError):
@@ -53,11 +54,13 @@ def inject_nulls(df: DataFrame, column: str, count: int, order_by) -> DataFrame:
     _need(df, column)
     if count < 0:
         raise FaultInjectionError(f"count={count} must be >= 0")
-    dt = df.schema[column].dataType
-    idx = with_row_index(df, order_by, "_qs_pos")
-    return (idx.withColumn(column, F.when(F.col("_qs_pos") < F.lit(count), F.lit(None).cast(dt))
-                           .otherwise(F.col(column)))
-            .select(*df.columns))
+    if count == 0:
+        return df
+    last = row_at(df, count - 1, order_by)
+    if last is None:
+        raise FaultInjectionError(f"count={count} exceeds the table's rows")
+    inside = order_key(order_by) <= last
+    return df.withColumn(column, F.when(inside, F.lit(None).cast(df.schema[column].dataType)).otherwise(F.col(column)))
 
 
 def unknown_category(df: DataFrame, column: str, new_value: str, order_by, row_index: int = 0) -> DataFrame:
@@ -66,17 +69,17 @@ def unknown_category(df: DataFrame, column: str, new_value: str, order_by, row_i
     _need(df, column)
     if row_index < 0:
         raise FaultInjectionError(f"row_index={row_index} must be >= 0")
-    idx = with_row_index(df, order_by, "_qs_pos")
-    text = F.col(column).cast("string")
-    return (idx.withColumn(column, F.when(F.col("_qs_pos") == F.lit(row_index), F.lit(new_value))
-                           .otherwise(text))
-            .select(*df.columns))
+    at = row_at(df, row_index, order_by)
+    if at is None:
+        raise FaultInjectionError(f"row_index={row_index} lies beyond the table's rows")
+    return df.withColumn(column, F.when(order_key(order_by) == at, F.lit(new_value)).otherwise(F.col(column).cast("string")))
 
 
 def flip_target_encoding(df: DataFrame, target: str) -> DataFrame:
     """Swap 0 ↔ 1; refuses anything but a 0/1 column."""
     _need(df, target)
-    bad = df.filter(F.col(target).isNotNull() & ~F.col(target).cast("string").isin("0", "1")).limit(1).count()
+    number = F.col(target).cast("string").try_cast("double")
+    bad = df.filter(F.col(target).isNotNull() & ~F.coalesce(number.isin(0.0, 1.0), F.lit(False))).limit(1).count()
     if bad:
         raise FaultInjectionError(f"flip_target_encoding needs a 0/1 target; {target!r} has other values")
     dt = df.schema[target].dataType
@@ -87,8 +90,7 @@ def truncate_dataset(df: DataFrame, keep_rows: int, order_by) -> DataFrame:
     """Keep the first ``keep_rows`` rows of the given order."""
     if keep_rows < 0:
         raise FaultInjectionError(f"keep_rows={keep_rows} must be >= 0")
-    idx = with_row_index(df, order_by, "_qs_pos")
-    return idx.filter(F.col("_qs_pos") < F.lit(keep_rows)).select(*df.columns)
+    return first_rows(df, keep_rows, order_by)
 
 
 def apply_fault(df: DataFrame, name: str, **kw) -> DataFrame:

@@ -46,13 +46,18 @@ def split_order(key: str, seed: int = SEED) -> F.Column:
 def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float = TEST_FRACTION,
                      seed: int = SEED) -> DataFrame:
     """Adds ``split`` ∈ {train, test}: per class, the first
-    floor(test_fraction · n_class + 0.5) rows in md5 order are test."""
+    floor(test_fraction · n_class + 0.5) rows in md5 order are test. Rows
+    without a label are a class of their own."""
     counts = {r[label]: int(r["n"]) for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     quota = F.create_map(*[x for k, n in counts.items() if k is not None
                            for x in (F.lit(k), F.lit(int(n * test_fraction + 0.5)))])
     idx = with_row_index(df.withColumn("_qs_o", split_order(key, seed)), ["_qs_o", key], "_qs_i",
                          partition_by=label, group_count=len(counts))
-    return (idx.withColumn("split", F.when(F.col("_qs_i") < F.element_at(quota, F.col(label)), F.lit("test"))
+    unlabelled = F.lit(int(counts.get(None, 0) * test_fraction + 0.5))
+    limit = F.when(F.col(label).isNull(), unlabelled)
+    if any(k is not None for k in counts):
+        limit = limit.otherwise(F.element_at(quota, F.col(label)))
+    return (idx.withColumn("split", F.when(F.col("_qs_i") < limit, F.lit("test"))
                            .otherwise(F.lit("train")))
             .drop("_qs_o", "_qs_i"))
 

@@ -10,11 +10,11 @@ LEVELS = ["CRITICAL", "ERROR", "WARNING", "WARN", "INFO", "DEBUG"]
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """(line_no, line, level) — level is the first recognised level word."""
+    """(line_no, line, level): the level is the most severe level word that stands
+    between a space and a space or tab; lines without one are OTHER."""
     raw = spark.read.text(path).withColumn("_mono", F.monotonically_increasing_id())
-    pattern = r"\b(" + "|".join(LEVELS) + r")\b"
-    lvl = F.regexp_extract(F.col("value"), pattern, 1)
-    level = F.when(lvl == "WARN", F.lit("WARNING")).when(lvl == "", F.lit("OTHER")).otherwise(lvl)
+    found = [F.when(F.col("value").rlike(f" {word}[ \\t]"), F.lit("WARNING" if word == "WARN" else word)) for word in LEVELS]
+    level = F.coalesce(*found, F.lit("OTHER"))
     return raw.select(F.col("_mono").alias("line_no"), F.col("value").alias("line"), level.alias("level"))
 
 

@@ -12,22 +12,28 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quaystone.operators.gate import GateReport
+from quaystone.session import checkpoint_dir
 
-RUNS_SCHEMA = T.StructType([
-    T.StructField("run_id", T.StringType()), T.StructField("status", T.StringType()),
-    T.StructField("failure_category", T.StringType()), T.StructField("rows", T.LongType()),
-    T.StructField("columns", T.IntegerType()), T.StructField("gate_passed", T.BooleanType()),
-    T.StructField("gate_errors", T.LongType()), T.StructField("gate_warnings", T.LongType()),
-    T.StructField("fault_injection", T.StringType()), T.StructField("modeling_started", T.BooleanType()),
-    T.StructField("not_started_reason", T.StringType()), T.StructField("best_model", T.StringType()),
-    T.StructField("best_metric", T.StringType()), T.StructField("best_value", T.DoubleType()),
-    T.StructField("recorded_at", T.StringType()),
-])
+RUNS_SCHEMA = ("run_id string, status string, failure_category string, rows long, columns int, gate_passed boolean, "
+               "gate_errors long, gate_warnings long, fault_injection string, validate_only boolean, modeling_started boolean, "
+               "not_started_reason string, degraded_stages array<string>, best_model string, best_metric string, "
+               "best_value double, recorded_at string")
+
+# How a run can end (or not have ended yet).
+HALTED = ("halted_validation", "halted_agent_failure", "halted_error")
+STATUSES = ("pending", "running", "completed", *HALTED)
+
+# Why modelling did not start, by the run's status.
+NOT_STARTED = {
+    "halted_validation": "the gate found errors",
+    "halted_agent_failure": "a planning stage failed before modelling",
+    "halted_error": "an error stopped the run before modelling",
+}
 
 
 def snapshot(df: DataFrame, root: str, run_id: str, name: str = "candidate") -> DataFrame:
@@ -54,19 +60,28 @@ def gated_publish(df: DataFrame, report: GateReport, published_path: str, quaran
     return PublishOutcome(False, quarantine_path, f"gate failed with {report.errors} error(s): {', '.join(ids)}")
 
 
-def run_record(spark: SparkSession, *, run_id: str, report: GateReport | None, rows: int | None,
-               columns: int | None, modeling_started: bool, not_started_reason: str | None = None,
-               best_model: str | None = None, best_metric: str | None = None, best_value: float | None = None,
-               failure_category: str | None = None) -> DataFrame:
-    if not modeling_started and not not_started_reason:
-        raise ValueError("a run that did not start modelling must say why")
-    status = ("completed" if modeling_started and report is not None and report.passed
-              else "gate_failed" if report is not None and not report.passed else "failed")
-    row = (run_id, status, failure_category or (None if status == "completed" else status), rows, columns,
-           report.passed if report else None, report.errors if report else None,
-           report.warnings if report else None, report.fault_injection if report else None,
-           modeling_started, not_started_reason, best_model, best_metric, best_value,
-           datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"))
+def not_started(status: str, validate_only: bool) -> str:
+    """The reason a run without modelling records; every such run has one."""
+    if validate_only:
+        return "only validation was asked for"
+    return NOT_STARTED.get(status, "the run has not passed the gate")
+
+
+def run_record(spark: SparkSession, *, run_id: str, report: GateReport | None, rows: int | None, columns: int | None,
+               status: str | None = None, validate_only: bool = False, modeling_started: bool = False,
+               failure_category: str | None = None, degraded_stages: tuple[str, ...] = (), best_model: str | None = None,
+               best_metric: str | None = None, best_value: float | None = None) -> DataFrame:
+    """One record. Without a status, a report with errors halted the run and one without completed it."""
+    if status is None:
+        status = "running" if report is None else "completed" if report.passed else "halted_validation"
+    if status not in STATUSES:
+        raise ValueError(f"unknown status {status!r}; known: {STATUSES}")
+    if status == "halted_validation" and failure_category is None:
+        failure_category = "validation_failed"
+    gate = (report.passed, report.errors, report.warnings, report.fault_injection) if report else (None,) * 4
+    row = (run_id, status, failure_category, rows, columns, *gate, validate_only, modeling_started,
+           None if modeling_started else not_started(status, validate_only), list(degraded_stages), best_model, best_metric,
+           best_value, datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"))
     return spark.createDataFrame([row], RUNS_SCHEMA)
 
 
@@ -75,17 +90,29 @@ def append_run(record: DataFrame, runs_path: str) -> None:
 
 
 def run_status(runs: DataFrame) -> DataFrame:
-    """Derived flags and a headline per run record."""
-    passed = F.coalesce(F.col("gate_passed"), F.lit(False))
-    demo = F.col("fault_injection").isNotNull()
-    degraded = passed & (F.col("gate_warnings") > 0)
-    headline = (F.when(~passed & demo, F.concat(F.lit("blocked by the gate (injected fault: "),
-                                                 F.col("fault_injection"), F.lit(")")))
-                .when(~passed, F.lit("blocked by the gate"))
-                .when(degraded, F.lit("passed with warnings"))
-                .otherwise(F.lit("passed")))
-    return runs.select("*", passed.alias("is_pass"), (~passed).alias("is_fail"), demo.alias("is_demo"),
-                       degraded.alias("is_degraded"), headline.alias("headline"))
+    """Flags and a headline for every record, from its status alone: passing the
+    gate is not completing the run."""
+    is_pass, is_fail = F.col("status") == "completed", F.col("status").isin(*HALTED)
+    headline = (F.when(is_fail, F.concat(F.lit("failed: "), F.coalesce("failure_category", "status")))
+                .when(is_pass, F.lit("completed"))
+                .when(F.col("status") == "running", F.lit("still running"))
+                .when(F.col("status") == "pending", F.lit("recorded, not started"))
+                .otherwise(F.concat(F.lit("status: "), F.coalesce("status", F.lit("unknown")))))
+    return runs.select("*", F.coalesce(is_pass, F.lit(False)).alias("is_pass"), F.coalesce(is_fail, F.lit(False)).alias("is_fail"),
+                       F.col("fault_injection").isNotNull().alias("is_demo"),
+                       (F.size(F.coalesce("degraded_stages", F.array().cast("array<string>"))) > 0).alias("is_degraded"),
+                       headline.alias("headline"))
+
+
+def verified_winner(experiments: DataFrame, winner: str | None, primary_metric: str | None) -> float:
+    """The winner's primary metric on the test split; an error if the winner, the metric or its one value is missing."""
+    if not winner or not primary_metric:
+        raise ValueError("the experiments name no winner or no primary metric")
+    rows = experiments.where((F.col("variant") == winner) & (F.col("split") == "test")
+                             & (F.col("metric") == primary_metric)).select("value").limit(2).collect()
+    if len(rows) != 1 or rows[0]["value"] is None:
+        raise ValueError(f"the experiments have no single test {primary_metric} for {winner!r}")
+    return float(rows[0]["value"])
 
 
 def required_outputs_present(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -95,7 +122,9 @@ def required_outputs_present(spark: SparkSession, paths: list[str]) -> DataFrame
         try:
             df = spark.read.parquet(p)
             rows.append((p, True, len(df.limit(1).collect()) > 0))
-        except Exception:
+        except AnalysisException as exc:
+            if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             rows.append((p, False, False))
     return spark.createDataFrame(rows, "path string, present boolean, non_empty boolean")
 
@@ -131,6 +160,7 @@ def replay(raw: DataFrame, cleaning_plan, draft, feature_plan=None, experiment_p
     from quaystone.operators.gate import run_gate
     from quaystone.operators.measure import build_contract
     from quaystone.operators.train import run_experiments
+    checkpoint_dir(raw.sparkSession)
     clean_df = execute_plan(raw, cleaning_plan, order_by=order_by).checkpoint(eager=True)
     contract = build_contract(draft, clean_df, contract_version="replay", run_id=run_id, created_by="replay",
                               dataset_name="replay", created_at="1970-01-01T00:00:00Z")

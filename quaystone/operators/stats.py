@@ -70,12 +70,12 @@ class TableFacts:
 
 def _decimal_places_expr(col: str, dt: T.DataType):
     """Longest fractional part actually present (fixed-notation values only,
-    trailing zeros stripped, up to 10 places)."""
+    trailing zeros stripped)."""
     c = F.col(col)
     if isinstance(dt, (T.DoubleType, T.FloatType, T.DecimalType)):
         d = F.nanvl(c.cast("double"), F.lit(None).cast("double"))
         fixed = (d == F.lit(0.0)) | ((F.abs(d) >= F.lit(1e-4)) & (F.abs(d) < F.lit(1e16)))
-        frac = F.regexp_extract(d.cast("decimal(38,10)").cast("string"), r"\.(\d+)$", 1)
+        frac = F.regexp_extract(value_text(d, T.DoubleType()), r"\.(\d+)$", 1)
         places = F.length(F.regexp_replace(frac, "0+$", ""))
         return F.max(F.when(fixed, places))
     if isinstance(dt, T.IntegralType):

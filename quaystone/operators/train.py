@@ -62,7 +62,7 @@ def make_estimator(variant: Variant, n_rows: int, weighted: bool):
     if variant.estimator == "random_forest":
         depth = p.get("max_depth")
         return RandomForestClassifier(numTrees=int(p.get("n_estimators", 100)),
-                                      maxDepth=min(int(depth), 30) if depth is not None else 30,
+                                      maxDepth=int(depth) if depth is not None else 30,
                                       minInstancesPerNode=int(p.get("min_samples_leaf", 1)), seed=SEED, **common)
     if variant.estimator == "gradient_boosting":
         return GBTClassifier(maxIter=int(p.get("n_estimators", 100)), stepSize=float(p.get("learning_rate", 0.1)),
@@ -109,7 +109,7 @@ class ExperimentResult:
 def fit_variant(df_train: DataFrame, fplan: FeaturePlan, variant: Variant):
     """Preprocessing + estimator fitted on the full training split."""
     label = fplan.target
-    weighted = variant.params.get("class_weight") == "balanced"
+    weighted = variant.params.get("class_weight") is not None
     fitted = FeatureBuilder(fplan).fit(df_train)
     counts = class_counts(df_train, label)   # also gives the row count
     tr = fitted.transform(df_train).withColumn("_y", F.col(label).cast("double"))

@@ -11,12 +11,13 @@ TransformKind = Literal["log1p", "standard_scale", "minmax_scale"]
 EncoderKind = Literal["onehot", "ordinal"]
 EstimatorKind = Literal["logistic_regression", "random_forest", "gradient_boosting"]
 
-# Fixed values — parameters each estimator accepts, and the fold bounds.
+# What a plan may set for each estimator: (kind, least, most) or (kind, choices).
+# The forest's depth ends at 30, the deepest tree that Spark ML grows; a deeper plan is refused.
 ALLOWED_PARAMS = {
-    "logistic_regression": {"C": (float, int), "max_iter": (int,), "class_weight": (str, type(None))},
-    "random_forest": {"n_estimators": (int,), "max_depth": (int, type(None)), "min_samples_leaf": (int,),
-                      "class_weight": (str, type(None))},
-    "gradient_boosting": {"n_estimators": (int,), "learning_rate": (float, int), "max_depth": (int,)},
+    "logistic_regression": {"C": (float, 0.0, 100.0), "max_iter": (int, 10, 10000), "class_weight": (str, ("balanced",))},
+    "random_forest": {"n_estimators": (int, 10, 1000), "max_depth": (int, 1, 30), "min_samples_leaf": (int, 1, 100),
+                      "class_weight": (str, ("balanced", "balanced_subsample"))},
+    "gradient_boosting": {"n_estimators": (int, 10, 1000), "learning_rate": (float, 0.0001, 1.0), "max_depth": (int, 1, 10)},
 }
 FORBIDDEN_PARAMS = {"random_state", "n_jobs", "verbose"}
 MIN_FOLDS, MAX_FOLDS = 2, 10
@@ -106,15 +107,22 @@ def check_experiment_plan(plan: ExperimentPlan) -> list[str]:
         if v.estimator not in ALLOWED_PARAMS:
             errors.append(f"{v.name}: unknown estimator {v.estimator!r}")
             continue
-        for k, val in v.params.items():
-            if k in FORBIDDEN_PARAMS:
-                errors.append(f"{v.name}: parameter {k!r} may not be set by a plan")
-            elif k not in ALLOWED_PARAMS[v.estimator]:
-                errors.append(f"{v.name}: parameter {k!r} is not allowed for {v.estimator}")
-            elif not isinstance(val, ALLOWED_PARAMS[v.estimator][k]) or isinstance(val, bool):
-                errors.append(f"{v.name}: parameter {k!r} has the wrong type")
-        if v.params.get("C") is not None and v.params["C"] <= 0:
-            errors.append(f"{v.name}: C must be > 0")
-        if v.params.get("class_weight") not in (None, "balanced"):
-            errors.append(f"{v.name}: class_weight must be 'balanced' or absent")
+        errors += [f"{v.name}: {problem}" for k, val in v.params.items() if (problem := _param_problem(v.estimator, k, val))]
     return errors
+
+
+def _param_problem(estimator: str, name: str, value) -> str | None:
+    if name in FORBIDDEN_PARAMS:
+        return f"parameter {name!r} may not be set by a plan"
+    if name not in ALLOWED_PARAMS[estimator]:
+        return f"parameter {name!r} is not allowed for {estimator}"
+    kind, *limits = ALLOWED_PARAMS[estimator][name]
+    if value is None and (kind is str or name == "max_depth"):
+        return None  # unset
+    if isinstance(value, bool) or not isinstance(value, (int, float) if kind is float else kind):
+        return f"parameter {name!r} has the wrong type"
+    if kind is str:
+        return None if value in limits[0] else f"parameter {name!r} must be one of {limits[0]}"
+    least, most = limits
+    inside = least <= value <= most and not (name == "C" and value <= 0)
+    return None if inside else f"parameter {name!r} must lie within {least}..{most}"

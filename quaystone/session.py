@@ -59,8 +59,9 @@ def apply_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) do we pick a scratch folder of our own.
+    The cluster names it in ``spark.checkpoint.dir``. Only in local mode, where
+    driver and executors are one process, an unset folder is replaced by a
+    scratch folder; on a cluster that would be one the executors can't share.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -68,6 +69,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="quaystone-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -8,8 +8,10 @@ column by trying long → double → boolean → string over the whole column
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quaystone.functions.columns import NA_TOKENS, NUMERIC_TEXT, na_tokens_to_null, nan_to_null
 
@@ -47,18 +49,27 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None,
         return read_parquet(spark, path)
     if fmt != "csv":
         return nan_to_null(spark.read.format(fmt).load(path))
-    raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-           .option("nullValue", "\u0000__never__").option("emptyValue", "")
-           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-           .csv(path) if schema is None else
-           spark.read.option("header", True).schema(schema).csv(path))
-    if schema is not None:
-        return nan_to_null(raw)
-    return infer_types(na_tokens_to_null(raw, NA_TOKENS if na_tokens is None else na_tokens))
+    # quoted fields may hold line breaks, and "" inside quotes is one quote
+    raw = (spark.read.option("header", True).option("mode", "FAILFAST").option("multiLine", True)
+           .option("quote", '"').option("escape", '"').option("nullValue", "\u0000__never__").option("emptyValue", "")
+           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    text = na_tokens_to_null(raw, NA_TOKENS if na_tokens is None else na_tokens)
+    if schema is None:
+        return infer_types(text)
+    # a value that does not fit the schema is an error, never a silent NULL
+    wanted = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    if [f.name for f in wanted.fields] != text.columns:
+        raise ValueError(f"the schema names {[f.name for f in wanted.fields]}, the header {text.columns}")
+    return nan_to_null(text.select(*[
+        (F.col(f.name) if f.dataType == T.StringType() else F.trim(f.name).cast(f.dataType)).alias(f.name) for f in wanted.fields]))
 
 
 def infer_types(df: DataFrame) -> DataFrame:
-    """Give all-text columns their narrowest type: long, double, boolean, else text."""
+    """Give all-text columns their narrowest type that loses no value: long, double, boolean, else text.
+
+    A column of whole numbers of which one is too long for a long stays text,
+    as a double would change its digits.
+    """
     text_cols = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
     if not text_cols:
         return df
@@ -66,6 +77,7 @@ def infer_types(df: DataFrame) -> DataFrame:
     for i, c in enumerate(text_cols):
         x = F.col(c)
         aggs += [F.count_if(x.isNotNull() & ~x.rlike(_INT_TEXT)).alias(f"ni{i}"),
+                 F.count_if(x.isNotNull() & F.trim(x).try_cast("bigint").isNull()).alias(f"lost{i}"),
                  F.count_if(x.isNotNull() & ~x.rlike(NUMERIC_TEXT)).alias(f"nd{i}"),
                  F.count_if(x.isNotNull() & ~x.rlike(_BOOL_TEXT)).alias(f"nb{i}"),
                  F.count(x).alias(f"nn{i}")]
@@ -80,7 +92,7 @@ def infer_types(df: DataFrame) -> DataFrame:
         if row[f"nn{i}"] == 0:
             exprs.append(x)
         elif row[f"ni{i}"] == 0:
-            exprs.append(F.trim(x).try_cast("bigint").alias(f.name))
+            exprs.append(F.trim(x).try_cast("bigint").alias(f.name) if row[f"lost{i}"] == 0 else x)
         elif row[f"nd{i}"] == 0:
             exprs.append(F.trim(x).try_cast("double").alias(f.name))
         elif row[f"nb{i}"] == 0:
@@ -96,11 +108,16 @@ def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
 
 def read_contract_text(spark: SparkSession, path: str) -> str | None:
     """The contract document's text, read through Spark (works on any
-    Hadoop-compatible store); ``None`` when it does not exist."""
+    Hadoop-compatible store); ``None`` when it does not exist. Any other
+    problem, and a folder with several documents, is an error."""
     try:
-        rows = spark.read.text(path, wholetext=True).collect()
-    except Exception:
+        rows = spark.read.text(path, wholetext=True).limit(2).collect()
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
+    if len(rows) > 1:
+        raise ValueError(f"{path} holds more than one document")
     return rows[0]["value"] if rows else ""
 
 
@@ -148,9 +165,9 @@ def read_contracts(spark: SparkSession, path: str) -> DataFrame:
                         c = DatasetContract.model_validate(doc)
                         row["dataset_name"], row["contract_version"] = c.dataset_name, c.contract_version
                     except _json.JSONDecodeError as exc:
-                        row["status"], row["error"] = "invalid_json", str(exc)[:500]
+                        row["status"], row["error"] = "invalid_json", str(exc)
                     except ValidationError as exc:
-                        row["status"], row["error"] = "invalid_schema", str(exc)[:500]
+                        row["status"], row["error"] = "invalid_schema", str(exc)
                 out.append(row)
             yield pd.DataFrame(out, columns=["path", "status", "error", "dataset_name", "contract_version",
                                              "document"])

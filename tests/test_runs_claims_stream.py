@@ -42,20 +42,35 @@ def test_gated_publish_and_run_record(spark):
     out2 = runs.gated_publish(snap, bad, f"{root}/published2", f"{root}/quarantine2")
     assert not out2.published and "SCALE_DRIFT_MEDIAN" in out2.reason
     rec = runs.run_record(spark, run_id="run-2", report=bad, rows=snap.count(), columns=len(snap.columns),
-                          modeling_started=False, not_started_reason=out2.reason)
+                          modeling_started=False)
     runs.append_run(rec, f"{root}/runs")
     status = runs.run_status(spark.read.parquet(f"{root}/runs")).first()
-    assert status["is_fail"] and status["headline"] == "blocked by the gate"
+    assert status["is_fail"] and status["headline"] == "failed: validation_failed" and status["not_started_reason"]
+    late = runs.run_status(runs.run_record(spark, run_id="run-3", report=ok, rows=1, columns=1, status="halted_error",
+                                           modeling_started=True, failure_category="artifact_missing",
+                                           degraded_stages=("plan",))).first()
+    assert late["is_fail"] and not late["is_pass"] and late["is_degraded"] and late["not_started_reason"] is None
+    only = runs.run_status(runs.run_record(spark, run_id="run-4", report=ok, rows=1, columns=1, validate_only=True)).first()
+    assert only["is_pass"] and not only["modeling_started"] and "validation" in only["not_started_reason"]
+
+
+def test_winner_is_verified(spark):
+    import pytest
+    e = spark.createDataFrame([("a", "test", "roc_auc", 0.9), ("b", "cv", "roc_auc", 0.8)], "variant string, split string, metric string, value double")
+    assert runs.verified_winner(e, "a", "roc_auc") == 0.9
+    for bad in (("b", "roc_auc"), ("a", "f1"), (None, "f1"), ("a", None)):
+        with pytest.raises(ValueError):
+            runs.verified_winner(e, *bad)
 
 
 def test_log_levels(spark):
     path = os.path.join(_scratch(), "run.log")
     with open(path, "w") as fh:
-        fh.write("2026 INFO start\n2026 WARN slow\n2026 ERROR broke\nplain line\n2026 INFO end\n")
+        fh.write("2026 INFO start\n2026 WARN slow\n2026 INFO after ERROR seen\nplain [ERROR] line\n2026 INFO end\n")
     log = logs.read_log(spark, path)
     counts = {r["level"]: r["lines"] for r in logs.level_counts(log).collect()}
     assert counts == {"INFO": 2, "WARNING": 1, "ERROR": 1, "OTHER": 1}
-    assert [r["line"] for r in logs.tail(log, 2).collect()] == ["plain line", "2026 INFO end"]
+    assert [r["line"] for r in logs.tail(log, 2).collect()] == ["plain [ERROR] line", "2026 INFO end"]
 
 
 def test_streaming_gate_routes_batches(spark):
