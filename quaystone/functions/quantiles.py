@@ -11,10 +11,10 @@ instead runs a distributed selection:
    very large columns), it is narrowed with ``percentile_approx`` over the
    bracket alone plus exact counts below / up to the new bounds;
 3. one scan: for every bracket, the rows below it are counted and the values
-   inside it are grouped (``groupBy(bracket, value).count()``) — at most
-   ``max_bracket`` rows each, heavy ties collapse to one row — and the order
-   statistics are read off that small result. A bracket the approximation
-   missed is widened and measured again.
+   inside it are grouped (``groupBy(bracket, value).count()``); a running count
+   within the bracket (at most ``max_bracket`` values) finds the wanted ranks, so
+   only they reach the driver: two rows a quantile at most. A bracket the
+   approximation missed is opened to the whole column and narrowed again.
 
 The result equals linear interpolation between order statistics (Spark
 ``percentile``, DuckDB ``quantile_cont``, NumPy's default).
@@ -25,11 +25,12 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 10_000
 DEFAULT_MAX_BRACKET = 200_000
+MAX_ROUNDS = 12
 
 
 @dataclass
@@ -38,8 +39,10 @@ class _Bracket:
     ranks: tuple[int, ...]   # 0-based ranks wanted inside this bracket
     lo: float
     hi: float
-    below: int = 0           # rows strictly below lo (exact once measured)
-    size: int = 0            # rows within [lo, hi]
+    least: float             # of the whole column
+    most: float
+    rows: int                # of the whole column, without NULLs
+    checked: bool = False    # the ranks are known to lie inside
 
 
 def _band(probs: list[float], delta: float) -> list[float]:
@@ -80,94 +83,39 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     if first is None:
         first = data.agg(*first_pass_aggs({names[c]: F.col(names[c]) for c in columns}, probs, accuracy)).collect()[0]
 
-    brackets: list[_Bracket] = []
+    todo: list[_Bracket] = []
     values: dict[tuple[str, int], float] = {}
     for c in columns:
         x = names[c]
         n = int(first[f"n_{x}"])
         if n == 0:
             continue
+        least, most = first[f"mn_{x}"], first[f"mx_{x}"]
         approx = dict(zip(_band(probs, delta), first[f"ap_{x}"]))
         for p in probs:
             h = (n - 1) * p
-            ranks = tuple(sorted({math.floor(h), math.ceil(h)}))
-            lo = approx[min(1.0, max(0.0, p - delta))]
-            hi = approx[min(1.0, max(0.0, p + delta))]
-            if p - delta <= 0:
-                lo = first[f"mn_{x}"]
-            if p + delta >= 1:
-                hi = first[f"mx_{x}"]
-            brackets.append(_Bracket(c, ranks, lo, hi, size=-1))
-            brackets[-1].n = n  # type: ignore[attr-defined]
-            brackets[-1].mn = first[f"mn_{x}"]  # type: ignore[attr-defined]
-            brackets[-1].mx = first[f"mx_{x}"]  # type: ignore[attr-defined]
-
-    # narrowing rounds, only when the first bracket may still be too wide
-    for _ in range(8):
-        wide = [b for b in brackets if b.lo < b.hi and b.n * 2 * delta > max_bracket]  # type: ignore[attr-defined]
-        if not wide:
-            break
-        tally = data.agg(*[e for i, b in enumerate(wide) for e in (
-            F.count_if(F.col(names[b.column]) < F.lit(b.lo)).alias(f"lt{i}"),
-            F.count_if(F.col(names[b.column]) <= F.lit(b.hi)).alias(f"le{i}"))]).collect()[0]
-        for i, b in enumerate(wide):
-            lt, le = int(tally[f"lt{i}"]), int(tally[f"le{i}"])
-            if lt > b.ranks[0]:
-                b.lo, lt = b.mn, 0  # type: ignore[attr-defined]
-            if le < b.ranks[-1] + 1:
-                b.hi, le = b.mx, b.n  # type: ignore[attr-defined]
-            b.below, b.size = lt, le - lt
-            b.n = b.size  # type: ignore[attr-defined]  # rows left to search
-        wide = [b for b in wide if b.size > max_bracket and b.lo < b.hi]
-        if not wide:
-            break
-        aggs = []
-        for i, b in enumerate(wide):
-            col = F.col(names[b.column])
-            inside = F.when((col >= F.lit(b.lo)) & (col <= F.lit(b.hi)), col)
-            p_lo = max(0.0, (b.ranks[0] - b.below) / b.size - delta)
-            p_hi = min(1.0, (b.ranks[-1] + 1 - b.below) / b.size + delta)
-            aggs.append(F.percentile_approx(inside, [p_lo, p_hi], accuracy).alias(f"a{i}"))
-        approx = data.agg(*aggs).collect()[0]
-        for i, b in enumerate(wide):
-            b.lo, b.hi = approx[f"a{i}"]
+            lo = approx[max(0.0, p - delta)] if p > delta else least
+            hi = approx[min(1.0, p + delta)] if p + delta < 1 else most
+            todo.append(_Bracket(c, tuple(sorted({math.floor(h), math.ceil(h)})), lo, hi, least, most, n))
 
-    # final pass(es): exact rows below + grouped values inside each bracket
-    todo = [b for b in brackets]
-    for _ in range(3):
+    for _ in range(MAX_ROUNDS):
         if not todo:
             break
-        structs = []
-        for i, b in enumerate(todo):
-            col = F.col(names[b.column])
-            structs.append(F.when(col < F.lit(b.lo), F.struct(F.lit(i).alias("bid"), F.lit(True).alias("below"),
-                                                              F.lit(None).cast("double").alias("v")))
-                           .when(col <= F.lit(b.hi), F.struct(F.lit(i).alias("bid"), F.lit(False).alias("below"),
-                                                              col.alias("v"))))
-        rows = (data.select(F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull())).alias("s"))
-                .groupBy("s.bid", "s.below", "s.v").count().collect())
-        per: dict[int, list[tuple[float, int]]] = {}
-        below: dict[int, int] = {}
-        for r in rows:
-            if r["below"]:
-                below[r["bid"]] = int(r["count"])
-            else:
-                per.setdefault(r["bid"], []).append((r["v"], int(r["count"])))
-        retry = []
-        for i, b in enumerate(todo):
-            got, acc, need = below.get(i, 0), below.get(i, 0), list(b.ranks)
-            inside = sorted(per.get(i, []))
-            if got > need[0] or got + sum(c for _, c in inside) < need[-1] + 1:
-                b.lo, b.hi = b.mn, b.mx  # type: ignore[attr-defined]  # approximation missed: widen
-                retry.append(b)
-                continue
-            for v, cnt in inside:
-                acc += cnt
-                while need and acc >= need[0] + 1:
-                    values[(b.column, need.pop(0))] = v
-                if not need:
-                    break
-        todo = retry
+        doubtful = [b for b in todo if not b.checked and b.rows * 2 * delta > max_bracket]
+        if doubtful:
+            _narrow(data, names, doubtful, delta, accuracy, max_bracket)
+        ready = [b for b in todo if b.checked or b.rows * 2 * delta <= max_bracket]
+        found = _pick(data, names, ready)
+        for i, b in enumerate(ready):
+            got = found.get(i, {})
+            if all(r in got for r in b.ranks):
+                values |= {(b.column, r): got[r] for r in b.ranks}
+                todo.remove(b)
+            else:  # missed: the whole column, to be narrowed by exact counts
+                b.lo, b.hi, b.checked = b.least, b.most, False
+                _narrow(data, names, [b], delta, accuracy, max_bracket)
+    if todo:
+        raise RuntimeError(f"no exact quantile of {sorted({b.column for b in todo})} after {MAX_ROUNDS} rounds")
 
     out: dict[tuple[str, float], float | None] = {}
     for c in columns:
@@ -183,5 +131,60 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     return out
 
 
+def _narrow(data: DataFrame, names: dict[str, str], brackets: list[_Bracket], delta: float, accuracy: int, max_bracket: int) -> None:
+    """Exact counts at the bounds; brackets that are still too wide get closer bounds, until all are checked and small."""
+    wide = brackets
+    for _ in range(MAX_ROUNDS):
+        tally = data.agg(*[e for i, b in enumerate(wide) for e in (
+            F.count_if(F.col(names[b.column]) < F.lit(b.lo)).alias(f"lt{i}"),
+            F.count_if(F.col(names[b.column]) <= F.lit(b.hi)).alias(f"le{i}"))]).first()
+        size, below = {}, {}
+        for i, b in enumerate(wide):
+            lt, le = int(tally[f"lt{i}"]), int(tally[f"le{i}"])
+            if lt > b.ranks[0]:
+                b.lo, lt = b.least, 0
+            if le <= b.ranks[-1]:
+                b.hi, le = b.most, b.rows
+            size[b.column, b.ranks], below[b.column, b.ranks] = le - lt, lt
+            b.checked = le - lt <= max_bracket or b.lo == b.hi
+        wide = [b for b in wide if not b.checked]
+        if not wide:
+            return
+        aggs = []
+        for i, b in enumerate(wide):
+            col, n, lt = F.col(names[b.column]), size[b.column, b.ranks], below[b.column, b.ranks]
+            inside = F.when((col >= F.lit(b.lo)) & (col <= F.lit(b.hi)), col)
+            share = [max(0.0, (b.ranks[0] - lt) / n - delta), min(1.0, (b.ranks[-1] + 1 - lt) / n + delta)]
+            aggs.append(F.percentile_approx(inside, share, accuracy).alias(f"a{i}"))
+        closer = data.agg(*aggs).first()
+        for i, b in enumerate(wide):
+            b.lo, b.hi = closer[f"a{i}"]
+    for b in wide:  # heavy ties at both ends: what is left is grouped as it is
+        b.checked = True
+
+
+def _pick(data: DataFrame, names: dict[str, str], brackets: list[_Bracket]) -> dict[int, dict[int, float]]:
+    """bracket → rank → value, for the ranks inside; the running counts stay on the executors."""
+    if not brackets:
+        return {}
+    structs = []
+    for i, b in enumerate(brackets):
+        col = F.col(names[b.column])
+        structs.append(F.when(col < F.lit(b.lo), F.struct(F.lit(i).alias("bid"), F.lit(True).alias("below"),
+                                                          F.lit(None).cast("double").alias("v")))
+                       .when(col <= F.lit(b.hi), F.struct(F.lit(i).alias("bid"), F.lit(False).alias("below"),
+                                                          col.alias("v"))))
+    ranks = F.create_map(*[x for i, b in enumerate(brackets) for x in (F.lit(i), F.array(*[F.lit(r) for r in b.ranks]))])
+    upto = F.sum("n").over(Window.partitionBy("bid").orderBy(F.desc("below"), "v").rowsBetween(Window.unboundedPreceding, 0))
+    rows = (data.select(F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull())).alias("s"))
+            .groupBy("s.bid", "s.below", "s.v").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto).where("not below")
+            .withColumn("hit", F.filter(F.element_at(ranks, F.col("bid")), lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n"))))
+            .where("size(hit) > 0").select("bid", "v", "hit").collect())
+    out: dict[int, dict[int, float]] = {}
+    for row in rows:
+        out.setdefault(row["bid"], {}).update(dict.fromkeys(row["hit"], row["v"]))
+    return out
+
+
 def exact_median(df: DataFrame, column: str, **kw) -> float | None:
     return exact_quantiles(df, [column], [0.5], **kw)[(column, 0.5)]

@@ -1,5 +1,5 @@
 """Training protocol on Spark ML: stratified hold-out, k-fold out-of-fold
-predictions per variant (preprocessing refit inside every fold), winner by
+predictions per variant (preprocessing refit inside every fold, once for all variants), winner by
 the primary CV metric, one final evaluation of the winner on the hold-out.
 
 Estimator mapping (same family and protocol, not identical numbers):
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 
@@ -70,30 +71,65 @@ def make_estimator(variant: Variant, n_rows: int, weighted: bool):
     raise ValueError(f"unknown estimator {variant.estimator!r}")
 
 
-def _fit_predict(fplan: FeaturePlan, variant: Variant, train: DataFrame, scored: DataFrame, key: str):
-    fitted, model = fit_variant(train, fplan, variant)
-    return score(fitted, model, scored, fplan.target, key), (fitted, model)
+@dataclass
+class TrainingSide:
+    """One training set with its preprocessing fitted and its vectors kept: shared by all variants fitted on it."""
+    fitted: object
+    vectors: DataFrame           # features, _y
+    counts: dict                 # label → rows
+
+    def release(self) -> None:
+        self.vectors.unpersist()
+
+
+def training_side(df_train: DataFrame, fplan: FeaturePlan) -> TrainingSide:
+    fitted = FeatureBuilder(fplan).fit(df_train)
+    counts = class_counts(df_train, fplan.target)   # also gives the row count
+    vectors = fitted.transform(df_train).select("features", F.col(fplan.target).cast("double").alias("_y"))
+    want = max(1, -(-sum(counts.values()) // ROWS_PER_FIT_PARTITION))
+    if want < vectors.rdd.getNumPartitions():
+        vectors = vectors.coalesce(want)
+    return TrainingSide(fitted, vectors.persist(StorageLevel.MEMORY_AND_DISK), counts)
 
 
-def _oof_part(df_train: DataFrame, fplan: FeaturePlan, variant: Variant, key: str, i: int) -> DataFrame:
-    preds, _ = _fit_predict(fplan, variant, df_train.filter(F.col("fold") != i),
-                            df_train.filter(F.col("fold") == i), key)
-    return preds.withColumn("fold", F.lit(i)).withColumn("variant", F.lit(variant.name))
+def fit_on(side: TrainingSide, variant: Variant):
+    weighted = variant.params.get("class_weight") is not None
+    rows = side.vectors
+    if weighted:
+        rows = rows.withColumn("_w", class_weights(rows, "_y", {float(y): n for y, n in side.counts.items() if y is not None}))
+    return make_estimator(variant, sum(side.counts.values()), weighted).fit(rows)
 
 
 def out_of_fold(df_train: DataFrame, fplan: FeaturePlan, variants: list[Variant], key: str, k: int,
                 parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
     """OOF scores: each row scored by the model of the fold that did not see
-    it. The variants × folds fits are independent Spark jobs, submitted from
-    a thread pool (as ``CrossValidator(parallelism=…)`` does) so the
-    scheduler can overlap them."""
-    tasks = [(v, i) for v in variants for i in range(k)]
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tasks)))) as pool:
-        parts = list(pool.map(lambda t: _oof_part(df_train, fplan, t[0], key, t[1]), tasks))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    it. Preprocessing is fitted once per fold and shared by the variants; the
+    fits are independent Spark jobs, submitted from a thread pool (as
+    ``CrossValidator(parallelism=…)`` does) so the scheduler can overlap them."""
+    sides, models = _fit_all(df_train, None, fplan, variants, k, parallelism)
+    try:
+        return _oof(df_train, fplan, variants, key, k, sides, models).checkpoint(eager=True)
+    finally:
+        for side in sides.values():
+            side.release()
+
+
+def _fit_all(train: DataFrame, full: DataFrame | None, fplan: FeaturePlan, variants: list[Variant], k: int, parallelism: int):
+    """({fold or None: side}, {(variant, fold or None): model}); None is the full training split, if asked for."""
+    sources = {i: train.filter(F.col("fold") != i) for i in range(k)} | ({} if full is None else {None: full})
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        sides = dict(zip(sources, pool.map(lambda t: training_side(t, fplan), sources.values()), strict=True))
+        # longest chains of Spark jobs first (boosting runs one job chain per
+        # iteration), so they do not start last and set the wall-clock time
+        tasks = sorted(((v, i) for v in variants for i in sides), key=lambda t: -_COST.get(t[0].estimator, 1))
+        models = list(pool.map(lambda t: fit_on(sides[t[1]], t[0]), tasks))
+    return sides, {(v.name, i): m for (v, i), m in zip(tasks, models, strict=True)}
+
+
+def _oof(train: DataFrame, fplan: FeaturePlan, variants: list[Variant], key: str, k: int, sides: dict, models: dict) -> DataFrame:
+    parts = [score(sides[i].fitted, models[(v.name, i)], train.filter(F.col("fold") == i), fplan.target, key)
+             .withColumn("fold", F.lit(i)).withColumn("variant", F.lit(v.name)) for v in variants for i in range(k)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @dataclass
@@ -108,23 +144,11 @@ class ExperimentResult:
 
 def fit_variant(df_train: DataFrame, fplan: FeaturePlan, variant: Variant):
     """Preprocessing + estimator fitted on the full training split."""
-    label = fplan.target
-    weighted = variant.params.get("class_weight") is not None
-    fitted = FeatureBuilder(fplan).fit(df_train)
-    counts = class_counts(df_train, label)   # also gives the row count
-    tr = fitted.transform(df_train).withColumn("_y", F.col(label).cast("double"))
-    if weighted:
-        tr = tr.withColumn("_w", class_weights(df_train, label, counts))
-    tr = tr.select("features", "_y", *(["_w"] if weighted else []))
-    n_rows = sum(counts.values())
-    want = max(1, -(-n_rows // ROWS_PER_FIT_PARTITION))
-    if want < tr.rdd.getNumPartitions():
-        tr = tr.coalesce(want)
-    tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
+    side = training_side(df_train, fplan)
     try:
-        return fitted, make_estimator(variant, n_rows, weighted).fit(tr)
+        return side.fitted, fit_on(side, variant)
     finally:
-        tr.unpersist()
+        side.release()
 
 
 def score(fitted, model, df: DataFrame, label: str, key: str) -> DataFrame:
@@ -146,28 +170,13 @@ def run_experiments(df: DataFrame, fplan: FeaturePlan, eplan: ExperimentPlan, ke
     train = stratified_folds(split.filter(F.col("split") == "train").drop("split"), label, key,
                              eplan.cv_folds).checkpoint(eager=True)
     test = split.filter(F.col("split") == "test").drop("split")
-    full_train = train.drop("fold")
-
-    tasks = [("fold", v, i) for v in eplan.variants for i in range(eplan.cv_folds)]
-    tasks += [("full", v, None) for v in eplan.variants]
-    # longest chains of Spark jobs first (boosting runs one job chain per
-    # iteration), so they do not start last and set the wall-clock time
-    tasks.sort(key=lambda t: -_COST.get(t[1].estimator, 1))
-
-    def run(task):
-        kind, v, i = task
-        if kind == "fold":
-            return kind, v.name, _oof_part(train, fplan, v, key, i)
-        return kind, v.name, fit_variant(full_train, fplan, v)
-
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tasks)))) as pool:
-        done = list(pool.map(run, tasks))
-    parts = [out for kind, _, out in done if kind == "fold"]
-    fitted_models = {name: out for kind, name, out in done if kind == "full"}
-    oof = parts[0]
-    for p in parts[1:]:
-        oof = oof.unionByName(p)
-    oof = oof.checkpoint(eager=True)
+    sides, models = _fit_all(train, train.drop("fold"), fplan, eplan.variants, eplan.cv_folds, parallelism)
+    try:
+        oof = _oof(train, fplan, eplan.variants, key, eplan.cv_folds, sides, models).checkpoint(eager=True)
+    finally:
+        for side in sides.values():
+            side.release()
+    fitted_models = {v.name: (sides[None].fitted, models[(v.name, None)]) for v in eplan.variants}
     cv = metrics(oof, group_by="variant").checkpoint(eager=True)
     winner = select_winner(cv, eplan.primary_metric, [v.name for v in eplan.variants])
     fitted, model = fitted_models[winner]

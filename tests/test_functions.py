@@ -84,3 +84,21 @@ def test_fingerprint_layout_insensitive_and_change_sensitive(spark):
     swapped = spark.createDataFrame([(1, None), (None, 1)], "a int, b int")
     assert table_fingerprint(nulls) == table_fingerprint(swapped)
     assert table_fingerprint(nulls) != table_fingerprint(spark.createDataFrame([(None, 1), (None, 1)], "a int, b int"))
+
+
+def test_quantiles_bring_two_rows_a_rank_to_the_driver(spark, monkeypatch):
+    """Missed and too wide brackets are narrowed; only the wanted ranks are collected."""
+    import numpy as np
+
+    from quaystone.functions import quantiles
+    rng = np.random.default_rng(4)
+    data = {"a": rng.normal(size=5000), "b": rng.integers(0, 5, 5000).astype(float), "c": np.full(5000, 7.0)}
+    df = spark.createDataFrame(list(zip(*[v.tolist() for v in data.values()])), "a double, b double, c double").repartition(4)
+    seen = []
+    pick = quantiles._pick
+    monkeypatch.setattr(quantiles, "_pick", lambda *a: seen.append(pick(*a)) or seen[-1])
+    for kw in ({}, {"max_bracket": 50, "accuracy": 20}, {"accuracy": 2}):
+        got = quantiles.exact_quantiles(df, list(data), [0.05, 0.5, 0.999], **kw)
+        for (c, p), v in got.items():
+            assert abs(v - np.quantile(data[c], p)) < 1e-12
+    assert all(len(ranks) <= 2 for found in seen for ranks in found.values())
