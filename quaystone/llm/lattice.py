@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -112,6 +113,27 @@ def _sum_exp(rows: list[np.ndarray]) -> np.ndarray:
         return base + np.log(np.exp(x - base).sum(axis=0))
 
 
+def _one_word(edges: list[tuple[int, np.ndarray]], size: int, log_p: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """(log marginal, piece and expected count of every edge) of one long word: the same recursions edge by edge."""
+    parts = [(np.flatnonzero(number[:size - n + 1] >= 0), n, number) for n, number in edges if n <= size]
+    begin = np.concatenate([at for at, _, _ in parts])
+    end = np.concatenate([at + n for at, n, _ in parts])
+    piece = np.concatenate([number[at] for at, _, number in parts])
+
+    def sums(order: np.ndarray, known: list[int], new: list[int]) -> list[float]:
+        """Log sums at every place, edges in an order in which a place is complete before it is used."""
+        total = [-math.inf] * (size + 1)
+        total[known[order[0]]] = 0.0
+        for k in order.tolist():
+            x, y = total[new[k]], total[known[k]] + weight[k]
+            total[new[k]] = y if x == -math.inf else max(x, y) + math.log1p(math.exp(-abs(x - y)))
+        return total
+    weight, b, e = log_p[piece].tolist(), begin.tolist(), end.tolist()
+    forward = np.array(sums(np.argsort(end, kind="stable"), b, e))
+    backward = np.array(sums(np.argsort(-begin, kind="stable"), e, b))
+    return forward[size], piece, np.exp(forward[begin] + log_p[piece] + backward[end] - forward[size])
+
+
 def word_log_probs(vocab: Vocabulary, words: list[bytes] | np.ndarray, counts: np.ndarray | None = None
                    ) -> tuple[np.ndarray, np.ndarray]:
     """(log marginal probability of every word, expected counts of the pieces if word counts are given).
@@ -128,6 +150,13 @@ def word_log_probs(vocab: Vocabulary, words: list[bytes] | np.ndarray, counts: n
         begin = np.cumsum(size) - size
         edges = _edges(vocab, buf, np.repeat(begin + size, size))
         most = int(size.max())
+        if most > 16 * block.size + 64:  # few long words: batching over words has nothing to batch
+            for k, i in enumerate(block):
+                own = [(n, number[begin[k]:begin[k] + size[k]]) for n, number in edges]
+                out[i], piece, share = _one_word(own, int(size[k]), log_p)
+                if counts is not None:
+                    expected += np.bincount(piece, share * counts[i], minlength=expected.size)
+            continue
         forward = np.full((most + 1, block.size), -np.inf)
         forward[0] = 0.0
         for j in range(1, most + 1):  # sizes ascend: the words from here on are long enough
