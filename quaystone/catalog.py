@@ -8,8 +8,8 @@ brute force in ``tests/``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,8 @@ from quaystone.operators import calibrate, clean, eda, evaluate, faults, gate, m
 from quaystone.operators.features import stratified_folds, stratified_split
 from quaystone.plans.cleaning import Cast, CleaningPlan, Clip, DropColumn, Impute, Rename, StandardizeCategory
 from quaystone.plans.examples import churn_like, churn_like_draft, lineitem_draft, orders_draft
-from quaystone.sources.tables import read_parquet
+from quaystone.session import checkpoint_dir
+from quaystone.sources.tables import read_parquet, read_table, write_table
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -426,13 +427,89 @@ def q_run_status_orders_faults(spark, sf):
             records.append(runs.run_record(spark, run_id="late", status="halted_error", failure_category="artifact_missing",
                                            modeling_started=True, degraded_stages=("planning",), **facts))
             records.append(runs.run_record(spark, run_id="only", validate_only=True, **facts))
-    table = reduce(DataFrame.unionByName, records)
+    path = f"{_scratch(spark)}/runs"
+    for record in records:
+        runs.append_run(record, path)
+    table = spark.read.parquet(path)
     return runs.run_status(table).select(
         "run_id", "status", "failure_category", "rows", F.col("columns").cast("bigint").alias("columns"),
         "gate_passed", "gate_errors", "gate_warnings", "fault_injection", "modeling_started",
         "not_started_reason", "is_pass", "is_fail", "is_demo", "is_degraded", "headline")
 
 
+def _scratch(spark) -> str:
+    """A new folder in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/catalog-{uuid.uuid4().hex}"
+
+
+def q_cal_md5_draws_orders(spark, sf):
+    """The calibration's estimator on draws that SQL can repeat; 50 iterations of two batch sizes."""
+    o = _t(spark, sf, "orders")
+    return _rounded(calibrate.calibrate(o, "o_totalprice", ["o_orderkey", "o_totalprice", "o_orderstatus"],
+                                        rate_expr=(F.col("o_orderstatus") == "F").cast("int"), sizes=(100, 300), n_iter=50,
+                                        draws=calibrate.md5_positions)
+                    .select("statistic", F.col("batch_n").cast("bigint").alias("batch_n"), "p50", "p95", "p99", "max"))
+
+
+def q_gate_churn_faulty_runs(spark, sf):
+    """Findings of five faulty candidates, appended to a findings table and read from it."""
+    from quaystone.operators import runs
+    t = _churn(spark, sf)
+    c = _contract(churn_like_draft(), t, "churn")
+    third = F.col("doc_id") % 3 == 0
+    candidates = {
+        "no_target": t.drop("toxic"),
+        "null_target": t.withColumn("toxic", F.when(~third, F.col("toxic"))),
+        "odd_target": t.withColumn("toxic", F.when(third, F.col("doc_id") + 2).otherwise(F.col("toxic"))),
+        "one_class": t.withColumn("toxic", F.lit(0).cast("bigint")).withColumn("lang", F.lit("en")),
+        "negative": t.withColumn("n_chars", F.when(third, -F.col("n_chars")).otherwise(F.col("n_chars") * 10)),
+    }
+    root = _scratch(spark)
+    for run_id, candidate in candidates.items():
+        runs.write_findings(spark, gate.run_gate(candidate, c, run_id=run_id), root)
+    found = spark.read.parquet(f"{root}/findings")
+    return _rounded(found.where("check_id not in ('INTEGRITY_SHA256_MATCH', 'SCHEMA_COLUMN_ORDER')").select(
+        F.col("run_id").cast("string").alias("run_id"), "check_id", "check_family", "severity", "column", "observed_value", "hint"))
+
+
+def q_cln_impute_and_cast_orders(spark, sf):
+    holes = _t(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice")).alias("o_totalprice"),
+        F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority")).alias("o_orderpriority"), "o_custkey")
+    plan = CleaningPlan([Impute("o_totalprice", "mean", "unpriced"), Impute("o_orderpriority", "constant", "unset", "NONE"),
+                         Cast("o_custkey", "float64", "as measured elsewhere")])
+    return _rounded(clean.execute_plan(holes, plan))
+
+
+def q_snk_snapshot_orders(spark, sf):
+    """A table written, snapshot for a run and read back: nothing changes."""
+    from quaystone.operators import runs
+    root = _scratch(spark)
+    write_table(_t(spark, sf, "orders"), f"{root}/clean")
+    return _rounded(runs.snapshot(read_parquet(spark, f"{root}/clean"), root, "run-1"))
+
+
+def q_src_csv_orders(spark, sf):
+    """A CSV with quotes, line breaks, long numbers and NA marks, written from orders and read back with inferred types."""
+    root = _scratch(spark)
+    note = F.concat(F.lit('said "'), F.col("o_orderpriority"), F.lit('",\nthen '), F.col("o_orderstatus"))
+    o = _t(spark, sf, "orders").select(
+        "o_orderkey", F.concat(F.lit("9"), F.lpad(F.col("o_orderkey").cast("string"), 20, "0")).alias("long_number"), note.alias("note"),
+        F.when(F.col("o_orderkey") % 4 == 0, F.lit("NA")).otherwise(F.concat(F.lit("C"), "o_custkey")).alias("customer"))
+    write_table(o, f"{root}/orders", fmt="csv")
+    return read_table(spark, f"{root}/orders", fmt="csv")
+
+
+def q_evl_metrics_null_group(spark, sf):
+    m = evaluate.metrics(_scored(spark, sf).withColumn("lang", F.when(F.col("lang") != "de", F.col("lang"))), group_by="lang")
+    return _rounded(m.select("lang", *[F.col(c).cast("bigint") for c in ("tn", "fp", "fn", "tp")], *evaluate.METRICS))
+
+
+def q_spl_null_labels_documents(spark, sf):
+    d = _t(spark, sf, "documents").select("doc_id", F.when(F.col("lang") != "de", F.col("lang")).alias("lang"))
+    return stratified_split(d, "lang", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k[2:]: v for k, v in globals().items() if k.startswith("q_") and callable(v)}
 
@@ -836,6 +913,64 @@ SELECT run_id, coalesce(map {{'validation_failed': 'halted_validation', 'artifac
        failure_category IS NULL AS is_pass, failure_category IS NOT NULL AS is_fail, fault_injection IS NOT NULL AS is_demo,
        stages > 0 AS is_degraded, coalesce('failed: ' || failure_category, 'completed') AS headline
 FROM ended"""
+    sql["cal_md5_draws_orders"] = """
+WITH pop AS (SELECT row_number() OVER (ORDER BY o_orderkey, o_totalprice, o_orderstatus) - 1 AS pos, o_totalprice AS v,
+                    (o_orderstatus = 'F')::int AS r FROM orders),
+st AS (SELECT count(*) AS n, avg(r) AS rate, quantile_cont(v, 0.5) AS med FROM pop),
+draws AS (SELECT size, iter, CAST('0x' || substr(md5('42|' || size || '|' || iter || '|' || k), 1, 13) AS BIGINT) % n AS pos
+          FROM st, unnest([100, 300]) AS s(size), unnest(range(0, 50)) AS i(iter), unnest(range(0, size)) AS t(k)),
+batches AS (SELECT size, iter, quantile_cont(v, 0.5) AS med, avg(r) AS rate FROM draws JOIN pop USING (pos) GROUP BY size, iter),
+devs AS (SELECT size, 'median_dev_pct' AS statistic, abs(b.med - st.med) / st.med * 100 AS d FROM batches b, st
+         UNION ALL SELECT size, 'rate_dev_pp', abs(b.rate - st.rate) * 100 FROM batches b, st)
+SELECT statistic, size::bigint AS batch_n, round(quantile_cont(d, 0.5), 6) AS p50, round(quantile_cont(d, 0.95), 6) AS p95,
+       round(quantile_cont(d, 0.99), 6) AS p99, round(max(d), 6) AS max FROM devs GROUP BY statistic, size"""
+    sql["gate_churn_faulty_runs"] = f"""
+WITH base AS {_CHURN},
+cand AS (
+  SELECT 'no_target' AS run_id, doc_id, lang, n_chars, NULL::bigint AS toxic FROM base
+  UNION ALL SELECT 'null_target', doc_id, lang, n_chars, CASE WHEN doc_id % 3 <> 0 THEN toxic END FROM base
+  UNION ALL SELECT 'odd_target', doc_id, lang, n_chars, CASE WHEN doc_id % 3 = 0 THEN doc_id + 2 ELSE toxic END FROM base
+  UNION ALL SELECT 'one_class', doc_id, 'en', n_chars, 0 FROM base
+  UNION ALL SELECT 'negative', doc_id, lang, CASE WHEN doc_id % 3 = 0 THEN -n_chars ELSE n_chars * 10 END, toxic FROM base),
+was AS (SELECT quantile_cont(n_chars, 0.5) AS med, avg((toxic = (SELECT max(toxic) FROM base))::int) AS rate FROM base),
+tops AS (SELECT run_id, max(toxic) AS top FROM cand GROUP BY run_id),
+facts AS (
+  SELECT run_id, count(*) FILTER (toxic IS NULL) AS nulls, count(DISTINCT toxic) AS classes,
+         count(DISTINCT toxic) FILTER (toxic NOT IN (0, 1)) AS odd, count(*) FILTER (n_chars < 0) AS below,
+         avg(coalesce((toxic = top)::int, 0)) AS rate, quantile_cont(n_chars, 0.5) AS med, count(DISTINCT lang) AS langs
+  FROM cand JOIN tops USING (run_id) GROUP BY run_id),
+found AS (
+  SELECT run_id, 'TARGET_COLUMN_PRESENT' AS check_id, 'target' AS check_family, 'ERROR' AS severity, 'toxic' AS "column", NULL::double AS v
+  FROM facts WHERE run_id = 'no_target'
+  UNION ALL SELECT run_id, 'TARGET_NO_NULLS', 'target', 'ERROR', 'toxic', nulls FROM facts WHERE nulls > 0 AND run_id <> 'no_target'
+  UNION ALL SELECT run_id, 'TARGET_CLOSED_DOMAIN', 'target', 'ERROR', 'toxic', odd FROM facts WHERE odd > 0
+  UNION ALL SELECT run_id, 'TARGET_AT_LEAST_TWO_CLASSES', 'target', 'ERROR', 'toxic', classes FROM facts WHERE classes < 2 AND run_id <> 'no_target'
+  UNION ALL SELECT run_id, 'TARGET_POSITIVE_RATE_DRIFT', 'target', 'ERROR', 'toxic', f.rate FROM facts f, was
+  WHERE abs(f.rate - was.rate) > 0.05 AND run_id <> 'no_target'
+  UNION ALL SELECT run_id, 'CONSTRAINTS_BUSINESS_RANGE', 'constraints', 'ERROR', 'n_chars', below FROM facts WHERE below > 0
+  UNION ALL SELECT run_id, 'SCALE_DRIFT_MEDIAN', 'scale_drift', 'ERROR', 'n_chars', f.med FROM facts f, was WHERE abs(f.med / was.med - 1) > 0.25
+  UNION ALL SELECT run_id, 'MODELING_CONSTANT_REQUIRED_FEATURE', 'modeling', 'WARN', 'lang', langs FROM facts WHERE langs <= 1)
+SELECT run_id, check_id, check_family, severity, "column", round(v, 6) AS observed_value,
+       CASE WHEN check_id = 'SCALE_DRIFT_MEDIAN' THEN (SELECT min(h) FROM unnest([0.001, 0.01, 0.1, 10.0, 100.0, 1000.0]) AS t(h), was
+         WHERE abs(v / was.med / h - 1) < 0.05)::double END AS hint
+FROM found"""
+    sql["cln_impute_and_cast_orders"] = """
+WITH h AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS p,
+                  CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS q, o_custkey FROM orders)
+SELECT o_orderkey, round(coalesce(p, (SELECT avg(p) FROM h)), 6) AS o_totalprice, coalesce(q, 'NONE') AS o_orderpriority,
+       o_custkey::double AS o_custkey FROM h"""
+    sql["snk_snapshot_orders"] = "SELECT * REPLACE (round(o_totalprice, 6) AS o_totalprice) FROM orders"
+    sql["src_csv_orders"] = """
+SELECT o_orderkey, '9' || lpad(o_orderkey::varchar, 20, '0') AS long_number,
+       'said "' || o_orderpriority || '",' || chr(10) || 'then ' || o_orderstatus AS note,
+       CASE WHEN o_orderkey % 4 <> 0 THEN 'C' || o_custkey END AS customer FROM orders"""
+    sql["evl_metrics_null_group"] = _metrics_sql("lang").replace(
+        "WITH s AS (SELECT lang,", "WITH s AS (SELECT nullif(lang, 'de') AS lang,").replace("USING (lang)", "ON c.lang IS NOT DISTINCT FROM r.lang").replace(
+        "SELECT lang, tn::bigint", "SELECT c.lang, tn::bigint")
+    sql["spl_null_labels_documents"] = """
+WITH d AS (SELECT doc_id, nullif(lang, 'de') AS lang FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY md5('42|' || doc_id), doc_id) - 1 AS k, count(*) OVER (PARTITION BY lang) AS n FROM d)
+SELECT doc_id, lang, CASE WHEN k < floor(n * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS split FROM r"""
     sql["evl_metrics_scores"] = _metrics_sql(None)
     sql["evl_metrics_by_lang"] = _metrics_sql("lang")
     return sql

@@ -76,6 +76,15 @@ def draw_positions(spark, n: int, sizes=BATCH_SIZES, n_iter: int = N_ITER, seed:
     return iters.mapInPandas(_batch_positions(n, seed), "size int, iter int, pos long")
 
 
+def md5_positions(spark, n: int, sizes, n_iter: int, seed: int = SEED) -> DataFrame:
+    """(size, iter, pos) by MD5 of seed, size, iteration and draw, with replacement: no generator, the same in any engine."""
+    base = spark.createDataFrame([(int(s),) for s in sizes], "size int")
+    rows = base.select("size", F.explode(F.sequence(F.lit(0), F.lit(n_iter - 1))).alias("iter"))
+    rows = rows.select("size", "iter", F.explode(F.expr("sequence(0, size - 1)")).alias("k"))
+    key = F.concat_ws("|", F.lit(str(seed)), "size", "iter", "k")
+    return rows.select("size", "iter", (F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("long") % F.lit(n)).alias("pos"))
+
+
 def _median_of_sorted(arr: F.Column) -> F.Column:
     k = F.size(arr)
     h = (k - 1).cast("double") * 0.5
@@ -86,7 +95,7 @@ def _median_of_sorted(arr: F.Column) -> F.Column:
 
 
 def calibrate(df: DataFrame, value_col: str, order_by, *, rate_expr: F.Column | None = None,
-              sizes=BATCH_SIZES, n_iter: int = N_ITER, seed: int = SEED) -> DataFrame:
+              sizes=BATCH_SIZES, n_iter: int = N_ITER, seed: int = SEED, draws=draw_positions) -> DataFrame:
     """(statistic, batch_n, p50, p95, p99, max) for the median deviation (%)
     and, given ``rate_expr`` (0/1), the rate deviation (percentage points)."""
     spark = df.sparkSession
@@ -99,7 +108,7 @@ def calibrate(df: DataFrame, value_col: str, order_by, *, rate_expr: F.Column |
     pop_median = exact_median(pop, "v")
 
     checkpoint_dir(spark)
-    positions = draw_positions(spark, n, sizes, n_iter, seed)
+    positions = draws(spark, n, sizes, n_iter, seed)
     side = F.broadcast(pop) if n <= BROADCAST_POPULATION_ROWS else pop
     # one row per (size, iteration) — checkpointed to the shared folder, so
     # the draw + join work runs once and the lineage is cut. Each group holds

@@ -34,7 +34,7 @@ class CleaningExecutionError(ValueError):
 
 def _need(df: DataFrame, column: str, op: str) -> None:
     if column not in df.columns:
-        raise CleaningExecutionError(f"{op}: column {column!r} not present")
+        raise CleaningExecutionError(f"cannot {op}: the table has no column {column!r}")
 
 
 def drop_duplicates(df: DataFrame, subset=None, order_by=None) -> DataFrame:
@@ -77,9 +77,9 @@ def impute(df: DataFrame, column: str, strategy: str, value=None) -> DataFrame:
     elif strategy == "mode":
         fill = mode_value(df, column)
         if fill is None:
-            raise CleaningExecutionError(f"impute: column {column!r} has no mode (all values are null)")
+            raise CleaningExecutionError(f"cannot fill {column!r} with its most frequent value: it has none")
     else:
-        raise CleaningExecutionError(f"impute: unsupported strategy {strategy!r}")
+        raise CleaningExecutionError(f"no way to fill is called {strategy!r}")
     if fill is None:
         return df
     lit = F.lit(fill)
@@ -89,7 +89,7 @@ def impute(df: DataFrame, column: str, strategy: str, value=None) -> DataFrame:
     typed = lit.try_cast(dt) if not isinstance(dt, T.StringType) else lit.cast("string")
     probe = df.sparkSession.range(1).select(typed.alias("v")).collect()[0]["v"]
     if probe is None:
-        raise CleaningExecutionError(f"impute: value {fill!r} cannot be stored in column {column!r} ({dt.simpleString()})")
+        raise CleaningExecutionError(f"{column!r} ({dt.simpleString()}) cannot hold the fill value {fill!r}")
     return df.withColumn(column, F.coalesce(F.col(column), typed))
 
 
@@ -105,19 +105,19 @@ def cast(df: DataFrame, column: str, target_dtype: str) -> DataFrame:
         nulls = df.agg(F.count_if(x.isNull()).alias("n")).collect()[0]["n"]
         if nulls:
             raise CleaningExecutionError(
-                f"cast: column {column!r} still has {nulls} null value(s); impute before casting to int64")
+                f"{column!r} cannot become a whole number: {nulls} row(s) have no number (fill them first)")
         return df.withColumn(column, x.cast("bigint"))
     if target_dtype == "str":
         return df.withColumn(column, value_text(column, dt))
     if target_dtype == "bool":
         return df.withColumn(column, truthy(column, dt))
-    raise CleaningExecutionError(f"cast: unsupported target {target_dtype!r}")
+    raise CleaningExecutionError(f"no cast leads to {target_dtype!r}")
 
 
 def rename(df: DataFrame, old_name: str, new_name: str) -> DataFrame:
     _need(df, old_name, "rename")
     if new_name in df.columns:
-        raise CleaningExecutionError(f"rename: column {new_name!r} already exists")
+        raise CleaningExecutionError(f"{new_name!r} is taken by another column")
     return df.withColumnRenamed(old_name, new_name)
 
 
@@ -151,12 +151,11 @@ def standardize_category(df: DataFrame, column: str, mapping: dict) -> DataFrame
     dt = df.schema[column].dataType
     text = value_text(column, dt)
     keys = [str(k) for k in mapping]
-    unmapped = (df.select(text.alias("v")).filter(F.col("v").isNotNull() & ~F.col("v").isin(keys))
-                .distinct())
-    listed = [r["v"] for r in unmapped.orderBy("v").limit(LISTED_UNMAPPED).collect()]
-    if listed:
-        raise CleaningExecutionError(
-            f"standardize_category: column {column!r} has value(s) without a mapping: {listed}")
+    unmapped = df.select(text.alias("v")).where(F.col("v").isNotNull() & ~F.col("v").isin(keys)).distinct()
+    found = (unmapped.orderBy("v").limit(LISTED_UNMAPPED).agg(F.sort_array(F.collect_list("v")).alias("v"))
+             .crossJoin(unmapped.agg(F.count(F.lit(1)).alias("n")))).first()  # one row each
+    if found["n"]:
+        raise CleaningExecutionError(f"the mapping of {column!r} leaves out {found['n']} value(s), the first being {found['v']}")
     lookup = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(str(k)), F.lit(str(v)))])
     return df.withColumn(column, F.element_at(lookup, text))
 
@@ -180,5 +179,5 @@ def execute_plan(df: DataFrame, plan: CleaningPlan, order_by=None) -> DataFrame:
         elif isinstance(op, StandardizeCategory):
             out = standardize_category(out, op.column, op.mapping)
         else:
-            raise CleaningExecutionError(f"unsupported operation {op!r}")
+            raise CleaningExecutionError(f"not a cleaning operation: {op!r}")
     return out

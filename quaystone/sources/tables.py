@@ -127,7 +127,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w = w.option("header", True)
+        w = w.option("header", True).option("quote", '"').option("escape", '"')
     w.save(path)
 
 
