@@ -152,11 +152,12 @@ def test_target_facts_match_separate_measures(spark):
     num = spark.createDataFrame([(1,), (0,), (1,), (None,), (2,), (2,)], "y int")
     txt = spark.createDataFrame([("no",), ("yes",), (None,), ("yes",)], "y string")
     for df, dom in ((num, None), (txt, ["no", "yes"])):
-        counts, rate = target_facts(df, "y", dom)
-        assert counts == {r["value"]: r["count"] for r in target_class_counts(df, "y").collect()}
+        facts = target_facts(df, "y", dom)
+        rate = facts["positive_rate"]
+        assert facts["class_counts"] == {r["value"]: r["count"] for r in target_class_counts(df, "y").collect()}
         assert rate == pytest.approx(measure_positive_rate(df, "y", dom))
-    assert target_facts(num, "y", None)[1] == pytest.approx(2 / 6)
-    assert target_facts(txt, "y", ["no", "yes"]) == ({"no": 1, "yes": 2, "null": 1}, 0.5)
+    assert target_facts(num, "y", None)["positive_rate"] == pytest.approx(2 / 6)
+    assert target_facts(txt, "y", ["no", "yes"]) == {"class_counts": {"no": 1, "yes": 2, "null": 1}, "positive_rate": 0.5}
 
 
 def test_profile_target_distribution_matches_grouped_counts(spark):
