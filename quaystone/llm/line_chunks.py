@@ -72,7 +72,8 @@ def line_chunk_dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     twice = stage(spots.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("a"), F.max("at").alias("b"))
                   .where("n >= 2 and a <> b").select("h"))
     again = stage(spots.join(twice, "h"))
-    first = again.groupBy("h", "body").agg(F.min("at").alias("stays"))
+    # written first, so that the join has shuffles of its own, which a hot chunk is split in
+    first = stage(again.groupBy("h", "body").agg(F.min("at").alias("stays")))
     gone = (again.join(first, ["h", "body"]).where("at <> stays")
             .groupBy("at.place").agg(F.collect_set("at.first").alias("gone"),
                                      F.size(F.collect_set("at.first")).alias("n_gone")))

@@ -73,7 +73,7 @@ def train(bags: list[tuple[np.ndarray, np.ndarray, int]], *, dim: int = DIM, epo
           rate: float = RATE, seed: int = SEED) -> Model:
     """bags: of every text its distinct hashes, their shares of its features, and the label (0 or 1)."""
     rng = np.random.Generator(np.random.PCG64(seed))
-    vectors = rng.uniform(-1 / dim, 1 / dim, (1 << BITS, dim)).astype(np.float32)
+    vectors = (rng.random((1 << BITS, dim), dtype=np.float32) * 2 - 1) / np.float32(dim)
     layer, bias = np.zeros((2, dim), np.float32), np.zeros(2, np.float32)
     layer[1] = rng.uniform(-1, 1, dim)
     layer[0] = -layer[1]
