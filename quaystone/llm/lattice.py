@@ -144,7 +144,7 @@ def word_log_probs(vocab: Vocabulary, words: list[bytes] | np.ndarray, counts: n
     sizes = np.array([len(w) + 1 for w in words], np.int64)
     out, expected = np.zeros(sizes.size), np.zeros(vocab.log_p.size)
     log_p = np.append(vocab.log_p, -np.inf)  # number -1: no piece
-    for block in _blocks(sizes):
+    for block in _blocks(sizes):  # none without words
         buf = np.frombuffer(b" " + b" ".join(words[i] for i in block), np.uint8)
         size = sizes[block]
         begin = np.cumsum(size) - size

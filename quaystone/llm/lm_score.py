@@ -27,24 +27,32 @@ ROUNDS = 1
 
 
 def _distinct_words(batch_column):
-    """Pieces of a batch with (rows, first word of each text, word -> distinct, distinct hashes, their bytes)."""
-    for i, end, buf, offs in pieces(batch_column, 16 << 20):
+    """Pieces of a batch with (rows, first word of each text, word -> distinct, distinct hashes, their spelling)."""
+    for i, end, buf, offs in pieces(batch_column):
         starts, ends, first = words(buf, offs)
         h = span_hashes(prefix_hashes(buf), starts, ends)
         distinct, at, which = np.unique(h, return_index=True, return_inverse=True)
         low = LOWER[buf].tobytes()
-        texts = [low[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
-        yield i, end, first, which, distinct, texts
+
+        def spelling(k, low=low, begin=starts[at], stop=ends[at]):
+            """Bytes of the distinct words numbered ``k``."""
+            return [low[a:b] for a, b in zip(begin[k].tolist(), stop[k].tolist(), strict=True)]
+        yield i, end, first, which, distinct, spelling
 
 
 def word_counts(train: DataFrame) -> DataFrame:
     """(h, word, c): how often each lower-cased word occurs in the column body; partly summed before the shuffle."""
     def run(batches):
         for batch in batches:
-            for _, _, _, which, distinct, texts in _distinct_words(batch.column(0)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(distinct.view(np.int64)), pa.array(texts, pa.binary()),
-                     pa.array(np.bincount(which, minlength=distinct.size).astype(np.int64))], names=["h", "word", "c"])
+            hashes, counts, texts = [np.zeros(0, U64)], [np.zeros(0)], []
+            for _, _, _, which, distinct, spelling in _distinct_words(batch.column(0)):
+                hashes.append(distinct)
+                counts.append(np.bincount(which, minlength=distinct.size))
+                texts += spelling(np.arange(distinct.size))
+            distinct, at, which = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+            total = np.bincount(which, np.concatenate(counts), minlength=distinct.size).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array([texts[k] for k in at], pa.binary()),
+                                              pa.array(total)], names=["h", "word", "c"])
     partial = train.select("body").mapInArrow(run, "h long, word binary, c long")
     return partial.groupBy("h").agg(F.min("word").alias("word"), F.sum("c").alias("c"))
 
@@ -67,6 +75,17 @@ def adapt(vocab: Vocabulary, counts: DataFrame, n_texts: int, prior_weight: floa
     return vocab.adapted(expected, prior_weight)
 
 
+def _spelled(counts: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """(h, c, log_p): the words' log probabilities under the lattice."""
+    held = counts.sparkSession.sparkContext.broadcast(vocab)
+
+    def run(batches):
+        for batch in batches:
+            log_p = word_log_probs(held.value, batch.column(2).to_pylist())[0]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(log_p)], names=["h", "c", "log_p"])
+    return counts.select("h", "c", "word").mapInArrow(run, "h long, c long, log_p double")
+
+
 def lattice_scores(df: DataFrame, *, vocab_path: str, id_col: str = "doc_id", text_col: str = "text",
                    folds: int = FOLDS, rounds: int = ROUNDS) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score (both log10).
@@ -98,21 +117,26 @@ def lattice_scores(df: DataFrame, *, vocab_path: str, id_col: str = "doc_id", te
         if total > MAX_FREQUENT:
             break
         least = power
-    frequent = counts.where(F.col("c") >= F.lit(2 ** min(least, 62))).select("h", "c").toPandas()
+    # the frequent words' counts and log probabilities, sorted by hash: at most MAX_FREQUENT rows
+    frequent = _spelled(counts.where(F.col("c") >= F.lit(2 ** min(least, 62))), vocab).toPandas()
     frequent = frequent.assign(h=frequent["h"].to_numpy(np.int64).view(U64)).sort_values("h")
-    held = spark.sparkContext.broadcast((vocab, frequent["h"].to_numpy(), frequent["c"].to_numpy(np.int64)))
+    held = spark.sparkContext.broadcast((vocab, frequent["h"].to_numpy(), frequent["c"].to_numpy(np.int64),
+                                         frequent["log_p"].to_numpy()))
 
     def run(batches):
-        model, known_h, known_c = held.value
+        model, known_h, known_c, known_p = held.value
         for batch in batches:
             n_tokens, n_known = np.ones(batch.num_rows, np.int64), np.full(batch.num_rows, end_known)
             base, score = np.full(batch.num_rows, end_base), np.full(batch.num_rows, model.log_p[-1])
             tails = []
-            for i, end, first, which, distinct, texts in _distinct_words(batch.column(2)):
-                log_p, _ = word_log_probs(model, texts)
+            for i, end, first, which, distinct, spelling in _distinct_words(batch.column(2)):
                 place = np.minimum(np.searchsorted(known_h, distinct), max(0, known_h.size - 1))
                 there = known_h[place] == distinct if known_h.size else np.zeros(distinct.size, bool)
                 c = np.where(there, known_c[place], 0) if known_h.size else np.zeros(distinct.size)
+                log_p = np.zeros(distinct.size)
+                log_p[there] = known_p[place[there]] if known_h.size else 0.0
+                rare = np.flatnonzero(~there)
+                log_p[rare] = word_log_probs(model, spelling(rare))[0]
                 log_c = np.where(there, np.log10((c + SMOOTHING) / below), 0.0)
                 n_tokens[i:end] += np.diff(first)
                 for j, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True), start=i):
