@@ -25,7 +25,7 @@ LENGTH = 200
 GRAM = 64
 SHARD_BYTES = 6 << 20
 QUEUE_BYTES = 64 << 20   # queue tuples that a task holds; beyond, they go to disk
-HOT_STRANDS = 1024       # minimizers with more distinct strands are settled by counting their windows
+HOT_STRANDS = 1024       # minimizers with more distinct strands are split into chunks of about so many
 BROADCAST_KEYS = 2_000_000
 
 
@@ -111,13 +111,14 @@ def _found_strands(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _strand_bytes(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """(mini, whole, hot, rk, a, body) of the wanted strands, cut from their texts."""
-    per_text = stage(wanted.groupBy("rk").agg(F.collect_list(F.struct("mini", "whole", "hot", "a", "n")).alias("s")))
-    small = per_text.count() <= BROADCAST_KEYS // 20  # strands come with the keys
-    texts = docs.select("rk", F.encode("body", "UTF-8").alias("body")).join(F.broadcast(per_text) if small else per_text, "rk")
+    """(mini, whole, chunks, rk, a, body) of the wanted strands, cut from their texts."""
+    per_text = stage(wanted.groupBy("rk").agg(F.collect_list(F.struct("mini", "whole", "chunks", "a", "n")).alias("s")))
+    texts = docs.select("rk", F.encode("body", "UTF-8").alias("body"))
+    if per_text.count() <= BROADCAST_KEYS:  # keys only; then no other texts are shuffled
+        texts = texts.join(F.broadcast(per_text.select("rk")), "rk", "left_semi")
     # one row of rows alike in id and text is enough, and none is lost if both come
-    flat = texts.select("rk", "body", F.explode("s").alias("s"))
-    return flat.select("s.mini", "s.whole", "s.hot", "rk", "s.a",
+    flat = texts.join(per_text.hint("merge"), "rk").select("rk", "body", F.explode("s").alias("s"))
+    return flat.select("s.mini", "s.whole", "s.chunks", "rk", "s.a",
                        F.expr(f"substring(body, s.a + 1, s.n + {length - 1})").alias("body"))
 
 
@@ -147,18 +148,61 @@ def _sorted_spans(rows: DataFrame, length: int, shard_bytes: int, memory: int) -
     return dealt.mapInArrow(run, "rk long, begin int, end int")
 
 
-def _counted_spans(rows: DataFrame, length: int) -> DataFrame:
-    """The same for minimizers with very many distinct strands: their windows' hashes are counted, partly before the shuffle."""
+def _chunked_spans(rows: DataFrame, length: int) -> DataFrame:
+    """The same for minimizers with very many distinct strands.
+
+    Their strands are dealt into chunks. Windows that repeat inside a chunk are
+    settled there; each chunk then sends every distinct window once, and those
+    that another chunk has too repeat as well.
+    """
     def run(batches):
+        def flush(key, strand):
+            """strand: whole -> (rk, first window, bytes) of one minimizer's chunk."""
+            first = [(rk, a) for rk, a, _ in strand.values()]
+            hashes = [_hash_windows(_prefix(np.frombuffer(b, np.uint8)), length) for _, _, b in strand.values()]
+            sizes = np.array([h.size for h in hashes])
+            own = np.repeat(np.arange(sizes.size), sizes)
+            place = np.arange(own.size) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            distinct, at, which, n = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True, return_counts=True)
+            again = n[which] > 1
+            edge = np.ones(own.size, bool)
+            edge[1:] = (again[1:] != again[:-1]) | (own[1:] != own[:-1])
+            begin = np.flatnonzero(edge)
+            end = np.append(begin[1:], own.size)
+            spans = [(first[own[i]][0], first[own[i]][1] + int(place[i]), first[own[i]][1] + int(place[j - 1]) + length)
+                     for i, j in zip(begin, end, strict=True) if again[i]]
+            alone = n == 1
+            rk, start = np.array(first, np.int64).T[:, own[at]]
+            start = start + place[at]
+            m, k = len(spans), distinct.size
+            spans = np.array(spans, np.int64).reshape(m, 3)
+            return pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate((spans[:, 0], rk))),
+                pa.array(np.concatenate((spans[:, 1], start)).astype(np.int32)),
+                pa.array(np.concatenate((spans[:, 2], start + length)).astype(np.int32)),
+                pa.array(np.concatenate((np.ones(m, bool), ~alone))),
+                pa.array(np.full(m + k, key[0])), pa.array(np.full(m + k, key[1], np.int32)),
+                pa.array(np.concatenate((np.zeros(m, np.int64), distinct.view(np.int64))), mask=np.arange(m + k) < m)],
+                names=["rk", "begin", "end", "settled", "mini", "chunk", "h"])
+        key, held = None, {}
         for batch in batches:
-            for m, w, rk, a, b in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                h = _hash_windows(_prefix(np.frombuffer(b, np.uint8)), length)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(h.size, m)), pa.array(h.view(np.int64)), pa.array(np.full(h.size, w)),
-                     pa.array(np.full(h.size, rk)), pa.array((a + np.arange(h.size)).astype(np.int32))], names=["mini", "h", "whole", "rk", "begin"])
-    windows = stage(rows.select("mini", "whole", "rk", "a", "body").mapInArrow(run, "mini long, h long, whole long, rk long, begin int"))
-    twice = windows.groupBy("mini", "h").agg(F.min("whole").alias("x"), F.max("whole").alias("y")).where("x <> y").select("mini", "h")
-    return windows.join(twice, ["mini", "h"]).select("rk", "begin", (F.col("begin") + length).alias("end"))
+            for mini, chunk, w, rk, a, body in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if (mini, chunk) != key and held:
+                    yield flush(key, held)
+                    held = {}
+                key = (mini, chunk)
+                held[w] = (rk, a, body)
+        if held:
+            yield flush(key, held)
+    chunk = F.pmod(F.xxhash64("whole"), F.col("chunks").cast("long")).cast("int")
+    dealt = (rows.select("mini", chunk.alias("chunk"), "whole", "rk", "a", "body")
+             .repartition("mini", "chunk").sortWithinPartitions("mini", "chunk"))
+    found = stage(dealt.mapInArrow(run, "rk long, begin int, end int, settled boolean, mini long, chunk int, h long"))
+    windows = found.where("h is not null")
+    shared = stage(windows.groupBy("mini", "h").agg(F.min("chunk").alias("x"), F.max("chunk").alias("y"))
+                   .where("x <> y").select("mini", "h"))
+    across = windows.where("not settled").join(shared, ["mini", "h"])
+    return found.where("h is null").select("rk", "begin", "end").union(across.select("rk", "begin", "end"))
 
 
 def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
@@ -176,17 +220,18 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     docs = df.select(F.struct(F.col(quoted(id_col)).alias("id")).alias("own"),
                      F.xxhash64(F.col(quoted(id_col)), body).alias("rk"), body.alias("body"))
     found = stage(_found_strands(docs, length, gram))
-    shared = found.groupBy("mini").agg(F.count(F.lit(1)).alias("m")).where("m >= 2").select("mini")
+    # written first, so that the join has shuffles of its own, which a hot minimizer is split in
+    shared = stage(found.groupBy("mini").agg(F.count(F.lit(1)).alias("m")).where("m >= 2").select("mini"))
     found = stage(found.join(shared, "mini"))
     kinds = stage(found.groupBy("mini", "whole").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("rk", "a", "n")).alias("one")))
     per_mini = kinds.groupBy("mini").agg(F.count(F.lit(1)).alias("kinds")).where("kinds >= 2")
     wanted = kinds.join(per_mini, "mini").select(
-        "mini", "whole", (F.col("kinds") > hot_strands).alias("hot"), F.col("one.rk").alias("rk"), "one.a", "one.n")
+        "mini", "whole", F.ceil(F.col("kinds") / F.lit(hot_strands)).cast("int").alias("chunks"), F.col("one.rk").alias("rk"), "one.a", "one.n")
     cut = stage(_strand_bytes(docs, wanted, length))
-    spans = _sorted_spans(cut.where("not hot"), length, shard_bytes, queue_bytes)
-    hot = cut.where("hot")
+    spans = _sorted_spans(cut.where("chunks = 1"), length, shard_bytes, queue_bytes)
+    hot = cut.where("chunks > 1")
     if not hot.isEmpty():
-        spans = spans.union(_counted_spans(hot, length))
+        spans = spans.union(_chunked_spans(hot, length))
     # a strand that occurs twice repeats as a whole, wherever it occurs
     alike = found.join(kinds.where("m >= 2").select("mini", "whole"), ["mini", "whole"]).select(
         "rk", F.col("a").alias("begin"), (F.col("a") + F.col("n") - 1 + length).alias("end"))
