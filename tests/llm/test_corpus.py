@@ -234,3 +234,22 @@ def test_pipeline_on_hard_rows(spark, hard, nothing):
         for _, fn in corpus_pipeline.STAGES:
             docs = fn(spark, docs, SF_SMALL)
         docs.count()
+
+
+def prose(n, seed=8):
+    rng = np.random.default_rng(seed)
+    return " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, k)) for k in rng.integers(2, 10, n // 6))[:n]
+
+
+@pytest.mark.parametrize("n", [1_000, 10_000, 100_000])
+def test_license_inside_a_long_line(spark, n):
+    text = prose(n)
+    cut = text.index(" ", n // 2)
+    rows = [(1, text[:cut] + " Released under the MIT License. " + text[cut:]), (2, text[:cut] + " licensed by the é council " + text[cut:]),
+            (3, "Licensed under CC BY-NC 4.0. " + text + " Released under the MIT License.")]
+    got = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["license"], r["confirmed"]) for r in got if r["doc_id"] == 1} == {("MIT", True)}
+    assert not any(r["confirmed"] for r in got if r["doc_id"] == 2) and {r["first_line"] for r in got} == {0}
+    if n > license_scan.FAR:
+        assert [(r["license"], r["confirmed"]) for r in got if r["doc_id"] == 3] == [("CC-BY-NC-4.0", True), ("MIT", True)]
+        assert all(len(r["block"]) <= 2 * license_scan.FAR for r in got)
