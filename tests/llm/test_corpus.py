@@ -253,3 +253,21 @@ def test_license_inside_a_long_line(spark, n):
     if n > license_scan.FAR:
         assert [(r["license"], r["confirmed"]) for r in got if r["doc_id"] == 3] == [("CC-BY-NC-4.0", True), ("MIT", True)]
         assert all(len(r["block"]) <= 2 * license_scan.FAR for r in got)
+
+
+def test_every_license_of_a_block(spark):
+    rows = [(1, "Licensed under the Apache License, Version 2.0.\nReleased under the MIT License."),
+            (2, "Released under the MIT License.\nsome text\nLicensed under CC BY-NC 4.0."),
+            (3, prose(2_000) + " Released under the MIT License. Licensed under CC BY 4.0. Released under CC0 1.0. " + prose(3_000, 9)),
+            (4, "Released under the MIT License.\n" * 300),
+            (5, "This work is licensed under the GNU General Public License, version 2."),
+            (6, "This work is licensed under the GNU Lesser General Public License, version 3."),
+            (7, "This work is licensed under the GNU General Public License, version 9.")]
+    got = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    sure = defaultdict(list)
+    for r in got:
+        if r["confirmed"]:
+            sure[r["doc_id"]].append(r["license"])
+    assert {k: sorted(v) for k, v in sure.items()} == {
+        1: ["Apache-2.0", "MIT"], 2: ["CC-BY-NC-4.0", "MIT"], 3: ["CC-BY-4.0", "CC0-1.0", "MIT"], 4: ["MIT"], 5: ["GPL-2.0"], 6: ["LGPL-3.0"]}
+    assert [r["license"] for r in got if r["doc_id"] == 7] == ["GPL-3.0"]
