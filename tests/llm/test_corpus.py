@@ -271,3 +271,62 @@ def test_every_license_of_a_block(spark):
     assert {k: sorted(v) for k, v in sure.items()} == {
         1: ["Apache-2.0", "MIT"], 2: ["CC-BY-NC-4.0", "MIT"], 3: ["CC-BY-4.0", "CC0-1.0", "MIT"], 4: ["MIT"], 5: ["GPL-2.0"], 6: ["LGPL-3.0"]}
     assert [r["license"] for r in got if r["doc_id"] == 7] == ["GPL-3.0"]
+
+
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:
+1. Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the following disclaimer in the
+   documentation and/or other materials provided with the distribution.
+{}
+THIS SOFTWARE IS PROVIDED BY THE REGENTS AND CONTRIBUTORS ``AS IS'' AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
+ARE DISCLAIMED.  IN NO EVENT SHALL THE REGENTS OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS
+OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)
+HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT
+LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY
+OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF
+SUCH DAMAGE."""
+THIRD = """3. Neither the name of the University nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission."""
+ADVERTS = """3. All advertising materials mentioning features or use of this software
+   must display the following acknowledgement: made by the University.
+"""
+
+
+def test_license_texts_not_taken_from_the_templates(spark):
+    cases = [
+        ("SPDX-License-Identifier: MIT", ["MIT"]), ("/* SPDX-License-Identifier: BSD-3-Clause */", ["BSD-3-Clause"]),
+        ("SPDX-License-Identifier: Apache-2.0", ["Apache-2.0"]), ("SPDX-License-Identifier: MIT/Apache-2.0", ["Apache-2.0", "MIT"]),
+        ("# SPDX-License-Identifier: (GPL-2.0-or-later WITH Linux-syscall-note) OR MIT", ["GPL-2.0", "MIT"]),
+        ("SPDX-License-Identifier: EUPL-1.2 or so", []),
+        ("\n".join(" * " + x for x in BSD.format(THIRD).split("\n")), ["BSD-3-Clause"]), (BSD.format(""), ["BSD-2-Clause"]),
+        (BSD.format(ADVERTS + THIRD), []),  # the four-clause license is none of the templates
+        ("This module is free software; you may redistribute it and/or modify it under the terms\nof the GNU Lesser General Public License "
+         "as published by\n# the Free Software Foundation; either version 2.1 of the License, or\n# (at your option) any later version.", ["LGPL-2.1"]),
+        ("Licensed under either of\n * Apache License, Version 2.0\n * or the MIT license\nat your option.", ["Apache-2.0", "MIT"]),
+        ("This text is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License.", ["CC-BY-SA-4.0"]),
+        ("Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that "
+         "the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND ACME DISCLAIMS "
+         "ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL ACME "
+         "BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR "
+         "PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+         "PERFORMANCE OF THIS SOFTWARE.", ["ISC"]),
+        ("the GNU GPL applies here, not the MIT license", [])]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    sure = defaultdict(set)
+    for r in license_scan.scan_licenses(docs).collect():
+        if r["confirmed"]:
+            sure[r["doc_id"]].add(r["license"])
+    assert [sorted(sure[i]) for i in range(len(cases))] == [want for _, want in cases]
+    opening = spark.createDataFrame([(1, "\n".join(BSD.split("\n")[:3]))], "doc_id long, text string")
+    assert [(r["license"], r["confirmed"]) for r in license_scan.scan_licenses(opening).collect()] == [("BSD-2-Clause", False)]
+    own = license_scan.scan_licenses(docs, templates={"Mine": ("all is licensed to me",)}).where("confirmed").count()
+    assert own == 0
