@@ -3,7 +3,8 @@
 A rolling hash over the hashes of ``window`` neighbouring lines says where a
 chunk ends, so an inserted line moves the boundaries near it only. Chunks of two
 or more lines that occur again anywhere are removed but for their first place,
-after their bytes were compared.
+after their bytes were compared. On demand every pair of neighbouring lines is
+a key instead, so that a repeated passage is found wherever the boundaries lie.
 """
 
 from __future__ import annotations
@@ -48,7 +49,7 @@ def with_chunks(df: DataFrame, text_col: str, window: int, divisor: int) -> Data
 
 
 def line_chunk_dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                     window: int = WINDOW, divisor: int = DIVISOR, keep: tuple[str, ...] = ()) -> DataFrame:
+                     window: int = WINDOW, divisor: int = DIVISOR, keep: tuple[str, ...] = (), pairs: bool = False) -> DataFrame:
     """One row per document: id, n_lines, n_chunks, n_removed_chunks, n_removed_lines, kept_text, ``keep`` columns.
 
     Of every chunk of two or more lines that occurs twice or more in the table,
@@ -57,6 +58,12 @@ def line_chunk_dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     empty: one empty line, never removed. Rows alike in id and text are one
     document and come back alike. ``keep`` columns whose name a result column
     has get the suffix ``_src``; an empty table gives an empty result.
+
+    Chunks that a passage's edges share with foreign lines are missed, so short
+    repeated passages mostly stay. With ``pairs``, all lines are removed that lie
+    in two neighbouring lines that occur at an earlier place too: every repeated
+    passage of two or more lines goes, whatever its neighbours, and the first place
+    of a line always stays. n_removed_chunks then counts the runs of removed lines.
     """
     names = ("n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines", "kept_text", id_col)
     docs = df.select(F.struct(F.col(quoted(id_col)).alias("id")).alias("own"),
@@ -66,7 +73,11 @@ def line_chunk_dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         F.col("own.id").isNull().alias("no_id"), F.col("own.id").alias("id"), F.xxhash64("body").alias("text_hash")))
     chunked = with_chunks(docs, "body", window, divisor)
     # outer: a plain explode makes Catalyst test size(chunks) > 0 below, with every expression written out again
-    spots = (chunked.select("place", F.explode_outer("chunks").alias("c")).where("c.n_lines >= 2")
+    bodies = F.col("chunks")
+    if pairs:
+        bodies = F.transform(F.slice("lines", 1, F.greatest(F.size("lines") - 1, F.lit(0))), lambda line, i: F.struct(
+            i.alias("first"), F.lit(2).alias("n_lines"), F.concat_ws("\n", line, F.get("lines", i + 1)).alias("body")))
+    spots = (chunked.select("place", F.explode_outer(bodies).alias("c")).where("c.n_lines >= 2")
              .select(F.xxhash64("c.body").alias("h"), F.struct("place", "c.first").alias("at"), "c.n_lines", "c.body"))
     # hashes that occur twice (nothing but hashes travels), then the bytes of those chunks only
     twice = stage(spots.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("a"), F.max("at").alias("b"))
@@ -85,11 +96,20 @@ def line_chunk_dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         lambda d: with_chunks(d, "body", window, divisor))
         .withColumn("gone", F.coalesce("gone", none))
         .withColumn("left", F.filter("chunks", lambda c: ~F.array_contains("gone", c["first"]))))
+    names = [F.col(f"extra.{quoted(c)}") for c in docs.schema["extra"].dataType.names if c != "_"]
+    if pairs:
+        out = (out.withColumn("gone", F.array_distinct(F.concat("gone", F.transform("gone", lambda i: i + 1))))
+               .withColumn("left", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")))
+        return out.select(
+            F.col("own.id").alias(id_col), F.size("lines").cast("long").alias("n_lines"),
+            F.size("chunks").cast("long").alias("n_chunks"),
+            F.size(F.array_except("gone", F.transform("gone", lambda i: i + 1))).cast("long").alias("n_removed_chunks"),
+            F.size("gone").cast("long").alias("n_removed_lines"),
+            F.array_join(F.transform("left", lambda i: F.get("lines", i)), "\n").alias("kept_text"), *names)
     lines_left = F.aggregate("left", F.lit(0), lambda n, c: n + c["n_lines"])
     return out.select(
         F.col("own.id").alias(id_col), F.size("lines").cast("long").alias("n_lines"),
         F.size("chunks").cast("long").alias("n_chunks"),
         (F.size("chunks") - F.size("left")).cast("long").alias("n_removed_chunks"),
         (F.size("lines") - lines_left).cast("long").alias("n_removed_lines"),
-        F.array_join(F.transform("left", lambda c: c["body"]), "\n").alias("kept_text"),
-        *[F.col(f"extra.{quoted(c)}") for c in docs.schema["extra"].dataType.names if c != "_"])
+        F.array_join(F.transform("left", lambda c: c["body"]), "\n").alias("kept_text"), *names)

@@ -190,3 +190,41 @@ def test_native_plans_have_no_python(spark, hard):
         plan = out._jdf.queryExecution().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
         assert out.agg(F.count(F.lit(1))).first()[0] == hard.count()
+
+
+def brute_pairs(rows):
+    docs = sorted({(i, t or "") for i, t in rows}, key=lambda d: (d[0] is None, d[0] or 0))
+    seen, kept = set(), {}
+    for d in docs:
+        lines, gone = d[1].split("\n"), set()
+        for k in range(len(lines) - 1):
+            if tuple(lines[k:k + 2]) in seen:
+                gone |= {k, k + 1}
+            seen.add(tuple(lines[k:k + 2]))
+        kept[d] = len(gone), "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    return [(i, *kept[i, t or ""]) for i, t in rows]
+
+
+def test_line_pairs_find_short_passages(spark, hard, nothing):
+    rows, i = [], 0
+    for n in range(2, 9):  # 20 passages of every length, each in two documents between other lines
+        for k in range(20):
+            passage = [f"passage {n} {k} line {x}" for x in range(n)]
+            for _ in range(2):
+                rows.append((i, "\n".join([f"own {i} a", f"own {i} b", *passage, f"own {i} c", f"own {i} d"])))
+                i += 1
+    rows += [(i, "a\na\na\nb"), (i + 1, "b\na\na"), (i + 2, None), (i + 3, "\n\n\n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in line_chunks.line_chunk_dedup(docs, pairs=True).collect()}
+    assert sorted((d, r["n_removed_lines"], r["kept_text"]) for d, r in got.items()) == sorted(brute_pairs(rows))
+    at = 0
+    for n in range(2, 9):
+        for _ in range(20):
+            first, second = got[at], got[at + 1]
+            assert first["n_removed_lines"] == 0 and (second["n_removed_lines"], second["n_removed_chunks"]) == (n, 1)
+            assert second["kept_text"] == "\n".join(f"own {at + 1} {x}" for x in "abcd")
+            at += 2
+    some = hard.where("doc_id is not null").select("doc_id", "text")
+    out = [(r["doc_id"], r["n_removed_lines"], r["kept_text"]) for r in line_chunks.line_chunk_dedup(some, pairs=True).collect()]
+    assert sorted(out) == sorted(brute_pairs([tuple(r) for r in some.collect()]))
+    assert line_chunks.line_chunk_dedup(nothing, pairs=True).count() == 0
