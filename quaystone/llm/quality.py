@@ -14,13 +14,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import payload, quoted
+from .common import payload, quoted, stage
 from .textarrays import U64, mix64, pieces, prefix_hashes, span_hashes, words
 
 BITS = 18  # 2**18 hashed vectors
 DIM = 12
 CHAR_NGRAMS = (3, 4)
 TRAIN_ROWS = 2500  # the fit reads so many labelled rows at most, those with the least MD5 of their id
+TRAIN_BYTES = 256 << 20  # and so many bytes of their features
 EPOCHS = 6
 RATE = 8.0
 SEED = 5
@@ -101,9 +102,12 @@ def held_out(id_col, folds: int = 5):
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "quality", max_rows: int = TRAIN_ROWS, **options) -> Model:
+        label_col: str = "quality", max_rows: int = TRAIN_ROWS, max_bytes: int = TRAIN_BYTES, **options) -> Model:
     """Learns from at most ``max_rows`` labelled documents that are not held out.
 
+    Of rows with the same id the one with the least text hash counts. The driver
+    gets 8 bytes for every distinct feature of a text, ``max_bytes`` in all: ids are
+    taken in the order of their MD5, those that no longer fit are passed over.
     Rows without a label or id are left out. Without a row, or with one label
     only, the model gives that label's share to every text.
     """
@@ -112,7 +116,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     known = known.groupBy(ident.alias("key")).agg(F.max(quoted(label_col)).cast("int").alias("label"))
     sample = known.orderBy(F.md5(F.col("key").cast("string")), "key").limit(max_rows)
     rows = docs.select(ident.alias("key"), F.coalesce(F.col(quoted(text_col)), F.lit("")).alias("body"))
-    chosen = rows.join(F.broadcast(sample), "key")  # bounded by max_rows
+    chosen = (rows.join(F.broadcast(sample), "key")  # bounded by max_rows
+              .groupBy("key", "label").agg(F.min(F.struct(F.xxhash64("body").alias("h"), "body"))["body"].alias("body")))
 
     def run(batches):
         for batch in batches:
@@ -126,7 +131,14 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
                 [batch.column(0).cast(pa.string()), batch.column(1),
                  pa.array([b[0] for b in bags], pa.binary()), pa.array([b[1] for b in bags], pa.binary())],
                 names=["key", "label", "ids", "shares"])
-    bags = chosen.select("key", "label", "body").mapInArrow(run, "key string, label int, ids binary, shares binary").collect()
+    found = stage(chosen.select("key", "label", "body").mapInArrow(run, "key string, label int, ids binary, shares binary"))
+    sizes = found.select("key", (F.octet_length("ids") + F.octet_length("shares")).alias("n")).orderBy(F.md5("key"), "key").collect()
+    fit_in, total = [], 0
+    for key, n in sizes:
+        if total + n <= max_bytes:
+            total += n
+            fit_in.append(key)
+    bags = (found if len(fit_in) == len(sizes) else found.where(F.col("key").isin(fit_in))).collect()
     bags.sort(key=lambda r: (len(r["key"]), r["key"], bytes(r["ids"])))
     ready = [(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["shares"], np.float32), r["label"]) for r in bags]
     if len({r[2] for r in ready}) < 2:

@@ -330,3 +330,17 @@ def test_license_texts_not_taken_from_the_templates(spark):
     assert [(r["license"], r["confirmed"]) for r in license_scan.scan_licenses(opening).collect()] == [("BSD-2-Clause", False)]
     own = license_scan.scan_licenses(docs, templates={"Mine": ("all is licensed to me",)}).where("confirmed").count()
     assert own == 0
+
+
+def test_fit_takes_a_row_an_id(spark, monkeypatch):
+    rows = [(i, f"good words number {i}" if i % 2 else f"bad bad things {i}") for i in range(40)]
+    docs = spark.createDataFrame(rows + [(1, f"again {k}") for k in range(300)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    bags = []
+    monkeypatch.setattr(quality, "train", lambda ready, **_: bags.append(ready))
+    quality.fit(docs, labels)
+    known = {r[0] for r in labels.where(~quality.held_out(F.col("doc_id"))).collect()}
+    assert 1 in known and len(bags[0]) == len(known)
+    half = sum(a.nbytes + b.nbytes for a, b, _ in bags[0]) // 2
+    quality.fit(docs, labels, max_bytes=half)
+    assert 0 < sum(a.nbytes + b.nbytes for a, b, _ in bags[1]) <= half and len(bags[1]) >= len(known) // 3
