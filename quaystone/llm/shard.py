@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import payload, quoted, row_hash
+from .common import payload, quoted, row_hash, stage
 
 ROWS_PER_BLOCK = 200_000  # rows that one task permutes at most
 LEAST_BLOCKS = 96
@@ -79,7 +79,8 @@ def shard_rows(df: DataFrame, n_shards: int = 24, *, seed: int = 17,
     the values of all its columns (nulls included), not on the partitioning;
     rows alike in every column are interchangeable and may land in different
     shards. Input columns named shard or slot come back as shard_src, slot_src.
-    Empty tables give no rows. The driver holds counts only: one per block and
+    Rows with the same key (alike, or different in map columns only) that are too many for a
+    block are spread over all blocks. Empty tables give no rows. The driver holds counts only: one per block and
     shard, and blocks have ``rows_per_block`` rows.
     """
     spark = df.sparkSession
@@ -90,6 +91,16 @@ def shard_rows(df: DataFrame, n_shards: int = 24, *, seed: int = 17,
     n_parts = max(LEAST_BLOCKS // n_shards, -(-n // (n_shards * rows_per_block)), 1)
     blocked = own.withColumn("block", F.pmod(F.xxhash64(F.lit(seed + 1), "key"), F.lit(n_blocks)))
     sizes = {r["block"]: r["count"] for r in blocked.groupBy("block").count().collect()}
+    # only blocks far above the others can hold a key with too many rows
+    full = [b for b, c in sizes.items() if c > max(rows_per_block, 1.5 * n / n_blocks)]
+    if full:
+        many = stage(blocked.where(F.col("block").isin(full)).groupBy("key").count().where(F.col("count") > rows_per_block // 2).select("key"))
+        # such rows get keys of their own, written once so that both passes below see the same ones
+        spread = stage(own.join(F.broadcast(many), "key", "left_semi").select("row", F.xxhash64(
+            F.lit(seed + 5), "key", F.monotonically_increasing_id()).alias("key")))
+        own = own.join(F.broadcast(many), "key", "left_anti").select("row", "key").unionByName(spread)
+        blocked = own.withColumn("block", F.pmod(F.xxhash64(F.lit(seed + 1), "key"), F.lit(n_blocks)))
+        sizes = {r["block"]: r["count"] for r in blocked.groupBy("block").count().collect()}
     shard_sizes = [n // n_shards + (i < n % n_shards) for i in range(n_shards)]
     matrix = communication_matrix([sizes.get(b, 0) for b in range(n_blocks)], shard_sizes, seed)
     ends = spark.createDataFrame([(b, _running(row)) for b, row in enumerate(matrix)], "block long, ends array<long>")

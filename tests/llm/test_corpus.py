@@ -344,3 +344,22 @@ def test_fit_takes_a_row_an_id(spark, monkeypatch):
     half = sum(a.nbytes + b.nbytes for a, b, _ in bags[0]) // 2
     quality.fit(docs, labels, max_bytes=half)
     assert 0 < sum(a.nbytes + b.nbytes for a, b, _ in bags[1]) <= half and len(bags[1]) >= len(known) // 3
+
+
+def test_shards_spread_rows_alike(spark):
+    docs = spark.createDataFrame([(1, "alike")] * 4000 + [(i, "own") for i in range(2000)], "doc_id long, text string").repartition(6)
+    out = shard.shard_rows(docs, 4, rows_per_block=200)
+    rows = out.collect()
+    assert Counter((r["doc_id"], r["text"]) for r in rows) == Counter((r["doc_id"], r["text"]) for r in docs.collect())
+    for s in range(4):
+        assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(1500))
+        assert 800 < sum(r["text"] == "alike" for r in rows if r["shard"] == s) < 1200
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, rows))
+    seen = []
+    real = shard.communication_matrix
+    try:
+        shard.communication_matrix = lambda blocks, *a: seen.append(max(blocks)) or real(blocks, *a)
+        shard.shard_rows(docs, 4, rows_per_block=200)
+    finally:
+        shard.communication_matrix = real
+    assert seen[0] <= 300
