@@ -9,8 +9,12 @@ from .common import stage
 
 
 def _to_minimum(pairs: DataFrame) -> DataFrame:
-    """(u, v): joined to the least neighbour of u (or u itself) as m."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    """(u, v): joined to the least neighbour of u (or u itself) as m.
+
+    The minima are written first, so that the join has shuffles of its own: a hub
+    with a large share of all edges is then split over tasks.
+    """
+    least = stage(pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     return pairs.join(least, "u")
 
 

@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact, jaccard, license_scan, line_chunks, lm_score, mix, quality, shard, suffix_dedup
+from . import decontaminate, exact, jaccard, license_scan, line_chunks, lm_score, mix, quality, shard, suffix_dedup, url_filter
 from .common import documents
+from .oracles import OP12_SQL
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"  # the vocabulary file of op8
+# host, path and verdict of the rules of op12
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -83,6 +86,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by four rules and by what its redirects and canonical links lead to."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.filter_urls(documents(spark, sf_dir, "pages"), rules, keep=("page_id",)).select(
+        "page_id", "host", "path", "rule", "verdict", "blocked_by")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages of corpus_pipeline.py over all documents."""
     import corpus_pipeline
@@ -102,6 +112,7 @@ def queries() -> dict[str, Query]:
         "op8_lattice": op8_lattice,
         "op9_license": op9_license,
         "op10_exact_dedup": op10_exact_dedup,
+        "op12_url_filter": op12_url_filter,
         "pipeline": pipeline,
     }
 
@@ -230,4 +241,5 @@ SELECT doc_id, keep_id, size AS group_size, k = 1 AS kept, sha AS text_sha256 FR
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": OP1_SQL, "op3_jaccard": OP3_SQL, "op6_mix": OP6_SQL, "op7_line_chunks": OP7_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op3_jaccard": OP3_SQL, "op6_mix": OP6_SQL, "op7_line_chunks": OP7_SQL, "op10_exact_dedup": OP10_SQL,
+            "op12_url_filter": OP12_SQL}
