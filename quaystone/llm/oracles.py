@@ -85,3 +85,31 @@ SELECT p.page_id, p.host, p.path, r.rule, coalesce(r.verdict, CASE WHEN b.rule I
 FROM pg p LEFT JOIN ruled r ON p.host = r.host AND p.path = r.path
 LEFT JOIN blocked b ON b.x = translate(p.head, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || substr(p.bare, length(p.head) + 1)
 """
+
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+tok AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM tok GROUP BY lang),
+sizes AS (SELECT unnest([1, 2, 3, 4]) AS m),
+starts AS (SELECT lang, m, w, unnest(range(1, len(w) - m + 2)) AS i FROM tok, sizes WHERE len(w) >= m),
+f AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS a FROM starts GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (
+  SELECT lang, m, phrase, a, k, string_split(phrase, ' ') AS w FROM f, (SELECT unnest([1, 2, 3]) AS k) WHERE m > 1 AND k < m),
+marks AS (
+  SELECT c.lang, c.m, c.phrase, c.a, c.k, l.a AS l, r.a AS r,
+         (CAST(2000000 AS HUGEINT) * c.a) // (CAST(l.a AS HUGEINT) + r.a) AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(w[:k], ' ')
+              JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(w[k + 1:], ' ')),
+best AS (SELECT * FROM marks QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_of AS (
+  SELECT lang, m, a, string_split(phrase, ' ') AS w, n, unnest(range(1, m - n + 2)) AS i
+  FROM f, (SELECT unnest([2, 3]) AS n) WHERE m > 2 AND n < m),
+most AS (SELECT lang, array_to_string(w[i:i + n - 1], ' ') AS phrase, max(a) AS top FROM inner_of GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN most t ON b.lang = t.lang AND b.phrase = t.phrase
+  WHERE t.top IS NULL OR CAST(100 AS HUGEINT) * t.top < CAST(80 AS HUGEINT) * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT r.lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked r JOIN total t ON r.lang = t.lang WHERE rank <= 2000
+"""

@@ -7,9 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact, jaccard, license_scan, line_chunks, lm_score, mix, quality, shard, suffix_dedup, url_filter
+from . import (
+    collocate,
+    decontaminate,
+    exact,
+    jaccard,
+    license_scan,
+    line_chunks,
+    lm_score,
+    mix,
+    quality,
+    shard,
+    suffix_dedup,
+    url_filter,
+)
 from .common import documents
-from .oracles import OP12_SQL
+from .oracles import OP12_SQL, OP13_SQL
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"  # the vocabulary file of op8
 # host, path and verdict of the rules of op12
@@ -93,6 +106,11 @@ def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "blocked_by")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 best phrases of two to four words."""
+    return collocate.collocations(documents(spark, sf_dir)).withColumnRenamed("grp", "lang")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages of corpus_pipeline.py over all documents."""
     import corpus_pipeline
@@ -113,6 +131,7 @@ def queries() -> dict[str, Query]:
         "op9_license": op9_license,
         "op10_exact_dedup": op10_exact_dedup,
         "op12_url_filter": op12_url_filter,
+        "op13_collocations": op13_collocations,
         "pipeline": pipeline,
     }
 
@@ -242,4 +261,4 @@ SELECT doc_id, keep_id, size AS group_size, k = 1 AS kept, sha AS text_sha256 FR
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_decontaminate": OP1_SQL, "op3_jaccard": OP3_SQL, "op6_mix": OP6_SQL, "op7_line_chunks": OP7_SQL, "op10_exact_dedup": OP10_SQL,
-            "op12_url_filter": OP12_SQL}
+            "op12_url_filter": OP12_SQL, "op13_collocations": OP13_SQL}
