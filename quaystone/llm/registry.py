@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    align,
     collocate,
     decontaminate,
     exact,
@@ -24,7 +25,8 @@ from . import (
 from .common import documents
 from .oracles import OP12_SQL, OP13_SQL
 
-PIECES = "/opt/tokenizers/piece_bpe_32k.model"  # the vocabulary file of op8
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"  # the vocabulary file of op8 and op11
+BYTES = "/opt/tokenizers/byte_bpe_50k.json"  # the other of op11
 # host, path and verdict of the rules of op12
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +101,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens of two tokenizers linked where their bytes overlap."""
+    texts, _ = align.alignment(documents(spark, sf_dir), path_a=BYTES, path_b=PIECES, keep=("doc_id",))
+    return texts.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by four rules and by what its redirects and canonical links lead to."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
@@ -130,6 +138,7 @@ def queries() -> dict[str, Query]:
         "op8_lattice": op8_lattice,
         "op9_license": op9_license,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_align": op11_align,
         "op12_url_filter": op12_url_filter,
         "op13_collocations": op13_collocations,
         "pipeline": pipeline,
