@@ -27,10 +27,10 @@ COUNTERS = 1 << 20  # counters that one partition's summary aims at (16 bytes ea
 MAX_PARTITIONS = 1 << 20  # the driver holds one mass a partition
 FILTER_BITS = 1 << 29  # bits of a filter that a task holds; more survivors are counted in more rounds
 BITS_PER_KEY = 16
-HELD = 1 << 22  # n-grams that a task gathers before it sends a summary
-ROW_KEYS = 1 << 16  # keys of one row of a summary
-BLOCK_BYTES = 2 << 20  # texts are worked on in blocks of about so many bytes, longer ones cut between words
-HELD_BYTES = 8 << 20  # text that the second pass gathers before it sends counts
+HELD = 1 << 21  # n-grams that a task gathers before it sends a summary
+ROW_KEYS = 1 << 12  # keys of one row of a summary: small enough for a JVM to move without a place of its own
+BLOCK_BYTES = 1 << 20  # texts are worked on in blocks of about so many bytes, longer ones cut between words
+HELD_BYTES = 4 << 20  # text that the second pass gathers before it sends counts
 CHUNK_BITS = 1 << 19  # bits of a filter that one group builds
 
 BREAK = np.zeros(256, bool)  # ends a piece
@@ -294,19 +294,28 @@ def _phrases(chosen: list[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
     new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (again[1:] != again[:-1]))))
     counts = np.diff(np.append(new, key.size))
     pick = np.sort(order[new])  # block by block
-    by_pick = np.argsort(order[new])
-    sizes = np.cumsum([0] + [c[0].size for c in chosen])
-    texts, grp, length = [], [], []
-    for k, (_, _, first, last, clean, n, row, low) in enumerate(chosen):
-        mine = pick[(pick >= sizes[k]) & (pick < sizes[k + 1])] - sizes[k]
-        spans = [low[a:b] for a, b in zip(first[mine].tolist(), last[mine].tolist(), strict=True)]
-        texts += [s if c else b" ".join(s.split()) for s, c in zip(spans, clean[mine].tolist(), strict=True)]
-        grp.append(row[mine])
-        length.append(np.full(mine.size, n, np.int32))
-    grp = np.concatenate(grp)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(names, pa.string()).take(pa.array(grp)), pa.array(np.concatenate(length)),
-         pa.array(texts, pa.binary()), pa.array(counts[by_pick])], names=["grp", "n_words", "phrase", "c"])
+    counts = counts[np.argsort(order[new])]
+    at, done = 0, 0
+    for _, _, first, last, clean, n, row, low in chosen:
+        end = int(np.searchsorted(pick, at + first.size))
+        mine = pick[done:end] - at
+        for plain in (True, False):
+            some = mine[clean[mine] == plain]
+            if some.size:
+                texts = _spans(low, first[some], last[some]) if plain else pa.array(
+                    [b" ".join(low[a:b].tobytes().split()) for a, b in zip(first[some].tolist(), last[some].tolist(), strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names, pa.string()).take(pa.array(row[some])), pa.array(np.full(some.size, n, np.int32)), texts,
+                     pa.array(counts[done:end][clean[mine] == plain])], names=["grp", "n_words", "phrase", "c"])
+        at, done = at + first.size, end
+
+
+def _spans(buf: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.Array:
+    """The bytes of every span, without a Python object for each."""
+    offs = np.zeros(first.size + 1, np.int32)
+    np.cumsum(last - first, out=offs[1:])
+    at = np.arange(offs[-1], dtype=np.int32) + np.repeat(first - offs[:-1], last - first)
+    return pa.Array.from_buffers(pa.binary(), first.size, [None, pa.py_buffer(offs), pa.py_buffer(buf[at])])
 
 
 def counted(rows: DataFrame, max_words: int, least: int, pairs: Filter | None, kept: Filter, part: int, parts: int, *,
@@ -332,7 +341,7 @@ def counted(rows: DataFrame, max_words: int, least: int, pairs: Filter | None, k
                 if pairs is not None:
                     grams.keep_pairs(pairs)
                 joined = np.append((grams.starts[1:] - grams.ends[:-1] == 1) & (buf[grams.ends[:-1]] == 0x20), False)
-                low = LOWER[buf].tobytes()
+                low = LOWER[buf]
                 for n in range(1, max_words + 1):
                     at, keys = grams.of(n)
                     mine = kept.hits(keys)
