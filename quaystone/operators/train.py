@@ -17,13 +17,15 @@ from functools import reduce
 
 from pyspark import StorageLevel
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quaystone.operators.evaluate import METRICS, metrics, select_winner
-from quaystone.operators.features import FeatureBuilder, stratified_folds, stratified_split
+from quaystone.operators.features import FeatureBuilder
+from quaystone.operators.splits import stratified_folds, stratified_split
 from quaystone.plans.modeling import ExperimentPlan, FeaturePlan, Variant
 from quaystone.session import checkpoint_dir
 
@@ -191,54 +193,15 @@ def run_experiments(df: DataFrame, fplan: FeaturePlan, eplan: ExperimentPlan, ke
 
 
 # ---------------------------------------------------------------------------
-# persistence: fitted preprocessing + model, reloadable to the same scores
+# persistence: one PipelineModel, reloadable to the same scores
 # ---------------------------------------------------------------------------
 
-_MODEL_CLASSES = {"LogisticRegressionModel": "pyspark.ml.classification.LogisticRegressionModel",
-                  "RandomForestClassificationModel": "pyspark.ml.classification.RandomForestClassificationModel",
-                  "GBTClassificationModel": "pyspark.ml.classification.GBTClassificationModel"}
-
-
 def save_model(spark, fitted, model, path: str) -> None:
-    import json
-
-    from quaystone.sources.tables import write_text
-    plan = fitted.plan
-    doc = {
-        "plan": {"target": plan.target, "use_features": plan.use_features,
-                 "derived": [[d.name, d.numerator, d.denominator] for d in plan.derived],
-                 "transforms": plan.transforms, "encoders": plan.encoders,
-                 "advisory_overrides": plan.advisory_overrides},
-        "numeric_fill": fitted.numeric_fill, "category_fill": fitted.category_fill,
-        "scale": {k: list(v) for k, v in fitted.scale.items()}, "onehot_cols": fitted.onehot_cols,
-        "ordinal_labels": fitted.ordinal_labels, "output_cols": fitted.output_cols,
-        "model_class": type(model).__name__,
-    }
-    write_text(spark, json.dumps(doc), f"{path}/features.json")
-    if fitted.onehot_model is not None:
-        fitted.onehot_model.write().overwrite().save(f"{path}/onehot")
-    model.write().overwrite().save(f"{path}/model")
+    """The fitted features and the classifier as one saved ``PipelineModel``."""
+    PipelineModel(stages=[fitted, model]).write().overwrite().save(path)
 
 
 def load_model(spark, path: str):
-    import importlib
-    import json
-
-    from pyspark.ml import PipelineModel
-
-    from quaystone.operators.features import FittedFeatures
-    from quaystone.plans.modeling import FeaturePlan, Ratio
-    from quaystone.sources.tables import read_contract_text
-    doc = json.loads(read_contract_text(spark, f"{path}/features.json"))
-    p = doc["plan"]
-    plan = FeaturePlan(target=p["target"], use_features=p["use_features"],
-                       derived=[Ratio(*d) for d in p["derived"]], transforms=p["transforms"],
-                       encoders=p["encoders"], advisory_overrides=p["advisory_overrides"])
-    fitted = FittedFeatures(plan=plan, numeric_fill=doc["numeric_fill"], category_fill=doc["category_fill"],
-                            scale={k: tuple(v) for k, v in doc["scale"].items()}, onehot_cols=doc["onehot_cols"],
-                            ordinal_labels=doc["ordinal_labels"], output_cols=doc["output_cols"])
-    if doc["onehot_cols"]:
-        fitted.onehot_model = PipelineModel.load(f"{path}/onehot")
-    module, _, cls = _MODEL_CLASSES[doc["model_class"]].rpartition(".")
-    model = getattr(importlib.import_module(module), cls).load(f"{path}/model")
+    """(fitted features, classifier) of a saved model."""
+    fitted, model = PipelineModel.load(path).stages
     return fitted, model
