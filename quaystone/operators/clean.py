@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from quaystone.functions.columns import numeric_or_null, truthy, value_text
 from quaystone.functions.quantiles import exact_median
+from quaystone.operators.stats import EXACT_MEAN_TYPE
 from quaystone.plans.cleaning import (
     Cast,
     CleaningPlan,
@@ -56,13 +57,11 @@ def drop_duplicates(df: DataFrame, subset=None, order_by=None) -> DataFrame:
 
 
 def mode_value(df: DataFrame, column: str):
-    """Most frequent non-null value, smallest on ties (two small aggregates
-    over the value counts, no single-task map of all values)."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.agg(F.max("_n").alias("m")).collect()[0]["m"]
-    if top is None:
-        return None
-    return counts.filter(F.col("_n") == F.lit(top)).agg(F.min(column).alias("v")).collect()[0]["v"]
+    """Most frequent value that is not missing, smallest on ties (from the value counts, no single-task map of all values)."""
+    dt = df.schema[column].dataType
+    value = F.nanvl(F.col(column), F.lit(None).cast(dt)) if isinstance(dt, (T.DoubleType, T.FloatType)) else F.col(column)
+    counts = df.select(value.alias("v")).where("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.min_by("v", F.struct(-F.col("n"), "v"))).first()[0]
 
 
 def impute(df: DataFrame, column: str, strategy: str, value=None) -> DataFrame:
@@ -71,7 +70,11 @@ def impute(df: DataFrame, column: str, strategy: str, value=None) -> DataFrame:
     if strategy == "constant":
         fill = value
     elif strategy == "mean":
-        fill = df.agg(F.avg(numeric_or_null(column, dt)).alias("v")).collect()[0]["v"]
+        # in decimal, so that the sum does not depend on its order, unless a value does not fit
+        x = numeric_or_null(column, dt)
+        exact = x.try_cast(EXACT_MEAN_TYPE)
+        row = df.agg(F.avg(x).alias("v"), F.avg(exact).cast("double").alias("e"), F.count(x) == F.count(exact)).first()
+        fill = row["e"] if row[2] else row["v"]
     elif strategy == "median":
         fill = exact_median(df.select(numeric_or_null(column, dt).alias(column)), column)
     elif strategy == "mode":
@@ -86,11 +89,12 @@ def impute(df: DataFrame, column: str, strategy: str, value=None) -> DataFrame:
     if isinstance(dt, T.IntegralType) and strategy in ("mean", "median") and float(fill) != int(float(fill)):
         # a fractional fill widens an integer column, as a float column would
         return df.withColumn(column, F.coalesce(F.col(column).cast("double"), lit.cast("double")))
+    held = F.nanvl(F.col(column), F.lit(None).cast(dt)) if isinstance(dt, (T.DoubleType, T.FloatType)) else F.col(column)
     typed = lit.try_cast(dt) if not isinstance(dt, T.StringType) else lit.cast("string")
     probe = df.sparkSession.range(1).select(typed.alias("v")).collect()[0]["v"]
     if probe is None:
         raise CleaningExecutionError(f"{column!r} ({dt.simpleString()}) cannot hold the fill value {fill!r}")
-    return df.withColumn(column, F.coalesce(F.col(column), typed))
+    return df.withColumn(column, F.coalesce(held, typed))
 
 
 def cast(df: DataFrame, column: str, target_dtype: str) -> DataFrame:

@@ -3,8 +3,8 @@ plus correlations, histograms and category target-rate series.
 
 All of it is a few jobs regardless of width: the per-column scan of
 ``operators.stats``, one ``unpivot`` + ``groupBy(column, value)`` for the
-target rate of every categorical column at once, and one ``agg`` holding
-every correlation pair.
+target rate of every categorical column at once, and one accumulator of
+co-moments for all correlation pairs of a block of columns.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quaystone.functions.columns import is_numeric_type
+from quaystone.functions import comoments
+from quaystone.functions.columns import is_numeric_type, numeric_or_null
 from quaystone.functions.staging import staged
 from quaystone.operators.stats import measure, unpivot_text
 
@@ -102,33 +103,29 @@ def target_rate_series(df: DataFrame, column: str, target: str) -> DataFrame:
     return target_rates(df, [column], target).select("category", F.col("value").alias("rate")).orderBy("category")
 
 
-def correlations(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def correlations(df: DataFrame, columns: list[str] | None = None, block: int = comoments.BLOCK) -> DataFrame:
     """Pearson correlation of every numeric pair a < b (names sorted),
-    pairwise-complete; undefined pairs (a constant side) are dropped."""
+    pairwise-complete; NaN is missing, undefined pairs (a constant side, an
+    infinite value) are dropped. See ``comoments`` for how wide tables are
+    accumulated."""
     spark = df.sparkSession
     numeric = sorted(f.name for f in df.schema.fields if is_numeric_type(f.dataType))
     if columns is not None:
         numeric = [c for c in numeric if c in set(columns)]
-    pairs = [(a, b) for i, a in enumerate(numeric) for b in numeric[i + 1:]]
-    if not pairs:
-        return spark.createDataFrame([], "pair string, col_a string, col_b string, value double")
-    aggs = []
-    for k, (a, b) in enumerate(pairs):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        x = F.when(both, F.col(a).cast("double"))
-        y = F.when(both, F.col(b).cast("double"))
-        aggs.append(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias(f"r{k}"))
-    row = df.agg(*aggs).collect()[0]
-    out = [(f"{a}__vs__{b}", a, b, max(-1.0, min(1.0, float(row[f"r{k}"]))))
-           for k, (a, b) in enumerate(pairs) if row[f"r{k}"] is not None]
-    return spark.createDataFrame(out, "pair string, col_a string, col_b string, value double")
+    empty = spark.createDataFrame([], "pair string, col_a string, col_b string, value double")
+    if len(numeric) < 2:
+        return empty
+    found = comoments.pair_correlations(df, numeric, block)
+    return empty.unionByName(found.select(F.concat("col_a", F.lit("__vs__"), "col_b").alias("pair"), "col_a", "col_b", "value"))
 
 
 def histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Equal-width histogram over [min, max] (last bin closed); every bin is
-    present, empty ones with count 0. A constant column uses [v-0.5, v+0.5]."""
+    present, empty ones with count 0. A constant column uses [v-0.5, v+0.5].
+    NaN and infinite values are in no bin and set no edge."""
     spark = df.sparkSession
-    x = F.col(column).cast("double")
+    raw = numeric_or_null(column, df.schema[column].dataType)
+    x = F.when(F.abs(raw) < F.lit(float("inf")), raw)
     row = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).collect()[0]
     lo, hi = row["lo"], row["hi"]
     if lo is None:

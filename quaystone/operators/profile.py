@@ -17,6 +17,7 @@ from quaystone.functions.fingerprint import row_hash
 from quaystone.functions.staging import staged
 from quaystone.operators.measure import target_class_counts
 from quaystone.operators.stats import low_card_value_counts, measure
+from quaystone.session import checkpoint_dir
 
 # Fixed values — profile cardinality limits.
 MAX_TOP_VALUES_CARDINALITY = 50
@@ -81,8 +82,10 @@ def duplicate_row_count(df: DataFrame) -> int:
     bounded, else joined by a shuffle.
     """
     hashed = df.select(row_hash(df).alias("_qs_h"), *df.columns)
+    # kept: counted first, then joined, in a stage of its own
+    checkpoint_dir(df.sparkSession)
     repeated = (hashed.groupBy("_qs_h").agg(F.count(F.lit(1)).alias("n"))
-                .filter(F.col("n") > 1).select("_qs_h"))
+                .filter(F.col("n") > 1).select("_qs_h").checkpoint(eager=True))
     n_repeated = repeated.count()
     if n_repeated == 0:
         return 0

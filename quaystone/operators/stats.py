@@ -68,15 +68,28 @@ class TableFacts:
     extra: dict = field(default_factory=dict)
 
 
+# Fractional parts up to this long are recognised by arithmetic, longer ones in the value's text.
+PLACES_BY_ARITHMETIC = 8
+
+
 def _decimal_places_expr(col: str, dt: T.DataType):
     """Longest fractional part actually present (fixed-notation values only,
-    trailing zeros stripped)."""
+    trailing zeros stripped).
+
+    A double has at most p places when it is the double nearest to some whole
+    number over 10**p, which one correctly rounded division tells exactly while
+    the whole number is below 2**53. Only values beyond that are written out.
+    """
     c = F.col(col)
     if isinstance(dt, (T.DoubleType, T.FloatType, T.DecimalType)):
         d = F.nanvl(c.cast("double"), F.lit(None).cast("double"))
-        fixed = (d == F.lit(0.0)) | ((F.abs(d) >= F.lit(1e-4)) & (F.abs(d) < F.lit(1e16)))
+        size = F.abs(d)
+        fixed = (d == F.lit(0.0)) | ((size >= F.lit(1e-4)) & (size < F.lit(1e16)))
         frac = F.regexp_extract(value_text(d, T.DoubleType()), r"\.(\d+)$", 1)
         places = F.length(F.regexp_replace(frac, "0+$", ""))
+        for p in range(PLACES_BY_ARITHMETIC, -1, -1):
+            ten = F.lit(float(10 ** p))
+            places = F.when((size < F.lit(2.0 ** 52 / 10 ** p)) & (F.rint(d * ten) / ten == d), F.lit(p)).otherwise(places)
         return F.max(F.when(fixed, places))
     if isinstance(dt, T.IntegralType):
         return F.max(F.when(c.isNotNull(), F.lit(0)))
@@ -211,41 +224,39 @@ def unpivot_text(df: DataFrame, columns: list[str], keep: list[str] | None = Non
             .filter(F.col("value").isNotNull()))
 
 
-def distinct_counts(df: DataFrame, columns: list[str], listed: set[str] | None = None) -> DataFrame:
-    """(column, u, vals) exact non-null distinct counts in one job: one
-    unpivot per type family (integers as bigint, other numbers as double,
-    everything else as text), ``groupBy(column, value)`` each, then a count
-    per column. Numbers are never turned into text just to be counted.
-    For the text columns in ``listed`` (known to be low-cardinality),
-    ``vals`` also holds every (value, count) pair; it is empty otherwise."""
+def typed_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(place, l, d, t): every non-null value of every column, in one unpivot over one scan.
+
+    ``place`` is the column's number in ``columns`` as text; integers are in l,
+    other numbers in d (NaN is missing), everything else is text in t. Numbers
+    are never turned into text just to be counted.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
-    listed = set(listed or ())
-    integral = [c for c in columns if isinstance(types[c], T.IntegralType)]
-    fractional = [c for c in columns if is_numeric_type(types[c]) and c not in integral]
-    other = [c for c in columns if c not in integral and c not in fractional]
-    none_text, none_count = F.lit(None).cast("string"), F.lit(None).cast("bigint")
-    parts = []
-    for group, cast in ((integral, "bigint"), (fractional, "double")):
-        if group:
-            entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast(cast).alias("value")) for c in group]
-            long = (df.select(F.explode(F.array(*entries)).alias("_e"))
-                    .select("_e.column", "_e.value").filter(F.col("value").isNotNull()))
-            if cast == "double":
-                long = long.withColumn("value", F.nanvl("value", F.lit(None).cast("double"))).filter(
-                    F.col("value").isNotNull())
-            parts.append(long.groupBy("column", "value").agg(F.lit(1).alias("_one"))
-                         .select("column", none_text.alias("value"), none_count.alias("count")))
-    if other:
-        vc = value_count_table(df, other)
-        keep = F.col("column").isin(sorted(listed)) if listed else F.lit(False)
-        parts.append(vc.select("column", F.when(keep, F.col("value")).alias("value"),
-                               F.when(keep, F.col("count")).alias("count")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    none = {k: F.lit(None).cast(k) for k in ("bigint", "double", "string")}
+    cells = []
+    for i, c in enumerate(columns):
+        whole = isinstance(types[c], T.IntegralType)
+        number = is_numeric_type(types[c]) and not whole
+        cells += [F.lit(str(i)), F.col(c).cast("bigint") if whole else none["bigint"],
+                  F.nanvl(F.col(c).cast("double"), none["double"]) if number else none["double"],
+                  none["string"] if whole or number else value_text(c, types[c])]
+    return (df.select(F.stack(F.lit(len(columns)), *cells).alias("place", "l", "d", "t"))
+            .where("l is not null or d is not null or t is not null"))
+
+
+def distinct_counts(df: DataFrame, columns: list[str], listed: set[str] | None = None) -> DataFrame:
+    """(column, u, vals) exact non-null distinct counts: one scan, one grouping
+    by (column, typed value), then a count per column. For the text columns in
+    ``listed`` (known to be low-cardinality), ``vals`` also holds every
+    (value, count) pair; it is empty otherwise."""
+    places = [str(columns.index(c)) for c in sorted(listed or ())]
+    counts = typed_values(df, columns).groupBy("place", "l", "d", "t").agg(F.count(F.lit(1)).alias("count"))
     # collect_list skips NULLs: only listed columns (bounded) contribute
-    pair = F.when(F.col("value").isNotNull(), F.struct("value", "count"))
-    return out.groupBy("column").agg(F.count(F.lit(1)).alias("u"), F.collect_list(pair).alias("vals"))
+    keep = F.col("place").isin(places) if places else F.lit(False)
+    pair = F.when(keep, F.struct(F.col("t").alias("value"), "count"))
+    out = counts.groupBy("place").agg(F.count(F.lit(1)).alias("u"), F.collect_list(pair).alias("vals"))
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("place").cast("int") + 1)
+    return out.select(name.alias("column"), "u", "vals")
 
 
 def value_count_table(df: DataFrame, columns: list[str]) -> DataFrame:
