@@ -9,14 +9,17 @@ either way, with the reason when downstream work did not start.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quaystone.operators.gate import GateReport
+from quaystone.operators.gate import FINDINGS_SCHEMA, REPORT_SCHEMA, GateReport
+from quaystone.plans.store import PLANS_SCHEMA, StoredPlanError, plans_table, stored_plans
 from quaystone.session import checkpoint_dir
 
 RUNS_SCHEMA = ("run_id string, status string, failure_category string, rows long, columns int, gate_passed boolean, "
@@ -85,8 +88,19 @@ def run_record(spark: SparkSession, *, run_id: str, report: GateReport | None, r
     return spark.createDataFrame([row], RUNS_SCHEMA)
 
 
+def write_keyed(df: DataFrame, path: str) -> None:
+    """Write rows keyed by run_id: a run that is written again replaces its own rows and no others."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+
+
 def append_run(record: DataFrame, runs_path: str) -> None:
-    record.write.mode("append").parquet(runs_path)
+    """Add a run's record; written twice, it is there once."""
+    write_keyed(record, runs_path)
+
+
+def read_runs(spark: SparkSession, runs_path: str) -> DataFrame:
+    """All run records; run ids stay text."""
+    return spark.read.schema(RUNS_SCHEMA).parquet(runs_path).select(*T.StructType.fromDDL(RUNS_SCHEMA).names)
 
 
 def run_status(runs: DataFrame) -> DataFrame:
@@ -129,10 +143,48 @@ def required_outputs_present(spark: SparkSession, paths: list[str]) -> DataFrame
     return spark.createDataFrame(rows, "path string, present boolean, non_empty boolean")
 
 
+UNEXPECTED_SCHEMA = "run_id string, column string, value string, count long"
+
+
 def write_findings(spark: SparkSession, report: GateReport, root: str) -> None:
-    """Findings (parquet, appended, keyed by run id) and the report row."""
-    report.findings_df(spark).write.mode("append").partitionBy("run_id").parquet(f"{root}/findings")
-    report.report_df(spark).write.mode("append").parquet(f"{root}/reports")
+    """Findings, every undeclared value with its count, and last the report row, below ``root``.
+
+    All are keyed by run id and carry the attempt that wrote them. The report row
+    commits: readers take the rows of its attempt only, so a run that is written
+    again, or whose writing broke off, never shows rows of another attempt. The
+    undeclared values are written from the executors, however many there are.
+    """
+    attempt = F.lit(uuid.uuid4().hex).alias("attempt")
+    write_keyed(report.findings_df(spark).select("*", attempt), f"{root}/findings")
+    if report.unexpected is not None:
+        values = report.unexpected.select(F.lit(report.run_id).alias("run_id"), "column", "value", "count", attempt)
+        write_keyed(values, f"{root}/unexpected")
+    write_keyed(report.report_df(spark).select("*", attempt), f"{root}/reports")
+
+
+def read_reports(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(f"{REPORT_SCHEMA}, attempt string").parquet(f"{root}/reports")
+
+
+def _committed(spark: SparkSession, root: str, table: str, schema: str) -> DataFrame:
+    names = T.StructType.fromDDL(schema).names
+    try:
+        rows = spark.read.schema(f"{schema}, attempt string").parquet(f"{root}/{table}")
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    return rows.join(read_reports(spark, root).select("run_id", "attempt"), ["run_id", "attempt"], "left_semi").select(*names)
+
+
+def read_findings(spark: SparkSession, root: str) -> DataFrame:
+    """The findings of every run, as ``GateReport.findings_df`` has them."""
+    return _committed(spark, root, "findings", FINDINGS_SCHEMA)
+
+
+def read_unexpected(spark: SparkSession, root: str) -> DataFrame:
+    """(run_id, column, value, count): all undeclared values of every run."""
+    return _committed(spark, root, "unexpected", UNEXPECTED_SCHEMA)
 
 
 def write_contract(spark: SparkSession, contract, root: str) -> str:
@@ -173,3 +225,23 @@ def replay(raw: DataFrame, cleaning_plan, draft, feature_plan=None, experiment_p
         cv = sorted((r["variant"], r["metric"], r["split"], r["value"]) for r in res.experiments.collect())
     return ReplayResult(contract.integrity.fingerprint,
                         sorted((f.check_id, f.severity, f.column) for f in report.findings), winner, cv)
+
+
+def write_plans(spark: SparkSession, run_id: str, plans: list, path: str) -> None:
+    """Store the plans of a run (cleaning, contract draft, feature, experiment); written again, they are replaced."""
+    write_keyed(plans_table(spark, run_id, plans), path)
+
+
+def replay_stored(raw: DataFrame, plans_path: str, plans_run: str, *, key: str, order_by=None, run_id: str = "replay",
+                  fault=None) -> ReplayResult:
+    """``replay`` from the plan table: the plans are read, checked against their fingerprints and parsed.
+
+    A run without a cleaning plan or contract draft can't be replayed; without a
+    feature or an experiment plan the replay ends at the gate.
+    """
+    plans = stored_plans(raw.sparkSession.read.schema(PLANS_SCHEMA).parquet(plans_path), plans_run)
+    lacking = sorted({"cleaning", "contract"} - set(plans))
+    if lacking:
+        raise StoredPlanError(f"run {plans_run!r} has no stored plan for: {lacking}")
+    return replay(raw, plans["cleaning"], plans["contract"], plans.get("feature"), plans.get("experiment"), key=key,
+                  order_by=order_by, run_id=run_id, fault=fault)

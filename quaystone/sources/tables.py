@@ -8,8 +8,11 @@ column by trying long → double → boolean → string over the whole column
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,29 +44,100 @@ def read_parquet(spark: SparkSession, path: str, balanced: bool = True) -> DataF
     return balance(df) if balanced else df
 
 
-def read_table(spark: SparkSession, path: str, fmt: str | None = None,
-               schema=None, na_tokens: list[str] | None = None) -> DataFrame:
-    """Read a table; ``fmt`` defaults from the path suffix (csv or parquet)."""
-    fmt = fmt or ("csv" if path.lower().endswith(".csv") else "parquet")
-    if fmt == "parquet":
-        return read_parquet(spark, path)
-    if fmt != "csv":
-        return nan_to_null(spark.read.format(fmt).load(path))
-    # quoted fields may hold line breaks, and "" inside quotes is one quote
-    raw = (spark.read.option("header", True).option("mode", "FAILFAST").option("multiLine", True)
-           .option("quote", '"').option("escape", '"').option("nullValue", "\u0000__never__").option("emptyValue", "")
-           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
-    text = na_tokens_to_null(raw, NA_TOKENS if na_tokens is None else na_tokens)
+CORRUPT = "_corrupt_record"
+
+
+def _csv_reader(spark: SparkSession, multi_line: bool, mode: str):
+    # "" inside quotes is one quote
+    return (spark.read.option("header", True).option("mode", mode).option("multiLine", multi_line)
+            .option("quote", '"').option("escape", '"').option("nullValue", "\u0000__never__").option("emptyValue", "")
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+
+
+def csv_files(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """(files to be split by lines, files to be read whole) below ``path``.
+
+    A quoted field that goes on over a line break leaves the number of quotes of
+    its first line odd. One pass over the lines (split like any text) finds the
+    files with such a line, and those with a line of white space alone, which the
+    line reader would drop. Stray quotes only send a file to the slower reader.
+    Files without lines are in neither list. One row a file reaches the driver.
+    """
+    line = F.col("value")
+    odd = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+    blank = (line != "") & (F.regexp_replace(line, r"[\x00-\x20]", "") == "")
+    found = (spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("f"))
+             .agg(F.max(odd | blank).alias("whole")).orderBy("f").collect())
+    return [unquote(r["f"]) for r in found if not r["whole"]], [unquote(r["f"]) for r in found if r["whole"]]
+
+
+def _read_csv_text(spark: SparkSession, path: str, mode: str) -> DataFrame:
+    """All columns as text. Files without open lines are split into tasks; only the others are read whole, one task each.
+
+    In PERMISSIVE mode the column ``CORRUPT`` has the text of every record with
+    too few or too many fields.
+    """
+    split, whole = csv_files(spark, path)
+    parts = [(path, False)]
+    if whole:
+        # a folder with partition columns keeps them by being read as one
+        mixed = split and spark.read.text(path).columns == ["value"]
+        parts = [(split, False), (whole, True)] if mixed else [(path, True)]
+    tables = []
+    for paths, multi_line in parts:
+        reader = _csv_reader(spark, multi_line, mode)
+        table = reader.csv(paths)
+        if mode == "PERMISSIVE":
+            fields = [T.StructField(c, T.StringType()) for c in table.columns]
+            table = (reader.schema(T.StructType([*fields, T.StructField(CORRUPT, T.StringType())]))
+                     .option("columnNameOfCorruptRecord", CORRUPT)
+                     .option("columnPruning", False)  # a record is judged by all its fields, whichever are asked for
+                     .csv(paths))
+        tables.append(table)
+    if len({tuple(t.columns) for t in tables}) > 1:
+        raise ValueError(f"the files of {path} differ in their headers")
+    return reduce(DataFrame.union, tables)
+
+
+def _typed(text: DataFrame, schema, na_tokens: list[str] | None) -> DataFrame:
+    text = na_tokens_to_null(text, NA_TOKENS if na_tokens is None else na_tokens)
     if schema is None:
         return infer_types(text)
     # a value that does not fit the schema is an error, never a silent NULL
-    wanted = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if [f.name for f in wanted.fields] != text.columns:
         raise ValueError(f"the schema names {[f.name for f in wanted.fields]}, the header {text.columns}")
     return nan_to_null(text.select(*[
         (F.col(f.name) if f.dataType == T.StringType() else F.trim(f.name).cast(f.dataType)).alias(f.name) for f in wanted.fields]))
 
 
+def is_csv(path: str, fmt: str | None = None) -> bool:
+    return (fmt or ("csv" if path.lower().endswith(".csv") else "parquet")) == "csv"
+
+
+def read_table(spark: SparkSession, path: str, fmt: str | None = None,
+               schema=None, na_tokens: list[str] | None = None) -> DataFrame:
+    """Read a table; ``fmt`` defaults from the path suffix (csv or parquet). A malformed CSV record is an error."""
+    if is_csv(path, fmt):
+        return _typed(_read_csv_text(spark, path, "FAILFAST"), schema, na_tokens)
+    if fmt in (None, "parquet"):
+        return read_parquet(spark, path)
+    return nan_to_null(spark.read.format(fmt).load(path))
+
+
+def read_counted(spark: SparkSession, path: str, schema=None, na_tokens: list[str] | None = None) -> tuple[DataFrame, Observation]:
+    """A CSV table's well-formed records, and what the first full scan observes: ``records`` and ``malformed``.
+
+    Malformed records (too few or too many fields) are in the counts only.
+    """
+    seen = Observation()
+    raw = _read_csv_text(spark, path, "PERMISSIVE")
+    # the last count keeps a field in the scan: a query on CORRUPT alone is refused
+    raw = raw.observe(seen, F.count(F.lit(1)).alias("records"), F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed"),
+                      F.count(raw[raw.columns[0]]).alias("first_fields"))
+    return _typed(raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT), schema, na_tokens), seen
+
+
 def infer_types(df: DataFrame) -> DataFrame:
     """Give all-text columns their narrowest type that loses no value: long, double, boolean, else text.
 
