@@ -14,9 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quaystone import catalog_edge
 from quaystone.functions.fingerprint import md5_buckets
 from quaystone.operators import calibrate, clean, eda, evaluate, faults, gate, measure, profile
-from quaystone.operators.features import stratified_folds, stratified_split
+from quaystone.operators.splits import stratified_folds, stratified_split
 from quaystone.plans.cleaning import Cast, CleaningPlan, Clip, DropColumn, Impute, Rename, StandardizeCategory
 from quaystone.plans.examples import churn_like, churn_like_draft, lineitem_draft, orders_draft
 from quaystone.session import checkpoint_dir
@@ -252,12 +253,6 @@ def q_cln_drop_duplicates_documents(spark, sf):
 # calibration
 # ---------------------------------------------------------------------------
 
-def q_cal_orders_totalprice(spark, sf):
-    o = _t(spark, sf, "orders")
-    return _rounded(calibrate.calibrate(o, "o_totalprice", "o_orderkey",
-                                        rate_expr=(F.col("o_orderstatus") == "F").cast("int")))
-
-
 def q_cal_incident_orders(spark, sf):
     return _rounded(calibrate.incident_deviations(_t(spark, sf, "orders"), "o_totalprice").select(
         F.col("factor").cast("bigint"), "median_dev_pct"))
@@ -430,8 +425,7 @@ def q_run_status_orders_faults(spark, sf):
     path = f"{_scratch(spark)}/runs"
     for record in records:
         runs.append_run(record, path)
-    table = spark.read.parquet(path)
-    return runs.run_status(table).select(
+    return runs.run_status(runs.read_runs(spark, path)).select(
         "run_id", "status", "failure_category", "rows", F.col("columns").cast("bigint").alias("columns"),
         "gate_passed", "gate_errors", "gate_warnings", "fault_injection", "modeling_started",
         "not_started_reason", "is_pass", "is_fail", "is_demo", "is_degraded", "headline")
@@ -467,9 +461,9 @@ def q_gate_churn_faulty_runs(spark, sf):
     root = _scratch(spark)
     for run_id, candidate in candidates.items():
         runs.write_findings(spark, gate.run_gate(candidate, c, run_id=run_id), root)
-    found = spark.read.parquet(f"{root}/findings")
+    found = runs.read_findings(spark, root)
     return _rounded(found.where("check_id not in ('INTEGRITY_SHA256_MATCH', 'SCHEMA_COLUMN_ORDER')").select(
-        F.col("run_id").cast("string").alias("run_id"), "check_id", "check_family", "severity", "column", "observed_value", "hint"))
+        "run_id", "check_id", "check_family", "severity", "column", "observed_value", "hint"))
 
 
 def q_cln_impute_and_cast_orders(spark, sf):
@@ -511,7 +505,8 @@ def q_spl_null_labels_documents(spark, sf):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k[2:]: v for k, v in globals().items() if k.startswith("q_") and callable(v)}
+    own = {k[2:]: v for k, v in globals().items() if k.startswith("q_") and callable(v)}
+    return own | catalog_edge.queries()
 
 
 # ---------------------------------------------------------------------------
@@ -973,4 +968,4 @@ r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY md5('42|' || doc_i
 SELECT doc_id, lang, CASE WHEN k < floor(n * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS split FROM r"""
     sql["evl_metrics_scores"] = _metrics_sql(None)
     sql["evl_metrics_by_lang"] = _metrics_sql("lang")
-    return sql
+    return sql | catalog_edge.oracle_sql()

@@ -6,8 +6,8 @@ from the population value is recorded; the p50/p95/p99/max of the deviations
 per batch size is the sampling-noise floor a tolerance must clear.
 
 Draws are generated, not scanned: Spark spreads the (size, iteration) pairs
-over tasks, a seeded NumPy generator per pair draws the row positions inside
-the task (``mapInPandas``), and the positions are equi-joined to the
+over tasks, a keyed permutation per pair (plain integer arithmetic in column
+expressions) gives the row positions, and the positions are equi-joined to the
 population's row index — work grows with iterations × batch size plus one
 pass over the population, never with iterations × population. Batches
 smaller than the population are drawn without replacement, others with
@@ -17,7 +17,7 @@ count, so exact per-group medians and percentiles are safe.
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,41 +39,64 @@ INCIDENT_FACTORS = (2, 3, 10, 100)
 BROADCAST_POPULATION_ROWS = 2_000_000
 
 
-def _batch_positions(n: int, seed: int):
-    """mapInPandas body: one seeded NumPy generator per (size, iteration),
-    so the draws do not depend on how Spark splits the iterations."""
-    import numpy as np
-    import pandas as pd
-
-    def run(batches):
-        for pdf in batches:
-            out_size, out_iter, out_pos, rows = [], [], [], 0
-            for size, it in zip(pdf["size"].to_numpy(), pdf["iter"].to_numpy()):
-                rng = np.random.default_rng([seed, int(size), int(it)])
-                pos = rng.choice(n, size=int(size), replace=bool(size >= n))
-                out_size.append(np.full(len(pos), size, dtype=np.int32))
-                out_iter.append(np.full(len(pos), it, dtype=np.int32))
-                out_pos.append(pos.astype(np.int64))
-                rows += len(pos)
-                if rows >= 500_000:
-                    yield pd.DataFrame({"size": np.concatenate(out_size), "iter": np.concatenate(out_iter),
-                                        "pos": np.concatenate(out_pos)})
-                    out_size, out_iter, out_pos, rows = [], [], [], 0
-            if rows:
-                yield pd.DataFrame({"size": np.concatenate(out_size), "iter": np.concatenate(out_iter),
-                                    "pos": np.concatenate(out_pos)})
-    return run
+# Fixed values of the draws: 32-bit multipliers and steps of the mixing, and how often positions are swapped.
+ROUNDS = 20
+WORD = 1 << 32
+STEP_KEY, STEP_BIT = 2654435, 40503
+
+
+def mixed(x: F.Column) -> F.Column:
+    """A 32-bit number spread over 32 bits; all products stay below 2**63, so any SQL engine can repeat it."""
+    a = (x * F.lit(1103515245) + F.lit(12345)) % F.lit(WORD)
+    b = (a.bitwiseXOR(F.shiftright(a, 15)) * F.lit(1664525) + F.lit(1013904223)) % F.lit(WORD)
+    return b.bitwiseXOR(F.shiftright(b, 13))
+
+
+def _below(x: F.Column, n: int) -> F.Column:
+    """A number below ``n`` made from a 32-bit number."""
+    if n <= 1 << 31:
+        return mixed(x) % F.lit(n)
+    return (mixed(x) * F.lit(1 << 30) + mixed((x + F.lit(1)) % F.lit(WORD)) % F.lit(1 << 30)) % F.lit(n)
+
+
+def permuted(rows: DataFrame, n: int, rounds: int = ROUNDS) -> DataFrame:
+    """``rows`` (with x in [0, n) and a key s below 2**32) with x moved by the permutation of [0, n) that s stands for.
+
+    Every round pairs each position with its mirror image around a key and swaps
+    the pair or not, by a bit that both have in common. Each round is a
+    permutation of exactly the n positions, whatever n, so all draws of one key
+    are distinct and nothing is looked up or drawn again. Keep the result
+    (``checkpoint``) before a join.
+    """
+    others = [c for c in rows.columns if c != "x"]
+    for r in range(rounds):
+        key = _below((F.col("s") + F.lit(r * STEP_KEY)) % F.lit(WORD), n)
+        mirror = key - F.col("x")
+        rows = rows.select(*others, "x", F.when(mirror >= 0, mirror).otherwise(mirror + F.lit(n)).alias("_y"))
+        bit = mixed((F.greatest("x", "_y") + F.col("s") + F.lit(r * STEP_BIT)) % F.lit(WORD)) >= F.lit(WORD // 2)
+        rows = rows.select(*others, F.when(bit, F.col("_y")).otherwise(F.col("x")).alias("x"))
+    return rows
 
 
 def draw_positions(spark, n: int, sizes=BATCH_SIZES, n_iter: int = N_ITER, seed: int = SEED,
                    partitions: int | None = None) -> DataFrame:
     """(size, iter, pos): the row positions of every batch — without
-    replacement when the batch is smaller than the population."""
+    replacement (the first ``size`` positions of a keyed permutation) when the
+    batch is smaller than the population, else by plain mixing."""
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = spark.createDataFrame([(int(s),) for s in sizes], "size int")
-    iters = (base.select("size", F.explode(F.sequence(F.lit(0), F.lit(n_iter - 1))).alias("iter"))
-             .repartition(parts, "size", "iter"))
-    return iters.mapInPandas(_batch_positions(n, seed), "size int, iter int, pos long")
+    key = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), "size", "iter")), 1, 8), 16, 10).cast("long")
+    rows = (base.select("size", F.explode(F.sequence(F.lit(0), F.lit(n_iter - 1))).alias("iter"))
+            .repartition(parts, "size", "iter").withColumn("s", key)
+            .select("size", "iter", "s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size").cast("long") - 1)).alias("x")))
+    few, many = [s for s in sizes if s < n], [s for s in sizes if s >= n]
+    out = []
+    if few:
+        out.append(permuted(rows.where(F.col("size").isin(few)), n).select("size", "iter", F.col("x").alias("pos")))
+    if many:
+        out.append(rows.where(F.col("size").isin(many)).select(
+            "size", "iter", _below((F.col("s") + F.col("x") * F.lit(2)) % F.lit(WORD), n).alias("pos")))
+    return reduce(DataFrame.unionByName, out)
 
 
 def md5_positions(spark, n: int, sizes, n_iter: int, seed: int = SEED) -> DataFrame:
@@ -108,7 +131,8 @@ def calibrate(df: DataFrame, value_col: str, order_by, *, rate_expr: F.Column |
     pop_median = exact_median(pop, "v")
 
     checkpoint_dir(spark)
-    positions = draws(spark, n, sizes, n_iter, seed)
+    # kept before the join: a join derives constraints from the draws' rounds, whose number doubles with each
+    positions = draws(spark, n, sizes, n_iter, seed).checkpoint(eager=True)
     side = F.broadcast(pop) if n <= BROADCAST_POPULATION_ROWS else pop
     # one row per (size, iteration) — checkpointed to the shared folder, so
     # the draw + join work runs once and the lineage is cut. Each group holds
