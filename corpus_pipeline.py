@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quaystone.llm import decontaminate, jaccard, mix, quality, shard
 from quaystone.llm.common import documents, quoted, stage
+from quaystone.session import apply_conf
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,13 +41,21 @@ def shard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return shard.shard_rows(docs, 24)
 
 
-STAGES = [
+def _configured(stage_fn):
+    """The stage under the session settings that the operators rely on."""
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        apply_conf(spark)
+        return stage_fn(spark, docs, sf_dir)
+    return run_stage
+
+
+STAGES = [(name, _configured(fn)) for name, fn in [
     ("quality classifier", quality_stage),
     ("n-gram Jaccard join", near_copies_stage),
     ("benchmark decontamination", benchmark_stage),
     ("mixing sources to target weights", mix_stage),
     ("sharding", shard_stage),
-]
+]]
 
 # The classifier and the shuffle can't be written in SQL; tests compare each stage with a plain version.
 ORACLE_SQL = None

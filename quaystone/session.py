@@ -16,6 +16,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # what a task and its Python worker hold at a time goes by bytes, not by rows of any length
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
