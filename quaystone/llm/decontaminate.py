@@ -11,6 +11,7 @@ verified: shares of the shingles of their question and of their answer in the pa
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -222,16 +223,21 @@ def contaminations(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
 
 def decontaminate(docs: DataFrame, items: DataFrame, *, text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the rows that hold an item; no row is shuffled, all columns stay as they are."""
-    out = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"), F.col(quoted(text_col)).alias("body"))
+    out = docs
     for index in build_indexes(items, **options):
         held = docs.sparkSession.sparkContext.broadcast(index)
-
-        def run(batches, held=held):
-            for batch in batches:
-                clean = np.ones(batch.num_rows, bool)
-                for i, _, buf, offs in pieces(batch.column(1)):
-                    for hit in _hits(held.value, buf, offs):
-                        clean[i + hit[0]] = False
-                yield batch.filter(pa.array(clean))
-        out = out.mapInArrow(run, out.schema)
-    return out.select(*[F.col(f"row.{quoted(c)}").alias(c) for c in docs.columns])
+        out = out.where(~_holds_item(held)(F.coalesce(F.col(quoted(text_col)), F.lit(""))))
+    return out
+
+
+def _holds_item(held):
+    """Whether a text holds an item of the index; only texts go to Python, the other columns wait in the JVM."""
+    @F.arrow_udf("boolean")
+    def holds_item(bodies: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for body in bodies:
+            dirty = np.zeros(len(body), bool)
+            for i, _, buf, offs in pieces(body):
+                for hit in _hits(held.value, buf, offs):
+                    dirty[i + hit[0]] = True
+            yield pa.array(dirty)
+    return holds_item

@@ -7,6 +7,7 @@ in NumPy. As the layer is linear, scoring needs one number a hash only.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +26,7 @@ TRAIN_BYTES = 256 << 20  # and so many bytes of their features
 EPOCHS = 6
 RATE = 8.0
 SEED = 5
+SCORE_PLACES = 9  # scores are rounded to so many decimal places
 
 
 @dataclass
@@ -155,13 +157,14 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", names: tuple
     named like the two new ones get the suffix ``_src``.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS numbers
-    own = docs.select(F.struct(*payload(docs, docs.columns, names)).alias("row"), F.col(quoted(text_col)).alias("body"))
 
-    def run(batches):
+    # only texts go to Python and only numbers come back; the other columns wait in the JVM
+    @F.arrow_udf("double")
+    def probability(bodies: Iterator[pa.Array]) -> Iterator[pa.Array]:
         weight, bias = held.value.weight, held.value.bias
-        for batch in batches:
-            out = np.zeros(batch.num_rows)
-            for i, end, buf, offs in pieces(batch.column(1)):
+        for body in bodies:
+            out = np.zeros(len(body))
+            for i, end, buf, offs in pieces(body):
                 kinds, at = features(buf, offs)
                 total, n = np.zeros(end - i), np.zeros(end - i)
                 for k, a in zip(kinds, at, strict=True):
@@ -169,6 +172,9 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", names: tuple
                     total += running[a[1:]] - running[a[:-1]]
                     n += np.diff(a)
                 out[i:end] = total / np.maximum(n, 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-(out + bias))))], names=["row", "p"])
-    scored = own.mapInArrow(run, f"row {own.schema['row'].dataType.simpleString()}, p double")
-    return scored.select("row.*", F.col("p").alias(names[0]), (F.col("p") >= threshold).cast("int").alias(names[1]))
+            yield pa.array(1 / (1 + np.exp(-(out + bias))))
+    body = F.coalesce(F.col(quoted(text_col)), F.lit(""))
+    scored = docs.select(*payload(docs, docs.columns, (*names, "_quality_p")), probability(body).alias("_quality_p"))
+    # rounded before it is judged, so that the score shown and the judgement agree
+    scored = scored.withColumn("_quality_p", F.round("_quality_p", SCORE_PLACES))
+    return scored.withColumn(names[0], F.col("_quality_p")).withColumn(names[1], (F.col("_quality_p") >= threshold).cast("int")).drop("_quality_p")

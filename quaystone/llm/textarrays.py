@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 2 << 20  # texts are worked on in pieces of about so many bytes (a longer text is a piece of its own)
+PIECE_BYTES = 1 << 20  # texts are worked on in pieces of about so many bytes (a longer text is a piece of its own)
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _SPACE = np.zeros(256, bool)
