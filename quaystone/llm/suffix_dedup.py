@@ -18,13 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import quoted, stage
-from .induced import suffix_array
+from .induced import sorted_blocks
 from .textarrays import U64, mix64, pieces, powers
 
 LENGTH = 200
 GRAM = 64
 SHARD_BYTES = 6 << 20
-QUEUE_BYTES = 64 << 20   # queue tuples that a task holds; beyond, they go to disk
+QUEUE_BYTES = 24 << 20   # queue and output tuples that a task holds; beyond, they go to disk
 HOT_STRANDS = 1024       # minimizers with more distinct strands are split into chunks of about so many
 BROADCAST_KEYS = 2_000_000
 
@@ -76,15 +76,17 @@ def strands(buf: np.ndarray, offs: np.ndarray, length: int, gram: int):
 
 def _repeats(blocks: list[bytes], length: int, memory: int) -> list[tuple[list[int], list[int]]]:
     """For every strand the runs (begin, end) of window starts whose window occurs in another place of the shard."""
-    text = np.frombuffer(b"\0".join(blocks), np.uint8).astype(np.int64) + 2
+    text = np.frombuffer(b"\0".join(blocks), np.uint8).astype(np.uint16) + np.uint16(2)
     size = np.array([len(b) for b in blocks])
     begin = np.cumsum(size + 1) - size - 1
     text[begin[1:] - 1] = 1  # between strands: less than any byte
-    order, common, _ = suffix_array(text, length, memory)
-    again = common >= length
     hit = np.zeros(text.size + 1, bool)
-    hit[order[again]] = True
-    hit[order[np.flatnonzero(again) - 1]] = True
+    last = 0
+    for places, common in sorted_blocks(text, length, memory):
+        again = common >= length
+        hit[places[again]] = True
+        hit[np.concatenate(([last], places[:-1]))[again]] = True
+        last = int(places[-1])
     room = np.zeros(text.size + 1, bool)  # a separator may lie within the bytes in common of two places
     for b, n in zip(begin.tolist(), size.tolist(), strict=True):
         room[b:b + max(0, n - length + 1)] = True
