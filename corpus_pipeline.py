@@ -57,7 +57,7 @@ STAGES = [(name, _configured(fn)) for name, fn in [
     ("sharding", shard_stage),
 ]]
 
-# The classifier and the shuffle can't be written in SQL; tests compare each stage with a plain version.
+# The classifier and the shuffle can't be written in SQL; tests/llm/test_pipeline_plain.py has a plain version of each stage.
 ORACLE_SQL = None
 
 

@@ -354,9 +354,8 @@ def q_gate_ranked_orders_rename(spark, sf):
     c = _contract(orders_draft(), o, "orders")
     rep = gate.run_gate(faults.rename_column(o, "o_totalprice", "o_total_price"), c, run_id="rename")
     ranked = gate.rank_findings(rep.findings_df(spark))
-    from pyspark.sql import Window
-    return ranked.select("check_id", "severity", F.row_number().over(
-        Window.orderBy(F.when(F.col("severity") == "ERROR", 0).otherwise(1), "seq")).cast("bigint").alias("position"))
+    # a row a finding: numbered as they come out of the ranking
+    return ranked.coalesce(1).select("check_id", "severity", (F.monotonically_increasing_id() + 1).alias("position"))
 
 
 def q_gate_orders_drop_required(spark, sf):
@@ -462,7 +461,7 @@ def q_gate_churn_faulty_runs(spark, sf):
     for run_id, candidate in candidates.items():
         runs.write_findings(spark, gate.run_gate(candidate, c, run_id=run_id), root)
     found = runs.read_findings(spark, root)
-    return _rounded(found.where("check_id not in ('INTEGRITY_SHA256_MATCH', 'SCHEMA_COLUMN_ORDER')").select(
+    return _rounded(found.select(
         "run_id", "check_id", "check_family", "severity", "column", "observed_value", "hint"))
 
 
@@ -944,7 +943,10 @@ found AS (
   WHERE abs(f.rate - was.rate) > 0.05 AND run_id <> 'no_target'
   UNION ALL SELECT run_id, 'CONSTRAINTS_BUSINESS_RANGE', 'constraints', 'ERROR', 'n_chars', below FROM facts WHERE below > 0
   UNION ALL SELECT run_id, 'SCALE_DRIFT_MEDIAN', 'scale_drift', 'ERROR', 'n_chars', f.med FROM facts f, was WHERE abs(f.med / was.med - 1) > 0.25
-  UNION ALL SELECT run_id, 'MODELING_CONSTANT_REQUIRED_FEATURE', 'modeling', 'WARN', 'lang', langs FROM facts WHERE langs <= 1)
+  UNION ALL SELECT run_id, 'MODELING_CONSTANT_REQUIRED_FEATURE', 'modeling', 'WARN', 'lang', langs FROM facts WHERE langs <= 1
+  -- no candidate is the contracted table, and without the target the columns are others
+  UNION ALL SELECT run_id, 'INTEGRITY_SHA256_MATCH', 'integrity', 'ERROR', NULL, NULL FROM facts
+  UNION ALL SELECT run_id, 'SCHEMA_COLUMN_ORDER', 'schema', 'WARN', NULL, NULL FROM facts WHERE run_id = 'no_target')
 SELECT run_id, check_id, check_family, severity, "column", round(v, 6) AS observed_value,
        CASE WHEN check_id = 'SCALE_DRIFT_MEDIAN' THEN (SELECT min(h) FROM unnest([0.001, 0.01, 0.1, 10.0, 100.0, 1000.0]) AS t(h), was
          WHERE abs(v / was.med / h - 1) < 0.05)::double END AS hint

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaystone.functions import sketches
-from quaystone.operators import calibrate, clean, eda, gate, measure, runs
-from quaystone.operators.features import FeatureBuilder, feature_table
+from quaystone.functions.columns import numeric_or_null
+from quaystone.operators import calibrate, clean, eda, evaluate, gate, logs, measure, profile, runs
+from quaystone.operators.features import FeatureBuilder, write_feature_table
 from quaystone.operators.splits import stratified_split
 from quaystone.plans.cleaning import Cast, CleaningPlan, Impute
 from quaystone.plans.examples import churn_like, orders_draft
@@ -102,7 +103,8 @@ def q_fea_table_churn(spark, sf):
     labels = read_parquet(spark, f"{sf}/labels.parquet")
     t = churn_like(_documents(spark, sf), labels)
     plan = FeaturePlan(target="toxic", use_features=["lang", "n_chars"], derived=[Ratio("chars_by_quality", "n_chars", "quality")])
-    return _rounded(feature_table(t, plan).select("*", F.lit("lang,n_chars,chars_by_quality,toxic").alias("order")))
+    table = write_feature_table(t, plan, f"{_scratch(spark)}/features")
+    return _rounded(table.select("*", F.lit(",".join(table.columns)).alias("order")))
 
 
 def q_spl_many_classes_orders(spark, sf):
@@ -111,6 +113,36 @@ def q_spl_many_classes_orders(spark, sf):
     return stratified_split(o, "o_custkey", "o_orderkey")
 
 
+def q_fea_impute_median_orders(spark, sf):
+    """Numbers filled with the training side's median, then scaled with its mean and population spread."""
+    k = F.col("o_orderkey")
+    t = _orders(spark, sf).select(k, F.col("o_orderstatus"), _nan_where(k % 5 == 0, "o_totalprice"), F.lit(0).alias("y"))
+    fitted = FeatureBuilder(FeaturePlan(target="y", use_features=["o_totalprice"])).fit(t.where("o_orderstatus <> 'P'"))
+    out = fitted.transform_columns(t)
+    return _rounded(out.select("o_orderkey", F.col("o_totalprice").alias("filled"), F.col("_f_o_totalprice").alias("scaled")))
+
+
+def q_flt_numeric_text_orders(spark, sf):
+    """Text that is a number, in any of the forms that count as one, as a number; other text dropped."""
+    k = F.col("o_orderkey")
+    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    text = (F.when(k % 6 == 0, F.concat(F.lit(" "), price, F.lit(" "))).when(k % 6 == 1, F.concat(price, F.lit("e1")))
+            .when(k % 6 == 2, F.concat(price, F.lit("d"))).when(k % 6 == 3, F.lit("NaN")).when(k % 6 == 4, F.concat(F.lit("+"), price)))
+    t = _orders(spark, sf).select("o_orderkey", text.alias("price"))
+    number = numeric_or_null("price", t.schema["price"].dataType)
+    return _rounded(t.select("o_orderkey", number.alias("price")).where("price is not null"))
+
+
+def q_flt_log_levels_orders(spark, sf):
+    """A log of all orders, written as text, its lines classified and counted by level."""
+    level = F.element_at(F.create_map(*[F.lit(x) for x in ("F", "INFO", "O", "WARN", "P", "ERROR")]), F.col("o_orderstatus"))
+    line = F.concat(F.lit("2026-01-01 "), level, F.lit(" order "), F.col("o_orderkey").cast("string"),
+                    F.when(F.col("o_orderkey") % 10 == 0, F.lit(" saw DEBUG ")).otherwise(F.lit("")))
+    path = f"{_scratch(spark)}/log"
+    _orders(spark, sf).select(line.alias("value")).write.text(path)
+    return logs.level_counts(logs.read_log(spark, path))
+
+
 # ---------------------------------------------------------------------------
 # sketches
 # ---------------------------------------------------------------------------
@@ -188,6 +220,42 @@ def q_snk_runs_written_twice_orders(spark, sf):
             .select("run_id", "status", "rows", F.coalesce("drifts", F.lit(0)).cast("bigint").alias("drifts")))
 
 
+def q_gate_publish_orders(spark, sf):
+    """A clean and a corrupted candidate behind the gate: where their rows went and why."""
+    o = _orders(spark, sf)
+    contract = _contract(o)
+    root = _scratch(spark)
+    out = []
+    for run_id, factor in (("clean", 1.0), ("x100", 100.0)):
+        snap = runs.snapshot(o.withColumn("o_totalprice", F.col("o_totalprice") * F.lit(factor)), root, run_id)
+        done = runs.gated_publish(snap, gate.run_gate(snap, contract, run_id=run_id), f"{root}/published/{run_id}", f"{root}/held/{run_id}")
+        out.append(spark.read.parquet(done.path).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(run_id).alias("run_id"), F.lit(done.published).alias("published"), "rows",
+            F.lit("SCALE_DRIFT_MEDIAN" in (done.reason or "")).alias("drift_named")))
+    return out[0].unionByName(out[1])
+
+
+def q_con_integrity_orders(spark, sf):
+    facts = _contract(_orders(spark, sf)).integrity
+    return spark.createDataFrame([(facts.row_count, facts.column_count, ",".join(facts.column_order))],
+                                 "row_count long, column_count long, column_order string")
+
+
+def q_pro_dtypes_lineitem(spark, sf):
+    cols, _ = profile.profile_columns(read_parquet(spark, f"{sf}/lineitem.parquet"))
+    return cols.select("column", "dtype", "is_numeric")
+
+
+def q_evl_lookup_by_lang(spark, sf):
+    """Single numbers of the long metrics table, looked up one by one."""
+    t = churn_like(_documents(spark, sf), read_parquet(spark, f"{sf}/labels.parquet"))
+    scored = t.select(F.col("lang").alias("variant"), F.col("toxic").alias("label"), ((F.col("n_chars") % 997) / F.lit(997.0)).alias("score"))
+    table = evaluate.metrics(scored, group_by="variant")
+    long = evaluate.metrics_long(table, ["variant"]).withColumn("split", F.lit("cv"))
+    rows = [(lang, evaluate.lookup_metric(long, lang, "cv", "accuracy")) for lang in ("de", "en", "es", "fr")]
+    return _rounded(spark.createDataFrame(rows, "variant string, accuracy double"))
+
+
 # ---------------------------------------------------------------------------
 # calibration
 # ---------------------------------------------------------------------------
@@ -261,6 +329,30 @@ FROM t, fill LEFT JOIN seen ON seen.kind = coalesce(t.kind, f)""",
         "fea_table_churn": """
 SELECT d.lang, d.n_chars, round(d.n_chars / CASE WHEN l.quality = 0 THEN 1 ELSE l.quality END, 6)::double AS chars_by_quality,
        l.toxic::bigint AS toxic, 'lang,n_chars,chars_by_quality,toxic' AS "order" FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
+        "fea_impute_median_orders": """
+WITH t AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS p FROM orders),
+m AS (SELECT quantile_cont(p, 0.5) AS med FROM t WHERE o_orderstatus <> 'P'),
+s AS (SELECT avg(coalesce(p, med)) AS mean, stddev_pop(coalesce(p, med)) AS sd FROM t, m WHERE o_orderstatus <> 'P')
+SELECT o_orderkey, round(coalesce(p, med), 6) AS filled, round((coalesce(p, med) - mean) / sd, 6) AS scaled FROM t, m, s""",
+        "flt_numeric_text_orders": """
+SELECT o_orderkey, round((o_totalprice::decimal(18,2))::double * CASE WHEN o_orderkey % 6 = 1 THEN 10 ELSE 1 END, 6) AS price
+FROM orders WHERE o_orderkey % 6 IN (0, 1, 4)""",
+        "flt_log_levels_orders": """
+SELECT CASE o_orderstatus WHEN 'F' THEN 'INFO' WHEN 'O' THEN 'WARNING' WHEN 'P' THEN 'ERROR' END AS level, count(*) AS lines
+FROM orders GROUP BY o_orderstatus""",
+        "gate_publish_orders": """
+SELECT r AS run_id, p AS published, (SELECT count(*) FROM orders) AS rows, NOT p AS drift_named
+FROM (VALUES ('clean', true), ('x100', false)) AS t(r, p)""",
+        "con_integrity_orders": """
+SELECT (SELECT count(*) FROM orders) AS row_count, count(*) AS column_count, string_agg(column_name, ',' ORDER BY column_index) AS column_order
+FROM duckdb_columns() WHERE table_name = 'orders'""",
+        "pro_dtypes_lineitem": """
+SELECT column_name AS "column", CASE data_type WHEN 'BIGINT' THEN 'int64' WHEN 'INTEGER' THEN 'int32' WHEN 'DOUBLE' THEN 'float64'
+         WHEN 'VARCHAR' THEN 'str' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date' ELSE data_type END AS dtype,
+       data_type IN ('BIGINT', 'INTEGER', 'DOUBLE') AS is_numeric FROM duckdb_columns() WHERE table_name = 'lineitem'""",
+        "evl_lookup_by_lang": """
+SELECT d.lang AS variant, round(avg(((d.n_chars % 997) / 997.0 >= 0.5)::int = l.toxic)::double, 6) AS accuracy
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY d.lang""",
         "spl_many_classes_orders": """
 WITH o AS (SELECT o_orderkey, CASE WHEN o_custkey % 11 <> 0 THEN o_custkey END AS o_custkey FROM orders),
 r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY md5('42|' || o_orderkey), o_orderkey) AS k,

@@ -20,10 +20,8 @@ SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the optimized plan (None if unavailable)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 — no estimate: treat as large
-        return None
+    plan = getattr(df, "_jdf", None)  # a remote session has no plan to ask: treated as large
+    return None if plan is None else int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 @contextmanager

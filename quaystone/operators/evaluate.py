@@ -59,7 +59,8 @@ def ranking_metrics(pred: DataFrame, label: str = "label", score: str = "score",
         F.count_if(y == 1).cast("double").alias("pos"), F.count_if(y == 0).cast("double").alias("neg"))
     cum = prefix_sums(by_score.withColumn("n", F.col("pos") + F.col("neg")), "_s", ["pos", "neg", "n"],
                       descending=True, partition_by=g)
-    totals = by_score.groupBy(*g).agg(F.sum("pos").alias("_qs_P"), F.sum("neg").alias("_qs_N"))
+    # the last running sums are the totals: nothing is grouped again
+    totals = cum.groupBy(*g).agg(F.max("cum_pos").alias("_qs_P"), F.max("cum_neg").alias("_qs_N"))
     j = null_safe_join(cum, totals, g)
     # negatives scored strictly below s = N - (negatives scored >= s)
     roc_term = F.col("pos") * (F.col("_qs_N") - F.col("cum_neg") + 0.5 * F.col("neg"))

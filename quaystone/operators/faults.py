@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quaystone.functions.ordering import first_rows, order_key, row_at
 
@@ -108,4 +107,4 @@ def apply_fault(df: DataFrame, name: str, **kw) -> DataFrame:
 
 __all__ = ["FaultInjectionError", "apply_fault", "change_dtype", "drop_column", "drop_required_column",
            "flip_target_encoding", "inject_nulls", "rename_column", "scale_change", "truncate_dataset",
-           "unknown_category", "T"]
+           "unknown_category"]

@@ -19,7 +19,7 @@ from dataclasses import asdict
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,6 +59,13 @@ def feature_table(df: DataFrame, plan: FeaturePlan, contract=None) -> DataFrame:
     return with_d.select(*plan.feature_names(), plan.target)
 
 
+def write_feature_table(df: DataFrame, plan: FeaturePlan, path: str, contract=None) -> DataFrame:
+    """Write the feature table (columns in plan order, target last) and return the copy read back in that order."""
+    table = feature_table(df, plan, contract)
+    table.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def feature_groups(plan: FeaturePlan, schema: T.StructType) -> dict[str, str]:
     """What happens to each feature: its encoder or transform, for other numbers the default scaling."""
     types = {f.name: f.dataType for f in schema.fields}
@@ -99,8 +106,12 @@ def category_dictionary(data: DataFrame, columns: list[str]) -> tuple[DataFrame,
                                          F.min_by("value", F.struct(-F.col("n"), place)).alias("fill")).collect()
     fills = {c: "" for c in columns} | {r["column"]: r["fill"] for r in found}
     sizes = {c: 1 for c in columns} | {r["column"]: int(r["size"]) for r in found}
-    ranked = with_row_index(counts.select("column", "value", "number", F.encode("value", "UTF-16BE").alias("text")),
-                            ["number", "text"], "code", partition_by="column", group_count=len(columns))
+    placed = counts.select("column", "value", "number", F.encode("value", "UTF-16BE").alias("text"))
+    if sum(sizes.values()) <= BROADCAST_CATEGORIES:  # counted: few enough for a task a column
+        code = F.row_number().over(Window.partitionBy("column").orderBy("number", "text")) - 1
+        ranked = placed.withColumn("code", code)
+    else:
+        ranked = with_row_index(placed, ["number", "text"], "code", partition_by="column", group_count=len(columns))
     empty = [(c, "", 0) for c in columns if c not in {r["column"] for r in found}]
     out = ranked.select("column", "value", F.col("code").cast("long").alias("code"))
     return out.unionByName(data.sparkSession.createDataFrame(empty, CATEGORIES_SCHEMA)), fills, sizes
@@ -281,4 +292,4 @@ class FeatureBuilder(Estimator):
 
 
 __all__ = ["FeatureBuildError", "FeatureBuilder", "FittedFeatures", "add_derived", "category_dictionary", "encode_column",
-           "feature_groups", "feature_table", "stratified_folds", "stratified_split"]
+           "feature_groups", "feature_table", "stratified_folds", "stratified_split", "write_feature_table"]

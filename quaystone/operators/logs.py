@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values — recognised level words, most severe first.
@@ -31,4 +31,4 @@ def tail(log: DataFrame, n: int) -> DataFrame:
     return log.orderBy(F.desc("line_no")).limit(n).orderBy("line_no")
 
 
-__all__ = ["LEVELS", "Window", "filter_levels", "level_counts", "read_log", "tail"]
+__all__ = ["LEVELS", "filter_levels", "level_counts", "read_log", "tail"]

@@ -121,12 +121,12 @@ def _profile(spark: SparkSession, df: DataFrame, target: str | None, exact_disti
                 counts["null"] = counts.get("null", 0) + tf.null_count
             target_df = spark.createDataFrame(sorted(counts.items()), "value string, count bigint")
         else:
-            target_df = target_class_counts(df, target)
+            # a row a value, however many: kept on the executors
+            checkpoint_dir(spark)
+            target_df = target_class_counts(df, target).checkpoint(eager=True)
     top = top_values(df, facts)
     # materialise the small results before the input is released
     top = spark.createDataFrame(top.collect(), top.schema) if top is not None else None
-    if target_df is not None:
-        target_df = spark.createDataFrame(target_df.collect(), target_df.schema)
     return Profile(columns=columns_df, top_values=top, summary=summary, target_distribution=target_df)
 
 

@@ -52,10 +52,8 @@ def get_spark(master: str | None = None, app_name: str = "quaystone",
 def apply_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable required settings to an existing session."""
     for key, value in REQUIRED_CONF.items():
-        try:
+        if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-        except Exception:  # static conf on some deployments; keep going
-            pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -12,7 +12,7 @@ from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,15 +100,31 @@ def _read_csv_text(spark: SparkSession, path: str, mode: str) -> DataFrame:
 
 
 def _typed(text: DataFrame, schema, na_tokens: list[str] | None) -> DataFrame:
-    text = na_tokens_to_null(text, NA_TOKENS if na_tokens is None else na_tokens)
+    return _counted_typed(text.withColumn(CORRUPT, F.lit(None).cast("string")), schema, na_tokens)[0]
+
+
+def _counted_typed(raw: DataFrame, schema, na_tokens: list[str] | None) -> tuple[DataFrame, dict[str, int]]:
+    """The well-formed records with their types, and how many records there are and are malformed, from the inference's scan."""
+    names = [c for c in raw.columns if c != CORRUPT]
+    flagged = raw.withColumn(CORRUPT, F.col(CORRUPT).isNotNull())  # a flag: a record that is an NA token stays malformed
+    text = na_tokens_to_null(flagged, NA_TOKENS if na_tokens is None else na_tokens)
+    # always true, and keeps a field in every scan: Spark refuses queries on the corrupt records alone
+    asked = F.coalesce(F.length(text[names[0]]), F.lit(0)) >= 0 if names else F.lit(True)
+    good = text.where(~F.col(CORRUPT) & asked).drop(CORRUPT)
+    counts = [F.count(F.lit(1)).alias("records"), F.count_if(CORRUPT).alias("malformed")]
     if schema is None:
-        return infer_types(text)
+        whole = ~F.col(CORRUPT)
+        row = text.agg(*counts, *_type_aggs({c: F.when(whole, F.col(c)) for c in names})).first() if names else None
+        typed = good.select(*_narrowed(names, row)) if names else good
+        return typed, {"records": row["records"], "malformed": row["malformed"]} if names else {"records": 0, "malformed": 0}
     # a value that does not fit the schema is an error, never a silent NULL
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    if [f.name for f in wanted.fields] != text.columns:
-        raise ValueError(f"the schema names {[f.name for f in wanted.fields]}, the header {text.columns}")
-    return nan_to_null(text.select(*[
-        (F.col(f.name) if f.dataType == T.StringType() else F.trim(f.name).cast(f.dataType)).alias(f.name) for f in wanted.fields]))
+    if [f.name for f in wanted.fields] != names:
+        raise ValueError(f"the schema names {[f.name for f in wanted.fields]}, the header {names}")
+    row = text.agg(*counts, F.count(text[names[0]])).first()  # with a field: a query on CORRUPT alone is refused
+    return nan_to_null(good.select(*[
+        (F.col(f.name) if f.dataType == T.StringType() else F.trim(f.name).cast(f.dataType)).alias(f.name)
+        for f in wanted.fields])), {"records": row["records"], "malformed": row["malformed"]}
 
 
 def is_csv(path: str, fmt: str | None = None) -> bool:
@@ -125,55 +141,57 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None,
     return nan_to_null(spark.read.format(fmt).load(path))
 
 
-def read_counted(spark: SparkSession, path: str, schema=None, na_tokens: list[str] | None = None) -> tuple[DataFrame, Observation]:
-    """A CSV table's well-formed records, and what the first full scan observes: ``records`` and ``malformed``.
+def read_counted(spark: SparkSession, path: str, schema=None, na_tokens: list[str] | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """A CSV table's well-formed records, and the numbers of all ``records`` and of ``malformed`` ones.
 
-    Malformed records (too few or too many fields) are in the counts only.
+    Malformed records (too few or too many fields) are in the counts only, which
+    the scan that infers the types makes.
     """
-    seen = Observation()
-    raw = _read_csv_text(spark, path, "PERMISSIVE")
-    # the last count keeps a field in the scan: a query on CORRUPT alone is refused
-    raw = raw.observe(seen, F.count(F.lit(1)).alias("records"), F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed"),
-                      F.count(raw[raw.columns[0]]).alias("first_fields"))
-    return _typed(raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT), schema, na_tokens), seen
+    return _counted_typed(_read_csv_text(spark, path, "PERMISSIVE"), schema, na_tokens)
 
 
-def infer_types(df: DataFrame) -> DataFrame:
-    """Give all-text columns their narrowest type that loses no value: long, double, boolean, else text.
-
-    A column of whole numbers of which one is too long for a long stays text,
-    as a double would change its digits.
-    """
-    text_cols = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    if not text_cols:
-        return df
+def _type_aggs(columns: dict[str, Column]) -> list[Column]:
+    """Per column how many values are no whole number, no long, no number, no boolean, and how many there are."""
     aggs = []
-    for i, c in enumerate(text_cols):
-        x = F.col(c)
+    for i, x in enumerate(columns.values()):
         aggs += [F.count_if(x.isNotNull() & ~x.rlike(_INT_TEXT)).alias(f"ni{i}"),
                  F.count_if(x.isNotNull() & F.trim(x).try_cast("bigint").isNull()).alias(f"lost{i}"),
                  F.count_if(x.isNotNull() & ~x.rlike(NUMERIC_TEXT)).alias(f"nd{i}"),
                  F.count_if(x.isNotNull() & ~x.rlike(_BOOL_TEXT)).alias(f"nb{i}"),
                  F.count(x).alias(f"nn{i}")]
-    row = df.agg(*aggs).collect()[0]
+    return aggs
+
+
+def _narrowed(columns: list[str], row) -> list[Column]:
+    """Each column in its narrowest type, by the counts of ``_type_aggs``."""
     exprs = []
-    for f in df.schema.fields:
-        if f.name not in text_cols:
-            exprs.append(F.col(f.name))
-            continue
-        i = text_cols.index(f.name)
-        x = F.col(f.name)
+    for i, c in enumerate(columns):
+        x = F.col(c)
         if row[f"nn{i}"] == 0:
             exprs.append(x)
         elif row[f"ni{i}"] == 0:
-            exprs.append(F.trim(x).try_cast("bigint").alias(f.name) if row[f"lost{i}"] == 0 else x)
+            exprs.append(F.trim(x).try_cast("bigint").alias(c) if row[f"lost{i}"] == 0 else x)
         elif row[f"nd{i}"] == 0:
-            exprs.append(F.trim(x).try_cast("double").alias(f.name))
+            exprs.append(F.trim(x).try_cast("double").alias(c))
         elif row[f"nb{i}"] == 0:
-            exprs.append((F.lower(x) == F.lit("true")).alias(f.name))
+            exprs.append((F.lower(x) == F.lit("true")).alias(c))
         else:
             exprs.append(x)
-    return df.select(*exprs)
+    return exprs
+
+
+def infer_types(df: DataFrame) -> DataFrame:
+    """Give all-text columns their narrowest type that loses no value: long, double, boolean, else text.
+
+    A column of whole numbers of which one is too long for a long stays text,
+    as a double would change its digits.
+    """
+    text_cols = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    if not text_cols:
+        return df
+    row = df.agg(*_type_aggs({c: F.col(c) for c in text_cols})).first()
+    typed = dict(zip(text_cols, _narrowed(text_cols, row), strict=True))
+    return df.select(*[typed.get(f.name, F.col(f.name)) for f in df.schema.fields])
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:

@@ -173,7 +173,7 @@ def test_malformed_records_are_counted(spark):
     assert "INTEGRITY_SHA256_MATCH" in found and found["SCALE_DRIFT_ROW_COUNT"].observed_value == orders.count() - 2
     assert bad.checks_run == report.checks_run and not bad.passed
     df, seen = read_counted(spark, f"{root}/bad.csv")
-    assert df.count() == orders.count() - 2 and seen.get["records"] == orders.count() + 1 and seen.get["malformed"] == 3
+    assert df.count() == orders.count() - 2 and seen == {"records": orders.count() + 1, "malformed": 3}
 
 
 def test_sinks_are_written_twice(spark):
@@ -211,3 +211,18 @@ def test_draws_are_a_permutation(spark, n):
         # every position is drawn about as often, and no two batches are alike
         hits = pos[pos["size"] == 6]["pos"].value_counts()
         assert hits.max() <= 6 and pos[pos["size"] == 999].groupby("iter")["pos"].apply(tuple).nunique() == 30
+
+
+def test_large_sides_give_the_same(spark, monkeypatch):
+    """Beyond their counted bounds, joins shuffle: the results stay."""
+    from quaystone.functions import ordering
+    from quaystone.operators import profile
+    df = spark.range(3_000).select((F.col("id") % 700).alias("a"), (F.col("id") % 3).alias("g"), F.col("id").alias("k"))
+    small = [profile.duplicate_row_count(df.select("a", "g")), ordering.with_row_index(df, ["k"], "i", partition_by="g").orderBy("k").collect(),
+             sorted(calibrate.calibrate(df, "a", "k", sizes=(20, 5_000), n_iter=10).collect())]
+    monkeypatch.setattr(profile, "BROADCAST_REPEATED_HASHES", 0)
+    monkeypatch.setattr(ordering, "OFFSETS_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(calibrate, "BROADCAST_POPULATION_ROWS", 0)
+    assert profile.duplicate_row_count(df.select("a", "g")) == small[0] == 3_000 - 2_100
+    assert ordering.with_row_index(df, ["k"], "i", partition_by="g", group_count=3).orderBy("k").collect() == small[1]
+    assert sorted(calibrate.calibrate(df, "a", "k", sizes=(20, 5_000), n_iter=10).collect()) == small[2]
