@@ -351,7 +351,7 @@ SELECT column_name AS "column", CASE data_type WHEN 'BIGINT' THEN 'int64' WHEN '
          WHEN 'VARCHAR' THEN 'str' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date' ELSE data_type END AS dtype,
        data_type IN ('BIGINT', 'INTEGER', 'DOUBLE') AS is_numeric FROM duckdb_columns() WHERE table_name = 'lineitem'""",
         "evl_lookup_by_lang": """
-SELECT d.lang AS variant, round(avg(((d.n_chars % 997) / 997.0 >= 0.5)::int = l.toxic)::double, 6) AS accuracy
+SELECT d.lang AS variant, round(avg((((d.n_chars % 997) / 997.0 >= 0.5)::int = l.toxic)::int), 6) AS accuracy
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY d.lang""",
         "spl_many_classes_orders": """
 WITH o AS (SELECT o_orderkey, CASE WHEN o_custkey % 11 <> 0 THEN o_custkey END AS o_custkey FROM orders),
