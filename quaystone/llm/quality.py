@@ -7,6 +7,7 @@ in NumPy. As the layer is linear, scoring needs one number a hash only.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -99,6 +100,17 @@ def train(bags: list[tuple[np.ndarray, np.ndarray, int]], *, dim: int = DIM, epo
     return Model((vectors @ (layer[1] - layer[0])).astype(np.float64), float(bias[1] - bias[0]))
 
 
+def packed(ids: np.ndarray, n: np.ndarray) -> bytes:
+    """Rising hashes and how often each occurs, in about a quarter of 8 bytes each."""
+    return zlib.compress(np.concatenate((np.diff(ids, prepend=0), n)).astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpacked(bag: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes, and their shares of all features of the text."""
+    steps, n = np.frombuffer(zlib.decompress(bag), np.uint8).reshape(4, -1).T.copy().view("<i4").reshape(2, -1)
+    return np.cumsum(steps, dtype=np.int32), (n / max(1, n.sum(dtype=np.int64))).astype(np.float32)
+
+
 def held_out(id_col, folds: int = 5):
     return F.pmod(F.crc32(F.encode(F.coalesce(id_col.cast("string"), F.lit("")), "UTF-8")), F.lit(folds)) == 0
 
@@ -108,8 +120,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     """Learns from at most ``max_rows`` labelled documents that are not held out.
 
     Of rows with the same id the one with the least text hash counts. The driver
-    gets 8 bytes for every distinct feature of a text, ``max_bytes`` in all: ids are
+    holds 8 bytes for every distinct feature of a text, ``max_bytes`` in all: ids are
     taken in the order of their MD5, those that no longer fit are passed over.
+    They come packed, one partition at a time.
     Rows without a label or id are left out. Without a row, or with one label
     only, the model gives that label's share to every text.
     """
@@ -128,21 +141,22 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
                 kinds, at = features(buf, offs)
                 for j in range(offs.size - 1):
                     ids, n = np.unique(np.concatenate([k[a[j]:a[j + 1]] for k, a in zip(kinds, at, strict=True)]), return_counts=True)
-                    bags.append((ids.astype(np.int32).tobytes(), (n / max(1, n.sum())).astype(np.float32).tobytes()))
+                    bags.append((8 * ids.size, packed(ids, n)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.string()), batch.column(1),
-                 pa.array([b[0] for b in bags], pa.binary()), pa.array([b[1] for b in bags], pa.binary())],
-                names=["key", "label", "ids", "shares"])
-    found = stage(chosen.select("key", "label", "body").mapInArrow(run, "key string, label int, ids binary, shares binary"))
-    sizes = found.select("key", (F.octet_length("ids") + F.octet_length("shares")).alias("n")).orderBy(F.md5("key"), "key").collect()
+                 pa.array([b[0] for b in bags], pa.int64()), pa.array([b[1] for b in bags], pa.binary())],
+                names=["key", "label", "n", "bag"])
+    found = stage(chosen.select("key", "label", "body").mapInArrow(run, "key string, label int, n long, bag binary"))
+    sizes = found.select("key", "n").orderBy(F.md5("key"), "key").collect()
     fit_in, total = [], 0
     for key, n in sizes:
         if total + n <= max_bytes:
             total += n
             fit_in.append(key)
-    bags = (found if len(fit_in) == len(sizes) else found.where(F.col("key").isin(fit_in))).collect()
-    bags.sort(key=lambda r: (len(r["key"]), r["key"], bytes(r["ids"])))
-    ready = [(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["shares"], np.float32), r["label"]) for r in bags]
+    # collect() would hold all of them several times over in the driver's JVM
+    bags = (found if len(fit_in) == len(sizes) else found.where(F.col("key").isin(fit_in))).toLocalIterator()
+    named = sorted(((r["key"], *unpacked(r["bag"]), r["label"]) for r in bags), key=lambda r: (len(r[0]), r[0]))  # a row a key
+    ready = [r[1:] for r in named]
     if len({r[2] for r in ready}) < 2:
         share = min(max(np.mean([r[2] for r in ready]) if ready else 0.5, 1e-3), 1 - 1e-3)
         return Model(np.zeros(1 << BITS), float(np.log(share / (1 - share))))

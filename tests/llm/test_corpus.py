@@ -363,3 +363,28 @@ def test_shards_spread_rows_alike(spark):
     finally:
         shard.communication_matrix = real
     assert seen[0] <= 300
+
+
+def test_fit_brings_packed_features_by_partition(spark, monkeypatch):
+    rows = [(i, prose(3_000, i)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    bags, brought = [], []
+    monkeypatch.setattr(quality, "train", lambda ready, **_: bags.extend(ready))
+    at_once, by_part = type(docs).collect, type(docs).toLocalIterator
+
+    def watched(rows, whole):
+        for r in rows:
+            data = [x for x in r if isinstance(x, bytes | bytearray)]
+            assert not (whole and data)  # texts' features never come in one collect()
+            brought.extend(map(len, data))
+            yield r
+    monkeypatch.setattr(type(docs), "collect", lambda self: list(watched(at_once(self), True)))
+    monkeypatch.setattr(type(docs), "toLocalIterator", lambda self: watched(by_part(self), False))
+    quality.fit(docs, labels)
+    kept = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    assert len(bags) == len(kept) == len(brought) and 3 * sum(brought) < sum(a.nbytes + b.nbytes for a, b, _ in bags)
+    for i, (ids, share, label) in zip(kept, bags, strict=True):
+        buf = np.frombuffer(rows[i][1].encode(), np.uint8)
+        want, n = np.unique(np.concatenate(quality.features(buf, np.array([0, buf.size]))[0]), return_counts=True)
+        assert (ids == want).all() and share.tobytes() == (n / n.sum()).astype(np.float32).tobytes() and label == i % 2
