@@ -1,9 +1,10 @@
 """License scans by conditional compression.
 
-Bounded, overlapping windows of words around cue words are compared with license
-templates: a template is confirmed by the words that differ. Windows without a
-confirmed notice are compressed with Zstandard twice: alone, and with a template
-as raw dictionary. The template that spares most bytes explains them best.
+Bounded, overlapping windows of words around cue words are compressed with
+Zstandard twice: alone, and with a license template as raw dictionary. Templates
+are ranked by the bytes that they spare, and those that spare some are confirmed
+by the words that differ. Windows without a confirmed notice are given by the
+template that explains them best.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ GAP = 2          # candidate lines so near to each other are one block
 FAR = 4096       # cues of a long line with so many bytes between them are in two blocks
 GROUP = 2048     # cues within so many bytes are judged in one window
 KEEP_SHARE = 0.5  # unconfirmed blocks: templates that spare at least so much of what the best one spares are compared
+SPARED = 1       # templates that spare so many bytes of a tile are compared with its words
+TILES = (16, 64)  # words that a notice has at most, by which tiles of twice so many are cut for the ranking
 MISSING = 0.1    # share of a template's words that may be missing or changed
 WORD_BYTES = 48  # a window of n words has n times so many bytes at most
 EXTRA = 8        # a quarter of the template's words, and so many or another quarter, may be added inside a notice
@@ -115,12 +118,15 @@ class Scanner:
 
     def __init__(self, templates: Mapping[str, tuple[str, ...]]):
         self.plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
-        self.known, self.vocabulary = [], {}
+        self.known, self.vocabulary, self.bare = [], {}, []
         for name, texts in templates.items():
             for text in texts:
                 raw = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 raw.precompute_compress(level=LEVEL)
                 words = _words(text)
+                raw_words = zstandard.ZstdCompressionDict((" ".join(words) or " ").encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                raw_words.precompute_compress(level=LEVEL)
+                self.bare.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=raw_words, write_content_size=False))
                 ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words], np.int64)
                 # a version or a qualifier may not be missing
                 cost = np.array([NEVER if w in QUALIFIERS or VERSION.match(w) else WORD_COST for w in words], np.int64)
@@ -138,6 +144,10 @@ class Scanner:
                 self.tags.setdefault(name.lower() + end, tag)
         most = int(self.sizes.max(initial=0))
         self.reach = most + most // 4 + EXTRA  # words that a notice has at most on either side of a cue
+        # words from the first to the last of a notice, and the tiles that one lies in whole
+        spread = self.sizes + self.sizes // 4 + np.minimum(EXTRA, self.sizes // 4)
+        steps = np.array(sorted({*TILES, int(spread.max(initial=1))}), np.int64)
+        self.step = steps[np.searchsorted(steps, spread)]
         self.seen: dict[bytes, list] = {}
         self.gains: dict[tuple[bytes, int], list[int]] = {}
 
@@ -145,6 +155,32 @@ class Scanner:
         alone = len(self.plain.compress(text))
         return [alone - len(self.known[k][3].compress(text)) for k in ks]
 
+    def ranked(self, words: list[str], own: np.ndarray) -> list[int]:
+        """The templates that spare bytes of the window's words, the one that spares most first.
+
+        Words are compressed bare, in tiles of twice the words that a notice may
+        have, half of them in the next tile too, so that every notice lies whole
+        in a tile and is no small part of it. No template can be confirmed in a
+        tile that lacks more than MISSING of its words, so none is compressed there.
+        """
+        gains: dict[int, int] = {}
+        ks = self.able(own, np.flatnonzero(self.sizes))
+        for step in np.unique(self.step[ks]).tolist():
+            own_step = ks[self.step[ks] == step]
+            for at in range(0, max(1, own.size - step), step):
+                able = self.able(own[at:at + 2 * step], own_step).tolist()
+                if able:
+                    tile = " ".join(words[at:at + 2 * step]).encode("utf-8", "surrogateescape")
+                    alone = len(self.plain.compress(tile))
+                    for k in able:
+                        gains[k] = max(gains.get(k, 0), alone - len(self.bare[k].compress(tile)))
+        return sorted((k for k, gain in gains.items() if gain >= SPARED), key=lambda k: (-gains[k], k))
+
+    def able(self, own: np.ndarray, ks: np.ndarray) -> np.ndarray:
+        """Those of the templates with at most MISSING of their words not among ``own``."""
+        bag = np.bincount(own[own >= 0], minlength=len(self.vocabulary))
+        return ks[self.sizes[ks] - np.minimum(self.bags[ks], bag).sum(axis=1) <= MISSING * self.sizes[ks]]
+
     def place(self, k: int, own: np.ndarray, added_cost: np.ndarray) -> tuple[int, list[int]] | None:
         """(words added, places of the words found) where the template fits best, if it is confirmed there."""
         _, ids, miss, _ = self.known[k]
@@ -197,14 +233,20 @@ class Scanner:
         own = np.array([self.vocabulary.get(w, -1) for w in words], np.int64)
         added_cost = np.array([NEVER if w in QUALIFIERS else 1 for w in words], np.int64)
         out = self.tagged(text, spans, words, own)
+        ranking = self.ranked(words, own)
         while True:  # what a notice took is not judged again, the words left over are
-            bag = np.bincount(own[own >= 0], minlength=len(self.vocabulary))
-            # no template with fewer of its words in the window can be confirmed
-            able = np.flatnonzero(self.sizes - np.minimum(self.bags, bag).sum(axis=1) <= MISSING * self.sizes)
-            fits = [(k, fit) for k in able.tolist() if self.sizes[k] and (fit := self.place(k, own, added_cost))]
-            if not fits:
+            best = None
+            able = set(self.able(own, np.array(ranking, np.int64)).tolist())
+            for k in ranking:  # a template with fewer words than the best one found is not compared
+                if k in able and (best is None or self.sizes[k] >= -best[0][0]):
+                    fit = self.place(k, own, added_cost)
+                    if fit:
+                        rank = (-len(fit[1]), int(self.sizes[k]) - len(fit[1]), fit[0], k)
+                        if best is None or rank < best[0]:
+                            best = rank, fit
+            if best is None:
                 return out
-            k, (added, at) = min(fits, key=lambda f: (-len(f[1][1]), int(self.sizes[f[0]]) - len(f[1][1]), f[1][0], f[0]))
+            k, (added, at) = best[0][-1], best[1]
             found = len(at)
             fit = added, at
             while fit and len(fit[1]) >= found:  # further places of the same template that fit as well
@@ -282,7 +324,7 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     """A row for every candidate block and license confirmed in it: id, first_line, n_lines, block, license, spared_bytes, missing_words, added_words, confirmed.
 
     A notice is confirmed, wherever it lies in the windows of words around the
-    block's cues, if no more than a tenth of a template's words are missing or
+    block's cues, if its template spares bytes there and no more than a tenth of a template's words are missing or
     changed (versions and words such as Lesser may not be) and few are added, or if an
     SPDX line names its license;
     spared_bytes and added_words are those of the notice itself. A block without a

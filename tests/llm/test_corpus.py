@@ -388,3 +388,41 @@ def test_fit_brings_packed_features_by_partition(spark, monkeypatch):
         buf = np.frombuffer(rows[i][1].encode(), np.uint8)
         want, n = np.unique(np.concatenate(quality.features(buf, np.array([0, buf.size]))[0]), return_counts=True)
         assert (ids == want).all() and share.tobytes() == (n / n.sum()).astype(np.float32).tobytes() and label == i % 2
+
+
+def varied(text, rng, others):
+    """A notice with words added, left out or changed, on one or many lines."""
+    words = text.split()
+    for _ in range(int(rng.integers(0, 1 + len(words) // 5))):
+        words.insert(int(rng.integers(0, len(words) + 1)), others[int(rng.integers(0, len(others)))])
+    for _ in range(int(rng.integers(0, 1 + len(words) // 10))):
+        words.pop(int(rng.integers(0, len(words))))
+    return (" ", "\n", "\n * ")[int(rng.integers(0, 3))].join(words)
+
+
+def test_license_is_ranked_by_compression_before_its_words(monkeypatch):
+    rng, others = np.random.default_rng(3), prose(20_000).split()
+    scanner, known = license_scan.Scanner(license_scan.TEMPLATES), [t for texts in license_scan.TEMPLATES.values() for t in texts]
+    compared, rankings = set(), []
+    place, ranked = license_scan.Scanner.place, license_scan.Scanner.ranked
+    monkeypatch.setattr(license_scan.Scanner, "place", lambda self, k, *a: compared.add(k) or place(self, k, *a))
+    monkeypatch.setattr(license_scan.Scanner, "ranked", lambda self, *a: rankings.append(ranked(self, *a)) or rankings[-1])
+    texts = [" ".join((" ".join(others[i:i + i % 300]), varied(t, rng, others), varied(known[-i], rng, others), " ".join(others[:i % 50])))
+             for i, t in enumerate(known)]
+    got = []
+    for text in texts:
+        compared.clear()
+        got.append(scanner.confirmed(text))
+        assert compared <= set(rankings[-1]) and len(rankings[-1]) < len(known)
+    monkeypatch.setattr(license_scan.Scanner, "ranked", lambda self, *_: list(range(len(self.known))))
+    assert got == [scanner.confirmed(text) for text in texts]  # as if the words of every template were compared
+    assert sum(map(len, got)) > len(texts)
+    assert license_scan.Scanner({}).confirmed("under the MIT License") == license_scan.Scanner({"None": ("--",)}).confirmed("a -- b") == []
+
+
+def test_license_that_spares_nothing_is_not_confirmed(monkeypatch):
+    whole = license_scan.zstandard.ZstdCompressor
+    text = "Released under the MIT License."
+    assert license_scan.Scanner(license_scan.TEMPLATES).confirmed(text)
+    monkeypatch.setattr(license_scan.zstandard, "ZstdCompressor", lambda *a, dict_data=None, **k: whole(*a, **k))
+    assert not license_scan.Scanner(license_scan.TEMPLATES).confirmed(text)
