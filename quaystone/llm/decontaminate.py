@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import quoted, stage
-from .textarrays import NOT_WORD, pieces, rolled_shingles, whole_sequence, word_hashes
+from .textarrays import NOT_WORD, SMALL_PIECE, pieces, rolled_shingles, whole_sequence, word_hashes
 
 K1, B = 1.2, 0.75  # the usual BM25 constants
 THRESHOLD = 0.6
@@ -127,7 +127,7 @@ def build_indexes(items: DataFrame, *, item_col: str = "item_id", text_col: str
 def _index(held: list, df_of: DataFrame, n_items: int, stride: int, threshold: float) -> Index:
     words = [np.concatenate((q, a)) for _, q, a in held]
     own = np.unique(np.concatenate(words))
-    wanted = df_of.sparkSession.createDataFrame([(int(t),) for t in own.astype(np.int64)], "t long")
+    wanted = df_of.sparkSession.createDataFrame(pa.table({"t": own.astype(np.int64)}))  # a list would start Python workers of its own
     df = np.zeros(own.size)
     for t, n in df_of.join(wanted, "t").collect():  # no more rows than words in the index
         df[np.searchsorted(own, np.int64(t).astype(np.uint64))] = n
@@ -209,7 +209,7 @@ def contaminations(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
 
         def run(batches, held=held):
             for batch in batches:
-                found = [(i + t, *rest) for i, _, buf, offs in pieces(batch.column(1)) for t, *rest in _hits(held.value, buf, offs)]
+                found = [(i + t, *rest) for i, _, buf, offs in pieces(batch.column(1), SMALL_PIECE) for t, *rest in _hits(held.value, buf, offs)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array([f[0] for f in found], pa.int64())),
                      pa.array([held.value.items[f[1]] for f in found], batch_type),
@@ -236,7 +236,7 @@ def _holds_item(held):
     def holds_item(bodies: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for body in bodies:
             dirty = np.zeros(len(body), bool)
-            for i, _, buf, offs in pieces(body):
+            for i, _, buf, offs in pieces(body, SMALL_PIECE):
                 for hit in _hits(held.value, buf, offs):
                     dirty[i + hit[0]] = True
             yield pa.array(dirty)

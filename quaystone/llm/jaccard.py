@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import partitions, payload, quoted, stage
 from .components import components
-from .textarrays import U64, mix64, pieces, shingle_sets
+from .textarrays import SMALL_PIECE, U64, mix64, pieces, shingle_sets
 
 SHINGLE = 5
 CHUNK = 1 << 21  # shingles that a task sorts at a time when counting
@@ -44,7 +44,7 @@ def _class_of(h: np.ndarray) -> int:
 def _sized_sets(batches: Iterator[pa.RecordBatch], k: int, column: str = "body"):
     for batch in batches:
         at = batch.schema.get_field_index(column)
-        for i, _, buf, offs in pieces(batch.column(at)):
+        for i, _, buf, offs in pieces(batch.column(at), SMALL_PIECE):
             for j, h in enumerate(shingle_sets(buf, offs, k)):
                 yield batch, i + j, h
 
@@ -164,7 +164,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int) ->
         for batch in batches:
             shared = np.zeros(batch.num_rows, np.int64)
             a_col, ta, tb = batch.column(0), batch.column(2), batch.column(3)
-            for i, end, buf, offs in pieces(tb):
+            for i, end, buf, offs in pieces(tb, SMALL_PIECE):
                 for j, hb in enumerate(shingle_sets(buf, offs, k), start=i):
                     node = a_col[j].as_py()
                     if last[0] != node:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import payload, quoted, stage
-from .textarrays import U64, mix64, pieces, prefix_hashes, span_hashes, words
+from .textarrays import SMALL_PIECE, U64, mix64, pieces, prefix_hashes, span_hashes, words
 
 BITS = 18  # 2**18 hashed vectors
 DIM = 12
@@ -137,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     def run(batches):
         for batch in batches:
             bags = []
-            for i, _, buf, offs in pieces(batch.column(2)):
+            for i, _, buf, offs in pieces(batch.column(2), SMALL_PIECE):
                 kinds, at = features(buf, offs)
                 for j in range(offs.size - 1):
                     ids, n = np.unique(np.concatenate([k[a[j]:a[j + 1]] for k, a in zip(kinds, at, strict=True)]), return_counts=True)
@@ -178,7 +178,7 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", names: tuple
         weight, bias = held.value.weight, held.value.bias
         for body in bodies:
             out = np.zeros(len(body))
-            for i, end, buf, offs in pieces(body):
+            for i, end, buf, offs in pieces(body, SMALL_PIECE):
                 kinds, at = features(buf, offs)
                 total, n = np.zeros(end - i), np.zeros(end - i)
                 for k, a in zip(kinds, at, strict=True):

@@ -10,6 +10,7 @@ inside its shard every row gets a random place again, its slot.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -103,7 +104,9 @@ def shard_rows(df: DataFrame, n_shards: int = 24, *, seed: int = 17,
         sizes = {r["block"]: r["count"] for r in blocked.groupBy("block").count().collect()}
     shard_sizes = [n // n_shards + (i < n % n_shards) for i in range(n_shards)]
     matrix = communication_matrix([sizes.get(b, 0) for b in range(n_blocks)], shard_sizes, seed)
-    ends = spark.createDataFrame([(b, _running(row)) for b, row in enumerate(matrix)], "block long, ends array<long>")
+    # Arrow tables: from lists, Spark starts Python workers that stay with the executors
+    ends = spark.createDataFrame(pa.table({"block": pa.array(range(n_blocks), pa.int64()),
+                                           "ends": pa.array([_running(row) for row in matrix], pa.list_(pa.int64()))}))
 
     def sent(rows: DataFrame) -> DataFrame:
         """Each row's shard: its random place in its block, against the block's row of the matrix."""
@@ -122,7 +125,8 @@ def shard_rows(df: DataFrame, n_shards: int = 24, *, seed: int = 17,
         for p in range(n_parts):
             begins.append((s, p, at))
             at += counts.get((s, p), 0)
-    begin = spark.createDataFrame(begins, "shard int, part long, begin long")
+    begin = spark.createDataFrame(pa.table({name: pa.array([b[i] for b in begins], kind) for i, (name, kind) in enumerate(
+        [("shard", pa.int32()), ("part", pa.int64()), ("begin", pa.int64())])}))
     inside = F.row_number().over(Window.partitionBy("shard", "part").orderBy(F.xxhash64(F.lit(seed + 4), "key"), "key"))
     out = (sent(blocked).withColumn("inside", inside).join(F.broadcast(begin), ["shard", "part"])
            .withColumn("slot", F.col("begin") + F.col("inside") - 1))

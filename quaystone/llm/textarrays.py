@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 PIECE_BYTES = 1 << 20  # texts are worked on in pieces of about so many bytes (a longer text is a piece of its own)
+SMALL_PIECE = 1 << 17  # for work that holds many arrays of a number for every byte: what a Python worker holds goes by this
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _SPACE = np.zeros(256, bool)
@@ -23,7 +24,7 @@ _powers: list[np.ndarray] = []
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, at least ``n`` of each."""
     if not _powers or _powers[0].size < n:
-        size = max(n, PIECE_BYTES + (1 << 18))
+        size = -(-n >> 18) << 18  # steps, so that somewhat longer texts need no new ones
         out = []
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             p = np.full(size, U64(base))

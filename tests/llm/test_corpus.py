@@ -1,20 +1,26 @@
 """Sharding, mixing, scoring, decontamination, license scans and the pipeline on a hard table and the small tables."""
 
+import gc
 import math
+import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quaystone.llm import decontaminate, license_scan, lm_score, mix, quality, shard
+from quaystone.llm import decontaminate, jaccard, license_scan, lm_score, mix, quality, shard, textarrays
 from quaystone.llm.lattice import load, word_log_probs
 from quaystone.llm.registry import PIECES
+from quaystone.llm.textarrays import pieces, powers
 
 from ..conftest import SF_MID, SF_SMALL
+from .conftest import sentence
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -426,3 +432,58 @@ def test_license_that_spares_nothing_is_not_confirmed(monkeypatch):
     assert license_scan.Scanner(license_scan.TEMPLATES).confirmed(text)
     monkeypatch.setattr(license_scan.zstandard, "ZstdCompressor", lambda *a, dict_data=None, **k: whole(*a, **k))
     assert not license_scan.Scanner(license_scan.TEMPLATES).confirmed(text)
+
+
+def peak_mb(work):
+    """MB that ``work`` holds at most; NumPy reports its arrays."""
+    gc.collect()
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_scans_hold_little_of_a_batch(spark, monkeypatch):
+    texts = pa.array([sentence(random.Random(i), 400) for i in range(2500)])  # some 4 MB, an Arrow batch
+    assert texts.nbytes > 3_900_000
+    real, scans = F.arrow_udf, []
+    monkeypatch.setattr(F, "arrow_udf", lambda kind: lambda f: scans.append(f) or real(kind)(f))
+    docs = spark.range(1).selectExpr("id doc_id", "'a b' text")
+    quality.score(docs, quality.Model(np.random.default_rng(1).random(1 << quality.BITS), 0.5))
+    items = spark.range(1).selectExpr("id item_id", "'aaa bbb ccc ddd eee fff ggg. hhh iii' text")
+    decontaminate.decontaminate(docs, items)
+    score, holds_item = scans
+    monkeypatch.setattr(textarrays, "_powers", [])
+    powers(1 << 17)  # kept by a worker, whatever it scans
+    assert peak_mb(lambda: [*score(iter([texts]))]) < 20
+    assert peak_mb(lambda: [*holds_item(iter([texts]))]) < 20
+    batch = pa.RecordBatch.from_arrays([texts], names=["body"])
+    assert peak_mb(lambda: Counter(h.size for *_, h in jaccard._sized_sets([batch], 5))) < 20
+    assert sum(p.size for p in powers(1)) * 8 <= 1 << 23
+
+
+def test_small_pieces_change_no_score(spark, monkeypatch):
+    texts = [sentence(random.Random(i), 30 + i % 50) for i in range(1500)] + ["", "x", sentence(random.Random(7), 60_000), "é ü 中文 ß" * 9]
+    assert len(texts[-2]) > 1 << 17
+    model = quality.Model(np.random.default_rng(1).normal(size=1 << quality.BITS), 0.5)
+    real, scans = F.arrow_udf, []
+    monkeypatch.setattr(F, "arrow_udf", lambda kind: lambda f: scans.append(f) or real(kind)(f))
+    quality.score(spark.range(1).selectExpr("id doc_id", "'a b' text"), model)
+    (got,), own = scans[0](iter([pa.array(texts)])), []
+    for text in texts:
+        kinds, _ = quality.features(*next(pieces(pa.array([text])))[2:])
+        found = np.concatenate(kinds)
+        own.append(1 / (1 + np.exp(-(model.weight[found].sum() / max(1, found.size) + model.bias))))
+    assert np.abs(got.to_numpy() - np.array(own)).max() < 1e-10
+
+
+def test_driver_tables_start_no_python_workers(spark, monkeypatch):
+    made, real = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **b: made.append(data) or real(self, data, *a, **b))
+    docs = spark.range(60).selectExpr("id doc_id", "concat('a b c ', id) text")
+    items = spark.range(3).selectExpr("id item_id", "concat('w', id, ' bbb ccc ddd eee fff ggg. hhh iii') text")
+    assert shard.shard_rows(docs, 4).count() == 60
+    assert decontaminate.decontaminate(docs, items).count() == 60
+    assert len(made) == 3 and all(isinstance(d, pa.Table) for d in made)
